@@ -1,0 +1,31 @@
+"""Keys that hold a large part of all rows.
+
+Joins and aggregations on such keys are safe already: adaptive execution splits skewed join partitions
+and aggregates are combined before the shuffle. A window over one key is not split by Spark, so the
+window operators treat these keys apart, in slices of time.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MIN_ROWS = 1_000_000
+MAX_KEYS = 20_000
+
+
+def heavy_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS, max_keys: int = MAX_KEYS) -> DataFrame:
+    """Keys with at least ``min_rows`` rows and at least 1/``max_keys`` of all rows.
+
+    The second condition bounds the result: no more than ``max_keys`` keys can each hold that share, so
+    the result is small enough to broadcast however large the table. A key below the share is small
+    enough for one task.
+    """
+    counts = df.groupBy(F.col(key).alias("_heavy")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") * max_keys >= total)).select("_heavy")
+
+
+def split_heavy(df: DataFrame, key: str, **limits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of heavy keys); null is a key like any other."""
+    heavy = F.broadcast(heavy_keys(df, key, **limits))
+    same = F.col(key).eqNullSafe(F.col("_heavy"))
+    return df.join(heavy, same, "left_anti"), df.join(heavy, same, "left_semi")
