@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom import fixtures
 from riskloom.operators import clean, history
 from riskloom.plans import layers as batch
-from riskloom.session import work_folder
+from riskloom.session import tune, work_folder
 from riskloom.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,7 +96,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def query(build: Query) -> Query:
-    return lambda spark, sf_dir: portable(build(spark, sf_dir))
+    return lambda spark, sf_dir: portable(build(tune(spark), sf_dir))
 
 
 # --- SQL side ----------------------------------------------------------------------------------------

@@ -2,17 +2,19 @@
 
 Each text is written in the subset that Spark SQL and DuckDB both accept, so the same text builds the
 Spark DataFrame and the common table expression of the SQL check. Tables are named in braces. Rows are
-derived from the tables' own keys and prices, without random functions.
+derived from the tables' own keys and prices, without random functions. Line items and orders grow with
+the data, so they meet in a shuffled merge join, which also spreads the rows over all cores; neither is
+ever broadcast.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 
 FX_TX = """
 WITH k AS (
-  SELECT l_orderkey, l_linenumber, o_custkey, p_type, p_brand, o_orderdate,
+  SELECT /*+ MERGE(o) */ l_orderkey, l_linenumber, o_custkey, p_type, p_brand, o_orderdate,
     CAST(l_orderkey*7919 + l_partkey*104729 + l_linenumber*1299709 + l_suppkey*31 AS BIGINT) AS h,
     CAST(round(l_extendedprice*100) AS BIGINT) AS cents
-  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey),
+  FROM {lineitem} AS l JOIN {orders} AS o ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey),
 s AS (
   SELECT *, h % 86400 AS sec,
     CAST(floor(cents / (CASE WHEN h%100<60 THEN 400 WHEN h%100<85 THEN 60 WHEN h%100<95 THEN 15 ELSE 4 END)) AS BIGINT) AS ac,

@@ -12,6 +12,18 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# The JVM compiles no method above 8000 bytes of bytecode but interprets it. Whole-stage code for wide
+# projections exceeds that easily; under this limit Spark generates smaller methods for them instead.
+CODEGEN_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the method size limit unless the session has a setting of its own."""
+    name, limit = CODEGEN_LIMIT
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, limit)
+    return spark
+
 
 def local_session(cores: int = 8, **extra: str) -> SparkSession:
     """A single-machine session for tests and timing; a cluster brings its own."""
@@ -25,7 +37,7 @@ def local_session(cores: int = 8, **extra: str) -> SparkSession:
     }
     for key, value in options.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -34,20 +34,27 @@ def replace_table(df: DataFrame, path: str, checkpoint: str, every: str | None =
     def write(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    return each_batch(df, write, checkpoint, every, mode="complete", skip_empty=False)
+    return _for_each(df, write, checkpoint, every, "complete")
 
 
 def each_batch(
-    df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "10 seconds",
-    mode: str = "append", skip_empty: bool = True,
+    df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
-    """Run ``work`` on every micro-batch; empty ones are skipped."""
+    """Run ``work`` on the rows of every micro-batch, kept while it runs so that several writes read them
+    once. Empty batches are skipped."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
-        work(batch, batch_id)
+        rows = batch.persist()
+        try:
+            if not rows.isEmpty():
+                work(rows, batch_id)
+        finally:
+            rows.unpersist()
 
+    return _for_each(df, step, checkpoint, every, "append")
+
+
+def _for_each(df: DataFrame, step, checkpoint: str, every: str | None, mode: str) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(step).outputMode(mode)
         .option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
