@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import (
-    as_of_time, check, count_where, feed, geo_feed, gold, half_up, percent, query, silver,
+    alerts, as_of_time, check, count_where, feed, geo_feed, gold, half_up, percent, query, silver,
 )
 from riskloom.catalog.scoring import GAP, GEO_FLAG_SQL, HAVERSINE, _GAP
 from riskloom.functions import flags, geo
@@ -29,6 +29,8 @@ QUERIES = {
     "a15_m3_distances": query(_distances),
     "m1_flag_prevalence": query(lambda s, d: quality.flag_prevalence(_flagged(s, d))),
     "m2_flag_combinations": query(lambda s, d: quality.flag_combinations(_flagged(s, d))),
+    "m4_row_counts": query(lambda s, d: quality.row_counts(
+        {"raw": feed(s, d), "silver": silver(s, d), "detection": gold(s, d), "alerts": alerts(s, d)})),
     "m5_confusion_matrix": query(lambda s, d: quality.confusion_matrix(gold(s, d))),
     "m5_detection_quality": query(lambda s, d: quality.detection_quality(gold(s, d))),
     "m5_detection_quality_medium": query(lambda s, d: quality.detection_quality(
@@ -80,6 +82,9 @@ ORACLE = {
         quantile_disc(g, 0.99) AS p99, max(g) AS max FROM gaps""", gaps=f"SELECT {GAP} AS g FROM silver"),
     "m1_flag_prevalence": check("silver", _FLAG_SUMS, flagged=GEO_FLAG_SQL + " FROM silver"),
     "m2_flag_combinations": check("silver", _COMBO_SUMS, flagged=GEO_FLAG_SQL + " FROM silver"),
+    "m4_row_counts": check("alerts", " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, count(*) AS rows FROM {table}" for layer, table in {
+            "raw": "fx_tx", "silver": "first_tx", "detection": "gold", "alerts": "alerts"}.items())),
     "m5_confusion_matrix": check("gold", f"""SELECT risk_level, {count_where("is_fraud")} AS fraud,
         {count_where("NOT is_fraud")} AS legitimate, count(*) AS total FROM gold GROUP BY risk_level"""),
     "m5_detection_quality": _quality("'CRITICAL', 'HIGH'"),

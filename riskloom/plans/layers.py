@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from riskloom import schemas
-from riskloom.operators import clean, detection, enrich, ingest, marts
+from riskloom.operators import clean, detection, enrich, history, ingest, marts, rules
 from riskloom.sources import readers, writers
 
 # Customer attributes joined to the customer summary.
@@ -45,10 +45,11 @@ class Layers:
         return self.path("gold/fraud_alerts")
 
 
-def write_bronze(raw: DataFrame, layers: Layers, source_format: str) -> dict:
+def write_bronze(raw: DataFrame, layers: Layers, source_format: str, rebalance: bool = True) -> dict:
+    """``rebalance`` can be left out where each input file holds few days, which saves the shuffle."""
     rows = ingest.bronze(raw, source_format)
     return writers.write_counted(
-        rows, layers.bronze, partition_by=["year", "month", "day"], rebalance=True
+        rows, layers.bronze, partition_by=["year", "month", "day"], rebalance=rebalance
     )
 
 
@@ -123,6 +124,51 @@ def run_enriched(
     )
 
 
+def run_geo(envelopes: DataFrame, root: str, unit: str = "seconds") -> None:
+    """Geo feed from raw message text: movement features, flags, geo pack, alerts and aggregates. ``unit``
+    says how the feed stores its event time."""
+    spark = envelopes.sparkSession
+    layers = Layers(root)
+    parsed = ingest.parse_json(envelopes, "raw_json", schemas.GEO)
+    silver = detection.geo_silver(history.with_epoch(parsed, "timestamp", unit))
+    writers.write_table(silver, layers.silver, stamp_as="silver_timestamp")
+    scored = rules.GEO.apply(readers.table(spark, layers.silver))
+    writers.write_table(scored, layers.detection, partition_by=["risk_level"], stamp_as="gold_timestamp")
+    _write_geo_reports(readers.table(spark, layers.detection), layers, "fraud_score")
+
+
+def run_sensitive(parsed: DataFrame, root: str, amount: str = "amount_clean") -> None:
+    """The sensitive geo pack over parsed geo rows, from files or from a topic read as a batch."""
+    layers = Layers(root)
+    scored = detection.sensitive_detection(parsed, amount)
+    writers.write_table(scored, layers.detection, partition_by=["risk_level"], stamp_as="processed_at")
+    _write_geo_reports(readers.table(parsed.sparkSession, layers.detection), layers, "fraud_score_calculated")
+
+
+def _write_geo_reports(scored: DataFrame, layers: Layers, score: str) -> None:
+    reports = {
+        "transactions": detection.geo_reporting(scored, score),
+        "fraud_alerts": detection.geo_alerts(scored, score),
+        "metrics_by_level": marts.by_level(scored, score=score),
+        "metrics_by_category": marts.category_by_level(scored),
+        "top_alert_categories": marts.top_alert_categories(scored),
+    }
+    for name, report in reports.items():
+        writers.write_table(report, layers.path(f"gold/{name}"))
+
+
+def run_simple(transactions: DataFrame, customers: DataFrame, root: str) -> None:
+    """The short run: basic cleaning, two-rule levels, customer and fraud summaries."""
+    spark = transactions.sparkSession
+    layers = Layers(root)
+    writers.write_table(clean.simple_customers(customers), layers.path("silver/customers"), stamp_as="processed_at")
+    writers.write_table(clean.simple_transactions(transactions), layers.silver, stamp_as="_silver_timestamp")
+    cleaned = readers.table(spark, layers.silver)
+    writers.write_table(rules.two_rule_level(cleaned), layers.detection, partition_by=["risk_level"])
+    writers.write_table(marts.customer_short(cleaned), layers.path("gold/customer_summary"))
+    writers.write_table(marts.fraud_summary(cleaned), layers.path("gold/fraud_summary"))
+
+
 def load_reports(spark: SparkSession, root: str, url: str, properties: dict[str, str]) -> None:
     """Gold tables into a database: the two large ones in parallel, the aggregates as they are."""
     layers = Layers(root)

@@ -58,6 +58,12 @@ def schema_report(layers: dict[str, DataFrame], contracts: dict[str, StructType]
     return {name: schemas.schema_gaps(df, contracts[name]) for name, df in layers.items()}
 
 
+def row_counts(layers: dict[str, DataFrame]) -> DataFrame:
+    """Rows per layer."""
+    counted = [df.agg(rows().alias("rows")).select(F.lit(name).alias("layer"), "rows") for name, df in layers.items()]
+    return reduce(DataFrame.unionAll, counted)
+
+
 def confusion_matrix(tx: DataFrame) -> DataFrame:
     """Frauds and legitimate transactions per level; unlabelled rows are in neither column."""
     return tx.groupBy("risk_level").agg(

@@ -40,13 +40,18 @@ def local_session(cores: int = 8, **extra: str) -> SparkSession:
     return tune(builder.getOrCreate())
 
 
+_own_folders: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder shared by driver and executors, named by ``spark.checkpoint.dir``.
 
     Only where the session names none (tests on one machine) is a fresh local folder made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _own_folders[application]

@@ -1,5 +1,6 @@
 """Readers, writers and ingestion on files."""
 
+import json
 import os
 from datetime import datetime
 
@@ -195,3 +196,72 @@ def test_enriched_run(spark, small, folder):
     summary = spark.read.parquet(at.path("gold/customer_summary"))
     assert summary.count() == raw.select("customer_id").distinct().count()
     assert {"customer_risk_level", "income_band", "full_name"} <= set(summary.columns)
+
+
+def geo_rows(n=60):
+    return [{
+        "transaction_id": f"g{i}", "customer_id": f"c{i % 4}", "amount": 100.0 * (i % 30), "merchant": f"m{i % 3}",
+        "category": ["electronics", "food"][i % 2], "transaction_hour": float(i % 24), "customer_home_state": "SP",
+        "purchase_state": ["SP", "AM"][i % 2], "purchase_latitude": -23.0 + i % 7, "purchase_longitude": -46.0,
+        "device_latitude": -23.0 + (i % 50), "device_longitude": -46.0, "installments": i % 13,
+        "had_travel_purchase_last_12m": i % 3 == 0, "is_first_purchase_in_state": i % 5 == 0,
+        "transactions_last_24h": float(i % 18), "avg_transaction_amount_30d": 90.0, "is_international": i % 8 == 0,
+        "is_online": i % 2 == 0, "is_fraud": i % 9 == 0, "timestamp": 1_700_000_000 + 600 * i,
+    } for i in range(n)]
+
+
+def test_geo_run_from_message_text(spark, folder):
+    from riskloom.operators import detection, history
+    from riskloom.plans import layers
+    texts = spark.createDataFrame([(json.dumps(r),) for r in geo_rows()], "raw_json string")
+    layers.run_geo(texts, folder)
+    at = layers.Layers(folder)
+    scored = spark.read.parquet(at.detection)
+    assert scored.count() == 60 and scored.select("risk_level").distinct().count() > 2
+    parsed = history.with_epoch(ingest.parse_json(texts, "raw_json", schemas.GEO), "timestamp", "seconds")
+    direct = {tuple(r) for r in detection.geo_detection(parsed).select("transaction_id", "fraud_score").collect()}
+    assert direct == {tuple(r) for r in scored.select("transaction_id", "fraud_score").collect()}
+    alerts = spark.read.parquet(at.path("gold/fraud_alerts"))
+    assert dict(alerts.dtypes)["fraud_score"] == "int"
+    assert alerts.count() == scored.where(F.col("risk_level").isin("HIGH", "CRITICAL")).count() > 0
+    assert spark.read.parquet(at.path("gold/metrics_by_level")).agg(F.sum("total")).first()[0] == 60
+
+
+def test_sensitive_run(spark, folder):
+    from riskloom.plans import layers
+    texts = spark.createDataFrame([(json.dumps(r),) for r in geo_rows()], "value string")
+    layers.run_sensitive(ingest.parse_json(texts, schema=schemas.GEO), folder, amount="amount")
+    at = layers.Layers(folder)
+    assert spark.read.parquet(at.path("gold/transactions")).count() == 60
+    assert spark.read.parquet(at.path("gold/metrics_by_category")).agg(F.sum("count")).first()[0] == 60
+
+
+def test_simple_run(spark, small, folder):
+    from riskloom.plans import layers
+    layers.run_simple(base.feed(spark, small), base.raw_customers(spark, small), folder)
+    at = layers.Layers(folder)
+    cleaned = spark.read.parquet(at.silver)
+    assert cleaned.where("amount <= 0 OR amount IS NULL").isEmpty()
+    assert spark.read.parquet(at.path("gold/fraud_summary")).first()["total_transactions"] == cleaned.count()
+    assert spark.read.parquet(at.path("gold/customer_summary")).agg(F.sum("transactions")).first()[0] == cleaned.count()
+
+
+def test_layers_meet_their_contracts(spark, small):
+    from riskloom.plans import quality
+    wanted = schemas.contract("transaction_id string, tx_year integer, risk_points integer, missing string")
+    assert quality.schema_report({"detection": base.gold(spark, small)}, {"detection": wanted}) == {
+        "detection": [("missing", "string", None)]}
+
+
+def test_work_folder_is_the_one_the_session_names(spark):
+    from riskloom.session import work_folder
+
+    class Session:
+        sparkContext = spark.sparkContext
+
+        def __init__(self, named):
+            self.conf = {"spark.checkpoint.dir": named} if named else {}
+
+    assert work_folder(Session("hdfs://shared/check/")) == "hdfs://shared/check"
+    own = work_folder(Session(None))
+    assert own.startswith("/tmp/run-") and work_folder(Session(None)) == own
