@@ -84,6 +84,12 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}").drop("batch_id")
 
 
+def wait_first_rows(query: StreamingQuery, pause: int = 1) -> None:
+    """Block until a job has written its first rows, so that the next one finds a folder to read."""
+    while query.isActive and not any(p.numInputRows for p in query.recentProgress):
+        query.awaitTermination(pause)
+
+
 def wait_any(spark: SparkSession, seconds: int | None = None) -> None:
     """Block until one of the running jobs stops or fails."""
     spark.streams.awaitAnyTermination(seconds) if seconds else spark.streams.awaitAnyTermination()

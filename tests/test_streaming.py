@@ -65,6 +65,22 @@ def test_three_hops(spark, topic, table):
         assert rows(spark.read.parquet(f"{at['metrics']}/{name}")) == rows(build(silver))
 
 
+def test_three_hops_keep_running(spark, topic):
+    messages = readers.text_stream(spark, f"{topic}/in-*.txt", 1)
+    at = jobs.three_hops(spark, messages, f"{topic}/out", every="1 second")
+    running = spark.streams.active
+    try:
+        assert len(running) == 7
+        for _ in range(3):
+            for query in running:
+                query.processAllAvailable()
+    finally:
+        for query in running:
+            query.stop()
+    metrics = spark.read.parquet(f"{at['metrics']}/metrics_by_type")
+    assert metrics.agg(F.sum("total_transactions")).first()[0] == 200
+
+
 def test_live_windows_merge_to_the_batch_result(spark, topic, table):
     write = sinks.batch_folder_writer(f"{topic}/live")
     jobs.live_dashboard(transactions(spark, topic), write, f"{topic}/check", None).awaitTermination()
