@@ -105,71 +105,75 @@ def rolling(
 
     The span reaches from ``seconds`` earlier, inclusive, to the row's own second when ``include_now``
     is set and to the second before it otherwise. ``_count`` counts rows, ``_amounts`` rows with an
-    amount.
+    amount. Rows without a time count nothing and are counted nowhere.
+
+    A sliding frame would add up its rows anew for every row. Instead every row comes back ``seconds``
+    later as a narrow visitor that marks its leaving, and the result is what has entered less what has
+    left: two running sums, linear in the rows however many a span holds. The sums are of whole numbers,
+    so the difference is exact.
     """
-    if seconds % slice_seconds or seconds < 2 * slice_seconds:
-        raise ValueError("seconds must be at least two slices and a whole number of them")
+    if seconds % slice_seconds:
+        raise ValueError("seconds must be a whole number of slices")
     ordinary, heavy = split_heavy(df.withColumn("_cents", cents(amount)), key, **limits)
-    span = Window.partitionBy(key).orderBy("epoch").rangeBetween(-seconds, 0 if include_now else -1)
-    measures = {"count": F.count(F.lit(1)), "amounts": F.count("_cents"), "cents": F.sum("_cents")}
-    plain = ordinary.withColumns({f"_{name}_all": m.over(span) for name, m in measures.items()})
-    both = plain.unionByName(_rolling_in_slices(heavy, seconds, include_now, key, slice_seconds))
+    whole = _entered_less_left(ordinary.withColumn("_slice", F.lit(0)), seconds, 0, include_now, key)
+    cut = _entered_less_left(
+        heavy.withColumn("_slice", F.floor(F.col("epoch") / slice_seconds).cast("int")),
+        seconds, seconds // slice_seconds, include_now, key,
+    )
+    both = whole.unionByName(_add_earlier_slices(cut, heavy, seconds, key, slice_seconds))
     return both.withColumns({
-        f"{prefix}_count": F.col("_count_all"),
-        f"{prefix}_amounts": F.col("_amounts_all"),
-        f"{prefix}_sum": F.col("_cents_all") / F.lit(100.0),
-    }).drop("_cents", "_count_all", "_amounts_all", "_cents_all")
+        f"{prefix}_count": F.col("_n"),
+        f"{prefix}_amounts": F.col("_a"),
+        f"{prefix}_sum": F.when(F.col("_a") > 0, F.col("_c") / F.lit(100.0)),
+    }).drop("_cents", "_slice", "_n", "_a", "_c")
+
+
+# Rows, rows with an amount, and cents of one row.
+def _measures() -> dict[str, Column]:
+    return {
+        "_n": F.lit(1).cast("long"),
+        "_a": F.col("_cents").isNotNull().cast("long"),
+        "_c": F.coalesce(F.col("_cents"), F.lit(0).cast("long")),
+    }
 
 
-def _rolling_in_slices(
-    df: DataFrame, seconds: int, include_now: bool, key: str, slice_seconds: int
-) -> DataFrame:
-    """Sum of three parts: the rows of the own slice up to now, all whole slices in between (from one
-    total per slice), and the end of the slice ``seconds`` earlier. For the last part each row also
-    visits, moved forward by ``seconds``, the slice in which its leaving of the span shows."""
-    sliced = df.withColumns({
-        "_slice": F.floor(F.col("epoch") / slice_seconds), "_visitor": F.lit(False), "_at": F.col("epoch"),
-    })
-    visits = sliced.where(F.col("epoch").isNotNull()).withColumns({
-        "_slice": F.col("_slice") + seconds // slice_seconds,
-        "_visitor": F.lit(True),
-        "_at": F.col("epoch") + seconds,
-    })
-    own, visitor = ~F.col("_visitor"), F.col("_visitor")
-    by_time = Window.partitionBy(key, "_slice").orderBy("_at")
-    up_to_now = by_time.rangeBetween(Window.unboundedPreceding, 0 if include_now else -1)
-    still_in = by_time.rangeBetween(0, Window.unboundedFollowing)
-
-    def both_ends(value: Column) -> Column:
-        recent = F.sum(F.when(own, value)).over(up_to_now)
-        old = F.sum(F.when(visitor, value)).over(still_in)
-        return F.struct(recent.alias("recent"), old.alias("old"))
-
-    one, has_amount = F.lit(1), F.col("_cents").isNotNull().cast("long")
-    edges = sliced.unionByName(visits).withColumns({
-        "_n": both_ends(one), "_a": both_ends(has_amount), "_c": both_ends(F.col("_cents")),
-    }).where(own)
-
-    whole_slices = Window.partitionBy(key).orderBy("_slice").rangeBetween(-(seconds // slice_seconds) + 1, -1)
-    totals = sliced.groupBy(key, "_slice").agg(
-        F.count(one).alias("n"), F.count("_cents").alias("a"), F.sum("_cents").alias("c")
-    ).select(
-        F.col(key).alias("_key"), F.col("_slice").alias("_place"),
-        *[F.sum(v).over(whole_slices).alias(f"_{v}_mid") for v in ("n", "a", "c")],
+def _entered_less_left(df: DataFrame, seconds: int, slices: int, include_now: bool, key: str) -> DataFrame:
+    """Per key and slice: what has entered the span so far less what has left it. A visitor shows up
+    ``slices`` slices later."""
+    own = df.withColumns({"_at": F.col("epoch"), "_visitor": F.lit(False)})
+    visitors = df.where(F.col("epoch").isNotNull()).select(
+        key, "_cents", (F.col("_slice") + slices).alias("_slice"), (F.col("epoch") + seconds).alias("_at"),
+        F.lit(True).alias("_visitor"),
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_place"))
+    by_time = Window.partitionBy(key, "_slice").orderBy("_at")
+    so_far = by_time.rangeBetween(Window.unboundedPreceding, 0 if include_now else -1)
+    before = by_time.rangeBetween(Window.unboundedPreceding, -1)
+    timed, visitor = F.col("_at").isNotNull(), F.col("_visitor")
 
-    def total(value: str) -> Column:
-        parts = [F.col(f"_{value}.recent"), F.col(f"_{value}.old"), F.col(f"_{value}_mid")]
-        known = F.coalesce(*parts).isNotNull()
-        return F.when(known, sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0))))
+    def difference(value: Column) -> Column:
+        entered = F.sum(F.when(timed & ~visitor, value)).over(so_far)
+        left = F.sum(F.when(visitor, value)).over(before)
+        return F.coalesce(entered, F.lit(0)) - F.coalesce(left, F.lit(0))
 
-    zero = F.lit(0)
-    joined = edges.join(totals, same, "left").withColumns({
-        "_count_all": F.coalesce(total("n"), zero), "_amounts_all": F.coalesce(total("a"), zero),
-        "_cents_all": total("c"),
-    })
-    return joined.drop("_slice", "_visitor", "_at", "_n", "_a", "_c", "_key", "_place", "_n_mid", "_a_mid", "_c_mid")
+    both = own.unionByName(visitors, allowMissingColumns=True)
+    return both.withColumns({n: difference(v) for n, v in _measures().items()}).where(~visitor).drop("_at", "_visitor")
+
+
+def _add_earlier_slices(cut: DataFrame, rows: DataFrame, seconds: int, key: str, slice_seconds: int) -> DataFrame:
+    """Add the totals of the slices that the span reaches back over; the visitors take off again what
+    lies before its start. There is one total per key and slice, however many rows they hold."""
+    back = Window.partitionBy(key).orderBy("_slice").rangeBetween(-(seconds // slice_seconds), -1)
+    sliced = rows.where(F.col("epoch").isNotNull()).withColumn(
+        "_slice", F.floor(F.col("epoch") / slice_seconds).cast("int")
+    )
+    names = list(_measures())
+    totals = sliced.groupBy(key, "_slice").agg(*[F.sum(v).alias(n) for n, v in _measures().items()]).select(
+        F.col(key).alias("_key"), F.col("_slice").alias("_place"), *[F.sum(n).over(back).alias(f"{n}_before") for n in names]
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_place"))
+    joined = cut.join(totals, same, "left")
+    added = {n: F.col(n) + F.coalesce(F.col(f"{n}_before"), F.lit(0)) for n in names}
+    return joined.withColumns(added).drop("_key", "_place", *[f"{n}_before" for n in names])
 
 
 def last_day(df: DataFrame, **options) -> DataFrame:
