@@ -58,12 +58,15 @@ SILVER = """transaction_id customer_id device_id event_time transaction_hour typ
     is_fraud""".split()
 
 
-def _three_hops(spark, sf):
-    return jobs.three_hops(spark, _messages(spark, sf), _folder(spark))
-
-
 def _alerts(spark, sf):
-    return spark.read.parquet(_three_hops(spark, sf)["alerts"]).select(*STREAM_ALERT_COLUMNS)
+    """Messages to Bronze, Silver and alerts, each hop reading the files of the one before."""
+    root = _folder(spark)
+    jobs.messages_to_bronze(_messages(spark, sf), f"{root}/bronze", f"{root}/check/1", None).awaitTermination()
+    bronze = readers.parquet_stream(spark, f"{root}/bronze", jobs.bronze_schema())
+    jobs.bronze_to_silver(bronze, f"{root}/silver", f"{root}/check/2", None).awaitTermination()
+    silver = readers.parquet_stream(spark, f"{root}/silver", jobs.silver_schema())
+    jobs.silver_to_alerts(silver, f"{root}/alerts", f"{root}/check/3", None).awaitTermination()
+    return spark.read.parquet(f"{root}/alerts").select(*STREAM_ALERT_COLUMNS)
 
 
 def _running(name):

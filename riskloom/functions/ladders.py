@@ -24,7 +24,10 @@ PT_LABELS = {
     "UP_TO_2K": "ATÉ 2 SM", "2K_TO_5K": "2-5 SM", "5K_TO_10K": "5-10 SM", "10K_TO_20K": "10-20 SM",
     "ABOVE_20K": "ACIMA 20 SM",
     "VERY_LOW": "MUITO_BAIXO", "LOW": "BAIXO", "GOOD": "BOM", "EXCELLENT": "EXCELENTE",
+    "UNUSUAL_TIME": "HORARIO_INCOMUM", "NEW_BENEFICIARY": "NOVO_BENEFICIARIO", "HIGH_RISK_MCC": "MCC_RISCO",
+    "PENDING": "PENDENTE", "WEEKEND": "Fim de Semana", "WEEKDAY": "Dia Útil",
 }
+PT_TWO_RULE_LEVELS = {"HIGH": "Alto Risco", "MEDIUM": "Risco Médio", "LOW": "Baixo Risco"}
 PT_LEVELS = {"CRITICAL": "CRÍTICO", "HIGH": "ALTO", "MEDIUM": "MÉDIO", "LOW": "BAIXO", "NORMAL": "NORMAL"}
 
 # Reading order of the labels in reports.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from riskloom import schemas
+from riskloom.functions import ladders
 
 
 def parse_json(df: DataFrame, column: str = "value", schema: StructType = schemas.TRANSACTION) -> DataFrame:
@@ -77,7 +78,9 @@ def bronze(df: DataFrame, source_format: str, layer: str = "raw", now: Column |
 
 
 def from_portuguese(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(schemas.PT_TRANSACTION_NAMES)
+    """The Portuguese feed under the names and status values used here."""
+    status = ladders.relabel(F.col("status"), schemas.PT_STATUS)
+    return df.withColumnsRenamed(schemas.PT_TRANSACTION_NAMES).withColumn("status", status)
 
 
 def customers_from_portuguese(df: DataFrame) -> DataFrame:

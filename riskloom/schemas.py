@@ -88,6 +88,7 @@ PT_TRANSACTION_NAMES = {
     "valor_acumulado_24h": "accumulated_amount_24h", "horario_incomum": "unusual_time",
     "novo_beneficiario": "new_beneficiary", "motivo_recusa": "refusal_reason",
 }
+PT_STATUS = {"APROVADA": "APPROVED", "RECUSADA": "DECLINED", "BLOQUEADA": "BLOCKED"}
 PT_CUSTOMER_NAMES = {
     "cpf": "tax_id", "nome_completo": "full_name", "data_nascimento": "birth_date",
     "estado": "state", "cidade": "city", "cep": "postcode", "telefone_celular": "mobile_phone",

@@ -72,7 +72,7 @@ NOT_FOUND = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 def resolve_source(
     spark: SparkSession, flat: str, dated: str, schema: StructType = schemas.TRANSACTION,
-    file_glob: str = "transactions_*",
+    file_glob: str = "transactions_*", json_glob: str = "*.json*",
 ) -> Source:
     """The first of four layouts that has rows: flat Parquet, flat JSON lines, dated Parquet, dated JSON.
 
@@ -84,9 +84,9 @@ def resolve_source(
          lambda: parquet_glob(spark, f"{flat}/{file_glob}.parquet")),
         ("jsonl", flat,
          lambda: spark.read.schema(schema).option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", "*.json*").json(flat)),
+         .option("pathGlobFilter", json_glob).json(flat)),
         ("parquet", dated_path, lambda: dated_parquet(spark, dated, f"{file_glob}.parquet", schema)),
-        ("jsonl", dated_path, lambda: dated_json(spark, dated, schema, "*.json*")),
+        ("jsonl", dated_path, lambda: dated_json(spark, dated, schema, json_glob)),
     ]
     for kind, path, read in layouts:
         try:

@@ -24,7 +24,7 @@ def test_enriched_job_reads_the_portuguese_feed(spark, folder):
     devices = [{"device_id": "d1", "customer_id": "c1", "os_name": "iOS", "is_rooted": True, "is_emulator": False,
                 "is_trusted": False, "risk_score": 90}]
     feed = [{"transaction_id": f"t{i}", "customer_id": "c1", "device_id": "d1", "timestamp": "2024-05-01T23:30:00",
-             "tipo": "PIX", "valor": 6000.0, "is_fraud": False, "horario_incomum": True} for i in range(3)]
+             "tipo": "PIX", "valor": 6000.0, "is_fraud": False, "horario_incomum": True, "status": "APROVADA"} for i in range(3)]
     for name, rows in (("customers", people), ("devices", devices), ("transactions_1", feed)):
         with open(f"{folder}/{name}.json", "w") as f:
             f.writelines(json.dumps(r) + "\n" for r in rows)
@@ -34,6 +34,8 @@ def test_enriched_job_reads_the_portuguese_feed(spark, folder):
     # Unusual time 15, amount 15, PIX 5, night 10, untrusted device 25, tampered 30, device score 15, minor 15.
     assert [tuple(r) for r in scored.select("risk_points", "risk_level", "customer_age").distinct().collect()] == [
         (130, "CRITICAL", 14)]
+    months = spark.read.parquet(f"{folder}/out/gold/fraud_metrics").first()
+    assert (months.tx_year, months.tx_month, months.approved_count, months.approval_rate) == (2024, 5, 3, 100.0)
     summary = spark.read.parquet(f"{folder}/out/gold/customer_summary").first()
     assert (summary.tax_id_digits, summary.income_band, summary.customer_risk_level) == ("123", "UP_TO_2K", "LOW")
 
