@@ -1,11 +1,10 @@
 """Aggregate tables (A) and the customer summary."""
 
 from riskloom.catalog.base import (
-    as_of_date, check, count_where, customers, devices, geo_feed, gold, half_up, mean, mean_amount, percent, query,
-    silver, text, volume,
+    CTES, as_of_date, check, count_where, customers, devices, feed, geo_feed, gold, half_up, mean, mean_amount,
+    percent, query, silver, volume,
 )
-from riskloom.catalog.base import feed
-from riskloom.catalog.scoring import ENRICHED_CTE, ENRICHED_LEVEL, GEO_CTES, SENSITIVE_SQL, _sensitive_score
+from riskloom.catalog.scoring import ENRICHED_CTE, ENRICHED_LEVEL, GEO_CTES, SENSITIVE_SQL, sensitive_score
 from riskloom.operators import detection, enrich, marts
 
 
@@ -95,13 +94,11 @@ CUSTOMER_SQL = f"""SELECT customer_id, count(*) AS total_transactions, {volume()
 _RATE = percent("m.fraud_transactions", "m.total_transactions", 2)
 _LEVEL = f"""CASE WHEN {_RATE} > 5 THEN 'VERY_HIGH' WHEN {_RATE} > 2 THEN 'HIGH'
     WHEN m.critical_risk_count + m.high_risk_count > 5 THEN 'MEDIUM' ELSE 'LOW' END"""
-_CUSTOMER_CTES = {"fx_customers": None, "customers": None}
 
 
 def _summary_check(select: str) -> str:
-    from riskloom.catalog.base import CTES
-    extra = {name: CTES[name] for name in _CUSTOMER_CTES}
-    return check("gold", select, measures=CUSTOMER_SQL, **extra)
+    people = {name: CTES[name] for name in ("fx_customers", "customers")}
+    return check("gold", select, measures=CUSTOMER_SQL, **people)
 
 
 def _running(key: str, *columns: str, where: str = "") -> str:
@@ -145,7 +142,7 @@ ORACLE = {
     "a08_risk_levels": check("gold", _value_counts("gold", "risk_level")),
     "a09_category_by_level": check("silver", """SELECT category, risk_level, count(*) AS count FROM silver
         JOIN sensitive_scored USING (transaction_id) GROUP BY category, risk_level""",
-                                   sensitive=SENSITIVE_SQL, sensitive_scored=_sensitive_score("is_high_value")),
+                                   sensitive=SENSITIVE_SQL, sensitive_scored=sensitive_score("is_high_value")),
     "a10_type_by_level": RUNNING_SQL["metrics_by_type"],
     "a11_channel_by_level": RUNNING_SQL["metrics_by_channel"],
     "a12_category_by_mcc": RUNNING_SQL["metrics_by_category"],

@@ -1,6 +1,5 @@
 """Dashboard questions (Q, U)."""
 
-from pyspark.sql import functions as F
 
 from riskloom.catalog.aggregates import monthly_sql
 from riskloom.catalog.base import (

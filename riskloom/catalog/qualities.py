@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog.base import (
     alerts, as_of_time, check, count_where, feed, geo_feed, gold, half_up, percent, query, silver,
 )
-from riskloom.catalog.scoring import GAP, GEO_FLAG_SQL, HAVERSINE, _GAP
+from riskloom.catalog.scoring import GAP, GEO_FLAG_SQL, HAVERSINE, RAW_GAP
 from riskloom.functions import flags, geo
 from riskloom.plans import quality
 
@@ -73,7 +73,7 @@ def _quality(levels: str) -> str:
         FROM cells""", cells=cells)
 
 
-_PLANAR = f"({_GAP}) * 111"
+_PLANAR = f"({RAW_GAP}) * 111"
 _METRES = f"CAST(round_even(abs({_PLANAR} - {HAVERSINE}) * 1000, 0) AS BIGINT)"
 
 ORACLE = {

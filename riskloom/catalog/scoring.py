@@ -113,9 +113,9 @@ QUERIES = {
     "v2_haversine_sql": query(_haversine_sql),
 }
 
-_GAP = """sqrt((device_latitude - purchase_latitude) * (device_latitude - purchase_latitude)
+RAW_GAP = """sqrt((device_latitude - purchase_latitude) * (device_latitude - purchase_latitude)
     + (device_longitude - purchase_longitude) * (device_longitude - purchase_longitude))"""
-GAP = half_up(_GAP, 4)
+GAP = half_up(RAW_GAP, 4)
 HAVERSINE = """asin(sqrt(sin(radians(device_latitude - purchase_latitude) / 2) * sin(radians(device_latitude - purchase_latitude) / 2)
     + cos(radians(purchase_latitude)) * cos(radians(device_latitude))
     * sin(radians(device_longitude - purchase_longitude) / 2) * sin(radians(device_longitude - purchase_longitude) / 2))) * 12742"""
@@ -166,7 +166,7 @@ GEO_CTES = {
 }
 
 
-def _sensitive_score(high_value: str) -> str:
+def sensitive_score(high_value: str) -> str:
     points = _sum({
         _C: 15, _N: 10, high_value: 20, _V: 15, _G: 25, "is_cross_state_no_travel": 30,
         "is_first_purchase_in_state": 10, "is_international": 15,
@@ -217,8 +217,8 @@ ORACLE = {
     "r3_geo_alerts": check("movement", """SELECT transaction_id, customer_id, amount_clean AS amount,
         merchant_name AS merchant, fraud_score, risk_level, is_fraud, customer_home_state, purchase_state
         FROM geo_scored WHERE fraud_score >= 30""", **GEO_CTES),
-    "r4_sensitive_score": check("silver", _sensitive_score("is_high_value"), sensitive=SENSITIVE_SQL),
-    "r4_sensitive_raw_amount": check("silver", _sensitive_score("is_high_value_raw"), sensitive=SENSITIVE_SQL),
+    "r4_sensitive_score": check("silver", sensitive_score("is_high_value"), sensitive=SENSITIVE_SQL),
+    "r4_sensitive_raw_amount": check("silver", sensitive_score("is_high_value_raw"), sensitive=SENSITIVE_SQL),
     "r5_stream_points": check("stream", "SELECT transaction_id, fraud_score_additional FROM stream_silver"),
     "r5b_stream_load_points": check("stream", """SELECT transaction_id, load_points AS fraud_score_additional,
         load_combined AS fraud_score_combined, load_level AS risk_level FROM stream_silver"""),
@@ -234,7 +234,7 @@ ORACLE = {
     "j2_customers": check("enriched", """SELECT s.transaction_id, s.customer_id, c.age AS customer_age,
         c.monthly_income AS customer_income, c.income_band AS customer_income_band,
         c.is_premium AS customer_is_premium FROM silver s LEFT JOIN customers c ON s.customer_id = c.customer_id"""),
-    "j4_distance_methods": check("silver", f"""SELECT transaction_id, {half_up(_GAP + " * 111", 3)} AS planar_km,
+    "j4_distance_methods": check("silver", f"""SELECT transaction_id, {half_up(RAW_GAP + " * 111", 3)} AS planar_km,
         {half_up(HAVERSINE, 3)} AS haversine_km FROM silver"""),
     "v1_haversine_pandas": check("silver", f"SELECT transaction_id, {half_up(HAVERSINE, 3)} AS km FROM silver"),
     "v2_haversine_sql": check("silver", f"SELECT transaction_id, {half_up(HAVERSINE, 3)} AS km FROM silver"),

@@ -32,7 +32,7 @@ def with_epoch(df: DataFrame, time: str = "timestamp_dt", unit: str = "timestamp
 
 def previous_values(
     df: DataFrame, columns: list[str], key: str = "customer_id", order: list[str] | None = None,
-    slice_seconds: int = SLICE_SECONDS, **limits: int,
+    slice_seconds: int = SLICE_SECONDS, **limits,
 ) -> DataFrame:
     """Add ``_prev``: the given columns of the row before, per key in the given order."""
     order = order or ["epoch", "transaction_id"]
@@ -48,24 +48,28 @@ def _previous_in_slices(
     """The first row of a slice continues from the last row of the nearest earlier slice that has rows.
     The table of last rows holds one row per key and slice, so its size follows the time span, not the
     number of transactions."""
-    sliced = df.withColumn("_slice", F.floor(F.col("epoch") / slice_seconds))
-    inside = Window.partitionBy(key, "_slice").orderBy(*order)
-    across = Window.partitionBy(key).orderBy("_slice")
-    last = sliced.groupBy(key, "_slice").agg(
+    slice_of = F.struct(F.floor(F.col("epoch") / slice_seconds))
+    sliced = df.withColumns({"_key": _group(key), "_slice": slice_of})
+    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
+    across = Window.partitionBy("_key").orderBy("_slice")
+    last = sliced.groupBy("_key", "_slice").agg(
         F.max_by(F.struct(*columns), F.struct(*order)).alias("_last")
     )
-    carried = last.select(
-        F.col(key).alias("_key"), F.col("_slice").alias("_at"), F.lag("_last").over(across).alias("_carried")
-    )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_at"))
+    carried = last.select("_key", "_slice", F.lag("_last").over(across).alias("_carried"))
     return (
         sliced.withColumn("_prev", F.lag(F.struct(*columns)).over(inside))
-        .join(carried, same, "left")
+        .join(carried, ["_key", "_slice"], "left")
         .withColumn("_prev", F.coalesce("_prev", "_carried"))
-        .drop("_slice", "_key", "_at", "_carried")
+        .drop("_slice", "_key", "_carried")
     )
 
 
+def _group(key: str) -> Column:
+    """The key as a one-field struct: null is then a value that equals itself, and windows, aggregates
+    and joins on it share one partitioning, where a null-safe join on the bare key would shuffle again."""
+    return F.struct(key)
+
+
 def movement(df: DataFrame, distance=geo.planar_km, **options) -> DataFrame:
     """Time, distance and speed since the customer's previous transaction, and the two flags on them.
 
@@ -99,7 +103,7 @@ def movement(df: DataFrame, distance=geo.planar_km, **options) -> DataFrame:
 
 def rolling(
     df: DataFrame, seconds: int, include_now: bool, prefix: str, amount: str = "amount",
-    key: str = "customer_id", slice_seconds: int = SLICE_SECONDS, **limits: int,
+    key: str = "customer_id", slice_seconds: int = SLICE_SECONDS, **limits,
 ) -> DataFrame:
     """Add ``<prefix>_count``, ``<prefix>_amounts`` and ``<prefix>_sum`` over the ``seconds`` before each row.
 
@@ -115,12 +119,13 @@ def rolling(
     if seconds % slice_seconds:
         raise ValueError("seconds must be a whole number of slices")
     ordinary, heavy = split_heavy(df.withColumn("_cents", cents(amount)), key, **limits)
+    heavy = heavy.withColumns({
+        "_key": _group(key), "_slice": F.floor(F.col("epoch") / slice_seconds).cast("int")
+    })
+    slices = seconds // slice_seconds
     whole = _entered_less_left(ordinary.withColumn("_slice", F.lit(0)), seconds, 0, include_now, key)
-    cut = _entered_less_left(
-        heavy.withColumn("_slice", F.floor(F.col("epoch") / slice_seconds).cast("int")),
-        seconds, seconds // slice_seconds, include_now, key,
-    )
-    both = whole.unionByName(_add_earlier_slices(cut, heavy, seconds, key, slice_seconds))
+    cut = _entered_less_left(heavy, seconds, slices, include_now, "_key")
+    both = whole.unionByName(_add_earlier_slices(cut, heavy, slices).drop("_key"))
     return both.withColumns({
         f"{prefix}_count": F.col("_n"),
         f"{prefix}_amounts": F.col("_a"),
@@ -159,21 +164,18 @@ def _entered_less_left(df: DataFrame, seconds: int, slices: int, include_now: bo
     return both.withColumns({n: difference(v) for n, v in _measures().items()}).where(~visitor).drop("_at", "_visitor")
 
 
-def _add_earlier_slices(cut: DataFrame, rows: DataFrame, seconds: int, key: str, slice_seconds: int) -> DataFrame:
+def _add_earlier_slices(cut: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
     """Add the totals of the slices that the span reaches back over; the visitors take off again what
     lies before its start. There is one total per key and slice, however many rows they hold."""
-    back = Window.partitionBy(key).orderBy("_slice").rangeBetween(-(seconds // slice_seconds), -1)
-    sliced = rows.where(F.col("epoch").isNotNull()).withColumn(
-        "_slice", F.floor(F.col("epoch") / slice_seconds).cast("int")
-    )
+    back = Window.partitionBy("_key").orderBy("_slice").rangeBetween(-slices, -1)
     names = list(_measures())
-    totals = sliced.groupBy(key, "_slice").agg(*[F.sum(v).alias(n) for n, v in _measures().items()]).select(
-        F.col(key).alias("_key"), F.col("_slice").alias("_place"), *[F.sum(n).over(back).alias(f"{n}_before") for n in names]
+    totals = (
+        rows.where(F.col("epoch").isNotNull()).groupBy("_key", "_slice")
+        .agg(*[F.sum(v).alias(n) for n, v in _measures().items()])
+        .select("_key", "_slice", *[F.sum(n).over(back).alias(f"{n}_before") for n in names])
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_place"))
-    joined = cut.join(totals, same, "left")
     added = {n: F.col(n) + F.coalesce(F.col(f"{n}_before"), F.lit(0)) for n in names}
-    return joined.withColumns(added).drop("_key", "_place", *[f"{n}_before" for n in names])
+    return cut.join(totals, ["_key", "_slice"], "left").withColumns(added).drop(*[f"{n}_before" for n in names])
 
 
 def last_day(df: DataFrame, **options) -> DataFrame:
@@ -200,10 +202,8 @@ def first_use(df: DataFrame, value: str, name: str, key: str = "customer_id") ->
     and is joined back; a pair holding very many rows is then split by adaptive execution.
     """
     order = ["epoch", "transaction_id"]
-    first = df.where(F.col(value).isNotNull()).groupBy(
-        F.col(key).alias("_key"), F.col(value).alias("_value")
-    ).agg(F.min(F.struct(*order)).alias("_first"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(value) == F.col("_value"))
-    return df.join(first, same, "left").withColumn(
+    keyed = df.withColumns({"_key": _group(key), "_value": F.col(value)})
+    first = keyed.where(F.col(value).isNotNull()).groupBy("_key", "_value").agg(F.min(F.struct(*order)).alias("_first"))
+    return keyed.join(first, ["_key", "_value"], "left").withColumn(
         name, flags.flag(F.struct(*order) == F.col("_first"))
     ).drop("_key", "_value", "_first")

@@ -24,8 +24,14 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS, max_keys: int
     return counts.where((F.col("_n") >= min_rows) & (F.col("_n") * max_keys >= total)).select("_heavy")
 
 
-def split_heavy(df: DataFrame, key: str, **limits: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys); null is a key like any other."""
-    heavy = F.broadcast(heavy_keys(df, key, **limits))
+def split_heavy(
+    df: DataFrame, key: str, heavy: DataFrame | None = None, **limits: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of heavy keys); null is a key like any other.
+
+    ``heavy`` takes the result of ``heavy_keys`` when it is known already, so that several features on
+    the same rows count them once.
+    """
+    heavy = F.broadcast(heavy_keys(df, key, **limits) if heavy is None else heavy)
     same = F.col(key).eqNullSafe(F.col("_heavy"))
     return df.join(heavy, same, "left_anti"), df.join(heavy, same, "left_semi")

@@ -97,6 +97,12 @@ def test_unknown_times_agree(spark, feed):
         assert plain == sliced
 
 
+def test_known_heavy_keys_are_used_as_given(feed):
+    hot = heavy_keys(feed, "customer_id", min_rows=50, max_keys=3)
+    given = {tuple(r) for r in history.last_day(feed, heavy=hot).collect()}
+    assert given == {tuple(r) for r in history.last_day(feed).collect()}
+
+
 def test_first_use(feed):
     got = {r.transaction_id: r.new for r in history.first_use(feed, "destination_bank", "new").collect()}
     assert len(got) == len(ROWS)

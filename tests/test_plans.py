@@ -48,3 +48,16 @@ def test_large_dimensions_are_not_broadcast(spark, small):
         assert "Broadcast" not in plan_of(joined)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_slices_meet_their_carried_rows_without_another_shuffle(spark, small):
+    rows = base.geo_feed(spark, small)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        order = ["epoch", "transaction_id"]
+        plan = plan_of(history._previous_in_slices(rows, history.PREVIOUS, "customer_id", order, 3600))
+        # Rows by key and slice; last rows by key and slice, by key, and back to key and slice.
+        assert plan.count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
