@@ -1,6 +1,5 @@
 """Dashboard questions (Q, U)."""
 
-
 from riskloom.catalog.aggregates import monthly_sql
 from riskloom.catalog.base import (
     alerts, as_of_time, check, count_where, feed, gold, half_up, mean, percent, query, volume,

@@ -81,9 +81,9 @@ def stream_silver(df: DataFrame) -> DataFrame:
     return schemas.pick(scored, schemas.STREAM_SILVER_COLUMNS)
 
 
-def stream_alerts(silver: DataFrame) -> DataFrame:
+def stream_alerts(silver: DataFrame, *more: str) -> DataFrame:
     high = silver.where(F.col("risk_level").isin("HIGH", "CRITICAL"))
-    return schemas.pick(high, schemas.STREAM_ALERT_COLUMNS)
+    return schemas.pick(high, [*schemas.STREAM_ALERT_COLUMNS, *more])
 
 
 def stream_load(df: DataFrame) -> DataFrame:

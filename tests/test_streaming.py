@@ -155,3 +155,12 @@ def test_stream_deduplication(spark, folder):
     unique = jobs.unique_within(stream_of(spark, folder, BATCHES)).select("transaction_id")
     sinks.append_table(unique, f"{folder}/out", f"{folder}/check", None).awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "b", "c", "d", "f", "g"]
+
+
+def test_registered_streams_read_tables_kept_as_folders(spark, small, folder):
+    from riskloom.catalog import streams
+    for name in ("lineitem", "orders", "part", "events"):
+        spark.read.parquet(f"{small}/{name}.parquet").repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    for name in ("t4_metrics_by_channel", "t_event_time_windows"):
+        whole, parts = streams.QUERIES[name](spark, small), streams.QUERIES[name](spark, folder)
+        assert rows(whole) == rows(parts) and whole.count() > 0
