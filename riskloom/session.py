@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,11 +47,14 @@ _own_folders: dict[str, str] = {}
 def work_folder(spark: SparkSession) -> str:
     """The folder shared by driver and executors, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a fresh local folder made.
+    Only where the session names none and runs on one machine (tests) is a fresh local folder made; a cluster
+    without the setting is an error, because its executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _own_folders:
         _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")

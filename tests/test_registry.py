@@ -3,8 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from riskloom.catalog import registry
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = registry.queries(), registry.oracle_sql()
 
 
 def _sorted(rows):
@@ -16,6 +17,11 @@ def test_every_query_has_a_check():
     assert len(QUERIES) > 140
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(CHECKS) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
