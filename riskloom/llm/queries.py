@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, packing, simhash_dedup
+from riskloom.llm import decontaminate, exact_dedup, packing, simhash_dedup, toxicity
 from riskloom.llm.common import table
 
 
@@ -12,6 +12,17 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -21,7 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_toxicity, op6_decontaminate, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 
