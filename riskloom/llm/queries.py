@@ -25,7 +25,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ def slow_fingerprint(text):
 
 @pytest.mark.parametrize("text", ["", None, "A", "a b", "a B c", "É é x y z", "a\x85b c d \x1c e", "x y x y x y x"])
 def test_fingerprint_equals_definition(text):
-    assert simhash_dedup.fingerprint((text or "").encode()) == slow_fingerprint(text)
+    assert int.from_bytes(simhash_dedup.block_sketch()((text or "").encode())[0], "big") == slow_fingerprint(text)
 
 
 def classes_by_hand(rows):
@@ -86,7 +86,7 @@ def classes_by_hand(rows):
 def test_simhash_classes_equal_brute_force(spark, small):
     for docs in (edge_docs(spark, True), spark.read.parquet(f"{small}/documents.parquet")):
         want = classes_by_hand([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
-        got = [(r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in simhash_dedup.classes(docs).collect()]
+        got = [(r.doc_id, int.from_bytes(r.fp, "big"), r.component_id) for r in simhash_dedup.classes(docs).collect()]
         key = lambda r: tuple((v is None, str(v)) for v in r)
         assert sorted(got, key=key) == sorted(want, key=key)
 
@@ -100,16 +100,18 @@ def test_links_connect_all_close_fingerprints(spark, monkeypatch, chunk):
     for centre in [rng.getrandbits(64) for _ in range(3)]:
         values |= {centre ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(1, 7))) & (2**64 - 1) for _ in range(150)}
     values = sorted((v & (2**64 - 1)) for v in values | {rng.getrandbits(64) for _ in range(300)})
-    signed = [v - 2**64 if v >> 63 else v for v in values]
-    fps = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(4)
-    found = simhash_dedup.links(fps).collect()
-    at = {v: i for i, v in enumerate(signed)}
+    masks = simhash_dedup._masks()
+    rows = [(v.to_bytes(8, "big"), [v & m if v & m < 2**63 else (v & m) - 2**64 for m in masks]) for v in values]
+    nodes = spark.createDataFrame(rows, "fp binary, keys array<long>").repartition(4)
+    found = simhash_dedup.links(nodes, 3).collect()
+    at = {v.to_bytes(8, "big"): i for i, v in enumerate(values)}
     near = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 3]
-    assert roots(len(values), [(at[r.a], at[r.b]) for r in found]) == roots(len(values), near)
+    assert roots(len(values), [(at[bytes(r.a)], at[bytes(r.b)]) for r in found]) == roots(len(values), near)
 
 
+@pytest.mark.parametrize("nearest", [False, True])
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 5, 9])
-def test_bit_sliced_groups_of_all_sizes(monkeypatch, radius):
+def test_bit_sliced_groups_of_all_sizes(monkeypatch, radius, nearest):
     rng = np.random.default_rng(radius)
     monkeypatch.setattr(bitslice, "LARGE", 40)
     monkeypatch.setattr(bitslice, "LANES", 150)
@@ -121,7 +123,8 @@ def test_bit_sliced_groups_of_all_sizes(monkeypatch, radius):
         flips = rng.integers(0, 64, size=(n, 4)).astype(np.uint64)
         parts.append(centre ^ np.bitwise_xor.reduce(np.uint64(1) << flips, axis=1))
     values = np.concatenate(parts)
-    a, b = bitslice.link_to_least(values, sizes, radius)
+    a, b = bitslice.spanning_links(values[:, None], sizes, radius, nearest)
+    a, b = values[a], values[b]
     order = {}
     for v in values:
         order.setdefault(int(v), len(order))
@@ -146,6 +149,47 @@ def test_near_deduplicate_keeps_the_first_of_each_class(spark):
     docs = edge_docs(spark, True)
     stays = simhash_dedup.deduplicate(docs)
     assert stays.columns == docs.columns
-    want = [r for r in simhash_dedup.classes(docs).collect() if r.doc_id is None or r.doc_id == r.component_id]
+    want = [r for r in simhash_dedup.near_classes(docs).collect() if r.doc_id is None or r.doc_id == r.component_id]
     ids = lambda rows: sorted(str(r.doc_id) for r in rows)
     assert ids(stays.collect()) == ids(want)
+
+
+def test_near_classes_find_edited_copies_and_leave_others(spark):
+    rng = random.Random(8)
+    texts = {}
+    for i in range(120):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(30, 400))]
+        texts[10 * i] = " ".join(words)
+        for j in range(1, rng.randrange(1, 4)):
+            copy = list(words)
+            for _ in range(max(1, len(words) // 120)):
+                copy[rng.randrange(len(copy))] = "changed"
+            texts[10 * i + j] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()}
+
+    def grams(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    similar = [i for i in texts if i % 10 and len(grams(texts[i]) & grams(texts[i // 10 * 10])) / len(grams(texts[i]) | grams(texts[i // 10 * 10])) >= 0.8]
+    assert len(similar) > 50
+    assert sum(got[i] == i // 10 * 10 for i in similar) >= 0.98 * len(similar)
+    assert all(got[i] // 10 == i // 10 for i in texts)
+    one = spark.createDataFrame([(1, "word " * 400), (2, "word " * 300), (3, "other " * 300)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash_dedup.near_classes(one).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_nearest_forest_has_the_least_total():
+    rng = random.Random(6)
+    for n in (1, 2, 9, 40):
+        edges = [(i, j, rng.randrange(6)) for i in range(n) for j in range(i) if rng.random() < 0.3]
+        left, right, d = (np.array([e[k] for e in edges], dtype=np.int64) for k in range(3))
+        chosen = bitslice.nearest_forest(n, left, right, d)
+        total, up = 0, list(range(n))
+        for i, j, x in sorted(edges, key=lambda e: e[2]):
+            if up[i] != up[j]:
+                up = [up[j] if u == up[i] else u for u in up]
+                total += x
+        assert d[chosen].sum() == total
+        assert len(chosen) == n - len(set(up))
