@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, packing, simhash_dedup, toxicity
+from riskloom.llm import decontaminate, exact_dedup, packing, pii, simhash_dedup, toxicity
 from riskloom.llm.common import table
 
 
@@ -12,6 +12,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and hash are of the plain spans; ``spans`` and ``n_added`` have those of the method too."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    plain = F.filter("spans", lambda s: ~s["added"])
+
+    def count(kind: str):
+        return F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.listed(plain), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["added"])).cast("long").alias("n_added"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -32,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_toxicity, op6_decontaminate, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 
