@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, packing, pii, simhash_dedup, toxicity
+from riskloom.llm import decontaminate, exact_dedup, licences, packing, pii, simhash_dedup, toxicity
 from riskloom.llm.common import table
 
 
@@ -36,6 +36,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.find(table(spark, sf_dir, "documents"))
+    base, more = F.col("phrases.label"), F.col("notices.label")
+
+    def listed(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+        F.array_min("phrases.start").alias("first_word"), F.array_max("phrases.start").alias("last_word"),
+        listed(base).alias("base_labels"), listed(F.concat(base, more)).alias("labels"), "score")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
@@ -45,7 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op8_licences, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 
