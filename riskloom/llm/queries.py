@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, licences, packing, pii, simhash_dedup, toxicity
+from riskloom.llm import decontaminate, exact_dedup, licences, packing, pii, simhash_dedup, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.find(table(spark, sf_dir, "documents"))
     base, more = F.col("phrases.label"), F.col("notices.label")
@@ -58,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op8_licences, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 
@@ -72,4 +76,13 @@ ORACLE = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256
         FROM keyed WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)""",
+    "op7_warc": """
+        WITH keyed AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        grouped AS (
+          SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM keyed)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM grouped""",
 }
