@@ -3,10 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, licences, packing, pii, simhash_dedup, toxicity, warc
+from riskloom.llm import decontaminate, exact_dedup, licences, line_dedup, packing, pii, simhash_dedup, toxicity, warc
 from riskloom.llm.common import table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those that repeat an earlier line exactly or within two edits, and those with near texts."""
+    found = line_dedup.repeated_lines(line_dedup.numbered(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", F.col("n_lines"), F.size("lines").cast("long").alias("n_dropped"), F.col("n_near").alias("n_near_lines"),
+        F.array_join("lines", ",").alias("dropped_lines"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.decisions(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -62,7 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 
