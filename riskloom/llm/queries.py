@@ -3,10 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, licences, line_dedup, packing, pii, simhash_dedup, toxicity, warc
+from riskloom.llm import decontaminate, exact_dedup, licences, line_dedup, lm_scoring, packing, pii, simhash_dedup, toxicity, warc
 from riskloom.llm.common import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target documents are those labelled as of good quality."""
+    target = table(spark, sf_dir, "labels").where("quality = 1")
+    found = lm_scoring.score(table(spark, sf_dir, "documents"), target)
+    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, those that repeat an earlier line exactly or within two edits, and those with near texts."""
     found = line_dedup.repeated_lines(line_dedup.numbered(table(spark, sf_dir, "documents")))
@@ -70,11 +77,42 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _loss(kind: str) -> str:
+    """Mean loss of a document; ``kind`` is t (target) or b (background)."""
+    single = f"((coalesce(w.{kind}, 0) + 1.0::DOUBLE) / (total.{kind} + total.types))"
+    both = f"least(coalesce(p.{kind}, 0), coalesce(c.{kind}, 0), coalesce(w.{kind}, 0))"
+    smooth = f"{lm_scoring.SMOOTHING}::DOUBLE"
+    return f"avg(-ln(({both} + {smooth} * {single}) / (coalesce(c.{kind}, 0) + {smooth})))"
+
+
 
 ORACLE = {
+    "op1_lm_scoring": rf"""
+        WITH docs AS (SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws,
+            doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS hit FROM documents),
+        tokens AS (SELECT row, hit, generate_subscripts(ws, 1) AS place, unnest(ws) AS word FROM docs),
+        counts AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+        kept AS (SELECT word, n FROM (SELECT *, count(*) OVER (ORDER BY n DESC) AS total FROM counts) WHERE total <= {lm_scoring.WORDS}),
+        vocabulary AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS id FROM kept),
+        numbered AS (SELECT row, hit, place, coalesce(id, 0) AS own FROM tokens LEFT JOIN vocabulary USING (word)),
+        pairs AS (SELECT *, (before * {lm_scoring.STEP} + own) % {lm_scoring.BUCKETS} AS bucket FROM (
+          SELECT *, coalesce(lag(own) OVER (PARTITION BY row ORDER BY place), (SELECT count(*) + 1 FROM vocabulary)) AS before FROM numbered)),
+        w AS (SELECT own, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY own),
+        c AS (SELECT before, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY before),
+        p AS (SELECT bucket, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY bucket),
+        total AS (SELECT count(*) AS b, count_if(hit) AS t, (SELECT count(*) + 1 FROM vocabulary) AS types FROM pairs),
+        losses AS (SELECT row, {_loss("t")} AS target_loss, {_loss("b")} AS background_loss
+          FROM pairs JOIN w USING (own) JOIN c USING (before) JOIN p USING (bucket), total GROUP BY row)
+        SELECT doc_id, len(ws) AS n_tokens, round(target_loss, 6) AS target_loss, round(background_loss, 6) AS background_loss,
+               round(target_loss - background_loss, 6) AS score
+        FROM docs LEFT JOIN losses USING (row)""",
     "op3_exact_dedup": rf"""
         WITH keyed AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,
