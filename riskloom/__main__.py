@@ -56,7 +56,7 @@ def sensitive(spark, o):
 
 
 def load(spark, o):
-    layers.load_reports(spark, o.root, o.url, properties(o.properties))
+    layers.load_reports(spark, o.root, o.url, properties(o.properties), o.connections)
 
 
 def copy(spark, o):
@@ -64,7 +64,7 @@ def copy(spark, o):
 
 
 def _feed(spark, o):
-    return readers.topic_stream(spark, o.servers, o.topic)
+    return readers.topic_stream(spark, o.servers, o.topic, per_trigger=o.per_trigger)
 
 
 def stream(spark, o):
@@ -112,6 +112,10 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{name}", default=DEFAULTS.get(name), required=name not in DEFAULTS)
         if job is copy:
             sub.add_argument("--partition-by", nargs="*")
+        if job in (stream, live, score):
+            sub.add_argument("--per-trigger", type=int)
+        if job is load:
+            sub.add_argument("--connections", type=int)
         if job in (live, score):
             sub.add_argument("--url")
             sub.add_argument("--properties")

@@ -121,9 +121,9 @@ RUNNING_SQL = {
                                       where="WHERE card_brand IS NOT NULL"),
 }
 
-RECENT_SQL = """SELECT transaction_id, customer_id, amount, merchant_name AS merchant, merchant_category AS category,
+RECENT_SQL = """SELECT CAST({time} AS VARCHAR) AS detected_at, transaction_id, customer_id, amount, merchant_name AS merchant, merchant_category AS category,
     channel, type AS transaction_type, card_brand FROM {table} WHERE is_fraud
-    ORDER BY {time} DESC, transaction_id LIMIT 100"""
+    ORDER BY {table}.{time} DESC, transaction_id LIMIT 100"""
 
 ORACLE = {
     "a01_monthly": check("gold", monthly_sql("gold", _counts(_TYPES) + ",")),

@@ -8,8 +8,9 @@ from riskloom.operators import detection, marts
 from riskloom.plans import dashboard
 
 DAY_START, DAY_END = "2000-01-01 00:00:00", "2000-06-30 23:59:59"
-LIVE_AS_OF = "2000-06-30 12:00:00"
-RAPID_HOURS = 24 * 365
+# Points in time whose last minutes and last day have rows in the fixtures.
+LIVE_AS_OF = "2000-02-23 00:00:00"
+RAPID_AS_OF = "1999-10-18 00:00:00"
 
 
 def _on_gold(question, *args):
@@ -57,7 +58,7 @@ QUERIES = {
     "q23_weekend_hour": _on_gold(dashboard.weekend_hour_pattern),
     "q24_score_precision": _on_gold(dashboard.score_precision),
     "q25_rapid_customers": query(lambda s, d: dashboard.rapid_customers(
-        alerts(s, d), as_of_time("2001-08-01 00:00:00"), RAPID_HOURS)),
+        alerts(s, d), as_of_time(RAPID_AS_OF))),
     "q26_location_flags": _on_alerts(dashboard.location_flags),
     "q27_months": _on_gold(dashboard.months),
     "q28_channels": _on_gold(dashboard.choices, "channel"),
@@ -68,7 +69,7 @@ QUERIES = {
     "q32_types_of_channel": _on_gold(dashboard.types_of_channel, "WEB_BANKING"),
     "q33_latest_transactions": query(_latest),
     "q34_latest_fraud_value": query(lambda s, d: dashboard.latest_fraud_value(
-        _live(s, d), as_of_time(LIVE_AS_OF), minutes=60 * 24 * 30)),
+        _live(s, d), as_of_time(LIVE_AS_OF))),
     "q35_level_precision": _on_gold(dashboard.level_precision),
     "q36_overall_detection": _on_gold(dashboard.overall_detection),
     "q37_levels_with_score": _on_gold(dashboard.levels_with_score),
@@ -153,7 +154,7 @@ ORACLE = {
         CASE min(CASE risk_level WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END)
           WHEN 1 THEN 'CRITICAL' WHEN 2 THEN 'HIGH' WHEN 3 THEN 'MEDIUM' ELSE 'LOW' END AS max_risk,
         max(risk_level) AS max_risk_text FROM alerts
-        WHERE timestamp_dt >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL {RAPID_HOURS} HOUR
+        WHERE timestamp_dt BETWEEN TIMESTAMP '{RAPID_AS_OF}' - INTERVAL 24 HOUR AND TIMESTAMP '{RAPID_AS_OF}'
         GROUP BY customer_id HAVING count(*) > 3 ORDER BY count(*) DESC, customer_id LIMIT 20"""),
     "q26_location_flags": _alerts(f"""SELECT flag_location, count(*) AS alerts,
         {mean("distance_from_last_txn_km")} AS avg_distance_km FROM alerts WHERE flag_location IS NOT NULL
@@ -168,10 +169,11 @@ ORACLE = {
         GROUP BY type"""),
     "q33_latest_transactions": check("stream", f"""SELECT transaction_id, CAST(event_time AS VARCHAR) AS event_time, type,
         amount_clean AS amount, risk_level, is_fraud FROM stream_silver
-        WHERE stream_silver.event_time >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 5 MINUTE
+        WHERE stream_silver.event_time BETWEEN TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 5 MINUTE AND TIMESTAMP '{LIVE_AS_OF}'
         ORDER BY stream_silver.event_time DESC, transaction_id LIMIT 100"""),
     "q34_latest_fraud_value": check("stream", f"""SELECT count(*) AS frauds, {volume("amount_clean")} AS value
-        FROM stream_silver WHERE is_fraud AND event_time >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 30 DAY"""),
+        FROM stream_silver WHERE is_fraud
+          AND event_time BETWEEN TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 5 MINUTE AND TIMESTAMP '{LIVE_AS_OF}'"""),
     "q35_level_precision": _gold(f"""SELECT risk_level, count(*) AS total, {count_where("is_fraud")} AS true_positives,
         {count_where("NOT is_fraud")} AS false_positives, {RATE} AS "precision" FROM gold
         WHERE risk_level IN ('CRITICAL', 'HIGH', 'MEDIUM') GROUP BY risk_level"""),

@@ -18,7 +18,7 @@ def _flagged(spark, sf):
 
 def _distances(spark, sf):
     gaps = silver(spark, sf).select(geo.gps_gap().alias("distance_gps"))
-    return quality.distance_distribution(gaps, accuracy=1_000_000)
+    return quality.distance_distribution(gaps)
 
 
 def _events(spark, sf):
@@ -79,7 +79,7 @@ _METRES = f"CAST(round_even(abs({_PLANAR} - {HAVERSINE}) * 1000, 0) AS BIGINT)"
 ORACLE = {
     "a15_m3_distances": check("silver", """SELECT min(g) AS min, quantile_disc(g, 0.25) AS p25, quantile_disc(g, 0.5) AS p50,
         quantile_disc(g, 0.75) AS p75, quantile_disc(g, 0.9) AS p90, quantile_disc(g, 0.95) AS p95,
-        quantile_disc(g, 0.99) AS p99, max(g) AS max FROM gaps""", gaps=f"SELECT {GAP} AS g FROM silver"),
+        quantile_disc(g, 0.99) AS p99, max(g) AS max FROM gaps""", gaps=f"SELECT CAST(round_even({GAP} * 1000000, 0) AS DOUBLE) / 1000000 AS g FROM silver"),
     "m1_flag_prevalence": check("silver", _FLAG_SUMS, flagged=GEO_FLAG_SQL + " FROM silver"),
     "m2_flag_combinations": check("silver", _COMBO_SUMS, flagged=GEO_FLAG_SQL + " FROM silver"),
     "m4_row_counts": check("alerts", " UNION ALL ".join(

@@ -4,6 +4,7 @@ Line items arrive as a file stream and meet the other tables as static sides, so
 whole transaction feed. Streams are not de-duplicated.
 """
 
+import threading
 import uuid
 
 from pyspark.sql import functions as F
@@ -72,20 +73,42 @@ def _alerts(spark, sf):
 def _running(name):
     def build(spark, sf):
         root = _folder(spark)
-        silver = detection.stream_silver(_transactions(spark, sf))
+        silver = detection.stream_silver(_split_feed(spark, sf, root))
         started = sinks.replace_table(marts.RUNNING[name](silver), f"{root}/{name}", f"{root}/check", None)
         started.awaitTermination()
-        return spark.read.parquet(f"{root}/{name}")
+        return sinks.read_newest(spark, f"{root}/{name}")
     return query(build)
 
 
+PARTS = 4
+
+
+def _split_feed(spark, sf, root):
+    """The feed in several files, read one per micro-batch."""
+    rows = fixtures.fixture(spark, sf, fixtures.FX_TX).withColumnRenamed("event_ts", "timestamp")
+    rows.repartition(PARTS).write.parquet(f"{root}/feed")
+    return readers.parquet_stream(spark, f"{root}/feed", rows.schema, 1)
+
+
+_drained: dict[tuple[str, str], str] = {}
+_lock = threading.Lock()
+
+
+def _live_root(spark, sf) -> str:
+    """One drained run of the live job in several micro-batches, older ones compacted, shared by its four tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    with _lock:
+        if key not in _drained:
+            root = _folder(spark)
+            write = sinks.batch_folder_writer(f"{root}/live")
+            jobs.live_dashboard(_split_feed(spark, sf, root), write, f"{root}/check", None).awaitTermination()
+            jobs.compact_live(spark, f"{root}/live")
+            _drained[key] = root
+        return _drained[key]
+
+
 def _live(name):
-    def build(spark, sf):
-        root = _folder(spark)
-        write = sinks.batch_folder_writer(f"{root}/live")
-        jobs.live_dashboard(_transactions(spark, sf), write, f"{root}/check", None).awaitTermination()
-        return jobs.read_live(spark, f"{root}/live", name)
-    return query(build)
+    return query(lambda spark, sf: jobs.read_live(spark, f"{_live_root(spark, sf)}/live", name))
 
 
 def _fan_out(name):

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import flags, ladders, text
+from riskloom.functions.measures import finite
 
 # Which copy of a transaction is kept: the earliest, then by content.
 TRANSACTION_ORDER = ["timestamp", "amount", "device_id", "merchant_name", "merchant_category"]
@@ -33,8 +34,8 @@ def positive_amounts(df: DataFrame, amount: str = "amount") -> DataFrame:
 
 
 def clean_amount(amount: str = "amount") -> Column:
-    """Negative amounts count as their absolute value."""
-    return F.abs(F.col(amount))
+    """Negative amounts count as their absolute value, in whole cents; what is no number is null."""
+    return F.round(F.abs(finite(amount)), 2)
 
 
 def calendar(time: Column) -> dict[str, Column]:

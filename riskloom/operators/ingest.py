@@ -6,15 +6,18 @@ from pyspark.sql.types import LongType, StructType
 
 from riskloom import schemas
 from riskloom.functions import ladders
+from riskloom.functions.measures import finite
 
 
 def parse_json(df: DataFrame, column: str = "value", schema: StructType = schemas.TRANSACTION) -> DataFrame:
     """JSON text or message bytes to typed columns; messages without a transaction key are dropped.
 
-    A malformed message parses to nulls and is dropped with them; a field of the wrong type is null.
+    A malformed message parses to nulls and is dropped with them; a field of the wrong type, and a number that is NaN
+    or infinite, is null.
     """
     parsed = df.select(F.from_json(F.col(column).cast("string"), schema).alias("data")).select("data.*")
-    return with_key(parsed)
+    numbers = {f.name: finite(f.name) for f in schema.fields if f.dataType.simpleString() == "double"}
+    return with_key(parsed.withColumns(numbers) if numbers else parsed)
 
 
 def with_key(df: DataFrame, key: str = "transaction_id") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.measures import (
-    fraction, mean, mean_amount, percent, rows, rows_where, volume, volume_where,
+    cents, finite, fraction, mean, mean_amount, percent, rows, rows_where, volume, volume_where,
 )
 from riskloom.operators import rules
 
@@ -58,25 +58,37 @@ def by_group(scored: DataFrame, group: str) -> DataFrame:
 
 
 def customer_measures(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("customer_id").agg(
-        rows().alias("total_transactions"),
-        volume("amount").alias("total_amount"),
-        mean_amount("amount").alias("avg_amount"),
-        F.max("amount").alias("max_amount"),
-        F.min("amount").alias("min_amount"),
-        F.countDistinct("merchant_category").alias("unique_categories"),
-        F.countDistinct("destination_bank").alias("unique_banks"),
-        rows_where(F.col("is_fraud")).alias("fraud_transactions"),
-        rows_where(F.col("risk_level") == "CRITICAL").alias("critical_risk_count"),
-        rows_where(F.col("risk_level") == "HIGH").alias("high_risk_count"),
-        rows_where(F.col("status") == "APPROVED").alias("approved_count"),
-        rows_where(F.col("status") == "DECLINED").alias("declined_count"),
-        rows_where(F.col("unusual_time")).alias("unusual_time_count"),
-        rows_where(F.col("new_beneficiary")).alias("new_beneficiary_count"),
-        mean("fraud_score").alias("avg_fraud_score"),
+    """One pass by customer, category and bank with measures that add up, then by customer: categories and banks are
+    few for each customer, so counting the different ones needs no copy of the rows."""
+    counts = {
+        "total_transactions": F.lit(True),
+        "fraud_transactions": F.col("is_fraud"),
+        "critical_risk_count": F.col("risk_level") == "CRITICAL",
+        "high_risk_count": F.col("risk_level") == "HIGH",
+        "approved_count": F.col("status") == "APPROVED",
+        "declined_count": F.col("status") == "DECLINED",
+        "unusual_time_count": F.col("unusual_time"),
+        "new_beneficiary_count": F.col("new_beneficiary"),
+    }
+    parts = scored.groupBy("customer_id", "merchant_category", "destination_bank").agg(
+        *[rows_where(condition).alias(name) for name, condition in counts.items()],
+        F.try_sum(cents("amount")).alias("_cents"), F.count(cents("amount")).alias("_amounts"),
+        F.max("amount").alias("max_amount"), F.min("amount").alias("min_amount"),
+        F.sum("fraud_score").alias("_score"), F.count("fraud_score").alias("_scores"),
         F.max("fraud_score").alias("max_fraud_score"),
-        F.min("timestamp_dt").alias("first_transaction"),
-        F.max("timestamp_dt").alias("last_transaction"),
+        F.min("timestamp_dt").alias("first_transaction"), F.max("timestamp_dt").alias("last_transaction"),
+    )
+    whole, amounts = F.try_sum("_cents"), F.sum("_amounts")
+    return parts.groupBy("customer_id").agg(
+        *[F.sum(name).alias(name) for name in counts],
+        (whole / F.lit(100.0)).alias("total_amount"),
+        F.round(F.try_divide(whole.cast("double"), 100.0 * amounts), 2).alias("avg_amount"),
+        F.max("max_amount").alias("max_amount"), F.min("min_amount").alias("min_amount"),
+        F.size(F.collect_set("merchant_category")).cast("long").alias("unique_categories"),
+        F.size(F.collect_set("destination_bank")).cast("long").alias("unique_banks"),
+        F.round(F.try_divide(F.sum("_score"), F.sum("_scores")), 2).alias("avg_fraud_score"),
+        F.max("max_fraud_score").alias("max_fraud_score"),
+        F.min("first_transaction").alias("first_transaction"), F.max("last_transaction").alias("last_transaction"),
     )
 
 
@@ -131,7 +143,7 @@ def fraud_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         rows().alias("total_transactions"),
         rows_where(F.col("is_fraud")).alias("total_frauds"),
-        F.sum(F.when(F.col("is_fraud"), F.rint(F.col("amount") * 100).cast("long"))).alias("_cents"),
+        F.try_sum(F.when(F.col("is_fraud"), cents("amount"))).alias("_cents"),
     ).select(
         "total_transactions", "total_frauds", (F.col("_cents") / F.lit(100.0)).alias("fraud_amount"),
         percent(F.col("total_frauds"), F.col("total_transactions"), 2).alias("fraud_percent"),
@@ -186,15 +198,15 @@ RUNNING = {
 def minute_partials(df: DataFrame, group: str | None = None, time: str = "event_time") -> DataFrame:
     """Mergeable parts of the one-minute measures: counts, sums in cents, maximum; no rates yet."""
     fraud = F.col("is_fraud")
-    amount_cents = F.rint(F.col("amount") * 100).cast("long")
+    amount_cents = cents("amount")
     keys = [F.window(F.col(time), "1 minute").alias("window"), *([F.col(group)] if group else [])]
     return df.groupBy(*keys).agg(
         rows().alias("n"),
-        F.count("amount").alias("n_amounts"),
-        F.sum(amount_cents).alias("cents"),
+        F.count(amount_cents).alias("n_amounts"),
+        F.try_sum(amount_cents).alias("cents"),
         rows_where(fraud).alias("n_fraud"),
-        F.sum(F.when(fraud, amount_cents).otherwise(F.lit(0))).alias("fraud_cents"),
-        F.max("amount").alias("max_amount"),
+        F.try_sum(F.when(fraud, amount_cents).otherwise(F.lit(0))).alias("fraud_cents"),
+        F.max(finite("amount")).alias("max_amount"),
     ).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         *([group] if group else []), "n", "n_amounts", "cents", "n_fraud", "fraud_cents", "max_amount",
@@ -205,15 +217,15 @@ def merge_partials(partials: DataFrame, group: str | None = None) -> DataFrame:
     """Add up the parts of each window, so that every window is one row however many batches it took."""
     keys = ["window_start", "window_end", *([group] if group else [])]
     return partials.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("n", "n_amounts", "cents", "n_fraud", "fraud_cents")],
+        *[F.try_sum(c).alias(c) for c in ("n", "n_amounts", "cents", "n_fraud", "fraud_cents")],
         F.max("max_amount").alias("max_amount"),
     )
 
 
 def minute_metrics(partials: DataFrame, group: str | None = None) -> DataFrame:
     """The reported measures. The fraud rate is a fraction here, not a percentage."""
-    n, cents = F.col("n"), F.col("cents")
-    total = (cents / F.lit(100.0)).alias("total_amount")
+    n, whole = F.col("n"), F.col("cents")
+    total = (whole / F.lit(100.0)).alias("total_amount")
     rate = fraction(F.col("n_fraud"), n).alias("fraud_rate")
     if group:
         return partials.select(
@@ -223,15 +235,15 @@ def minute_metrics(partials: DataFrame, group: str | None = None) -> DataFrame:
     return partials.select(
         "window_start", "window_end", n.alias("total_transactions"), total,
         F.col("n_fraud").alias("fraud_count"), (F.col("fraud_cents") / F.lit(100.0)).alias("fraud_amount"),
-        rate, F.round(F.try_divide(cents.cast("double"), 100.0 * F.col("n_amounts")), 2).alias("avg_amount"),
+        rate, F.round(F.try_divide(whole.cast("double"), 100.0 * F.col("n_amounts")), 2).alias("avg_amount"),
         F.round("max_amount", 2).alias("max_amount"),
     )
 
 
 def recent_frauds(df: DataFrame, k: int = 100, time: str = "event_time") -> DataFrame:
-    """Latest frauds; newest first, ties by transaction."""
+    """Latest frauds with the time they happened; newest first, ties by transaction."""
     return df.where("is_fraud").orderBy(F.desc(time), "transaction_id").limit(k).select(
-        "transaction_id", "customer_id", "amount", F.col("merchant_name").alias("merchant"),
+        F.col(time).alias("detected_at"), "transaction_id", "customer_id", "amount", F.col("merchant_name").alias("merchant"),
         F.col("merchant_category").alias("category"), "channel", F.col("type").alias("transaction_type"),
         "card_brand",
     )

@@ -185,9 +185,9 @@ def score_precision(tx: DataFrame) -> DataFrame:
 def rapid_customers(
     alerts: DataFrame, as_of: Column, hours: int = 24, more_than: int = 3, k: int = 20
 ) -> DataFrame:
-    """Customers with many alerts in the last hours. ``max_risk`` is the gravest level; the alphabetical
+    """Customers with many alerts in the hours up to ``as_of``. ``max_risk`` is the gravest level; the alphabetical
     maximum that a plain text maximum gives is kept next to it for comparison."""
-    recent = alerts.where(F.col("timestamp_dt") >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+    recent = alerts.where(F.col("timestamp_dt").between(as_of - F.make_dt_interval(hours=F.lit(hours)), as_of))
     gravity = ladders.rank_of(F.col("risk_level"), ladders.LEVEL_ORDER)
     per_customer = recent.groupBy("customer_id").agg(
         rows().alias("transactions"),
@@ -236,7 +236,8 @@ def types_of_channel(tx: DataFrame, channel: str) -> DataFrame:
 
 
 def _last_minutes(tx: DataFrame, as_of: Column, minutes: int, time: str) -> DataFrame:
-    return tx.where(F.col(time) >= as_of - F.make_dt_interval(mins=F.lit(minutes)))
+    """Rows of the span that ends at ``as_of``, both ends included; what came later is not known yet."""
+    return tx.where(F.col(time).between(as_of - F.make_dt_interval(mins=F.lit(minutes)), as_of))
 
 
 def latest_transactions(

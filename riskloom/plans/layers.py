@@ -169,14 +169,17 @@ def run_simple(transactions: DataFrame, customers: DataFrame, root: str) -> None
     writers.write_table(marts.fraud_summary(cleaned), layers.path("gold/fraud_summary"))
 
 
-def load_reports(spark: SparkSession, root: str, url: str, properties: dict[str, str]) -> None:
-    """Gold tables into a database: the two large ones in parallel, the aggregates as they are."""
+def load_reports(
+    spark: SparkSession, root: str, url: str, properties: dict[str, str], connections: int | None = None
+) -> None:
+    """Gold tables into a database: the two large ones over several connections, the aggregates as they are."""
+    parallel = connections or writers.CONNECTIONS
     layers = Layers(root)
     scored = schemas.pick(
         readers.table(spark, layers.detection), [*schemas.REPORTING_COLUMNS, "_gold_timestamp"]
     )
-    writers.jdbc_overwrite(scored, url, "batch_transactions", properties)
-    writers.jdbc_overwrite(readers.table(spark, layers.alerts), url, "batch_fraud_alerts", properties)
+    writers.jdbc_overwrite(scored, url, "batch_transactions", properties, parallel)
+    writers.jdbc_overwrite(readers.table(spark, layers.alerts), url, "batch_fraud_alerts", properties, parallel)
     for name in ("fraud_metrics", "metrics_by_type", "metrics_by_channel"):
         report = readers.table(spark, layers.path(f"gold/{name}"))
         writers.jdbc_overwrite_small(report, url, f"batch_{name}", properties)

@@ -2,12 +2,12 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskloom import schemas
-from riskloom.functions.measures import fraction, percent, rows, rows_where
+from riskloom.functions.measures import cents, fraction, percent, rows, rows_where
 from riskloom.operators import enrich
 
 # Fixed values
@@ -43,14 +43,28 @@ def flag_combinations(df: DataFrame, combinations: dict[str, list[str]] = COMBIN
     return _shares(df, conditions, "combination", 2)
 
 
-def distance_distribution(df: DataFrame, column: str = "distance_gps", accuracy: int = 10_000) -> DataFrame:
-    """Minimum, percentiles and maximum. The rank error of a percentile is at most 1/``accuracy``; the
-    summaries it needs merge across tasks and grow with ``accuracy``, not with the rows."""
-    at = F.percentile_approx(column, list(PERCENTILES.values()), accuracy)
-    measured = df.agg(F.min(column).alias("min"), F.max(column).alias("max"), at.alias("_at"))
-    return measured.select(
-        "min", *[F.col("_at")[i].alias(name) for i, name in enumerate(PERCENTILES)], "max"
-    )
+def distance_distribution(df: DataFrame, column: str = "distance_gps", digits: int = 6) -> DataFrame:
+    """Minimum, percentiles and maximum of a measure rounded to ``digits``, exact at any size.
+
+    Values are counted first, which tasks combine before the shuffle; the percentile of a share p is the least value
+    whose running count reaches ``ceil(p * n)``. Running counts are added up by ranges of values, so that no task sees
+    all of them: within a range row by row, over the ranges from one total each.
+    """
+    unit = F.lit(10.0**digits)
+    whole = F.rint(F.col(column) * unit).cast("long")
+    counts = df.where(F.col(column).isNotNull()).groupBy(whole.alias("_v")).agg(rows().alias("_n"))
+    ranged = counts.withColumn("_range", F.floor(F.col("_v") / F.lit(10**digits)))
+    totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_t"))
+    before = totals.select("_range", (F.sum("_t").over(Window.orderBy("_range")) - F.col("_t")).alias("_before"))
+    running = F.sum("_n").over(Window.partitionBy("_range").orderBy("_v")) + F.col("_before")
+    ranked = ranged.join(before, "_range").withColumn("_upto", running)
+    size = counts.agg(F.sum("_n").alias("_total"))
+    least = [
+        F.min(F.when(F.col("_upto") >= F.ceil(F.lit(share) * F.col("_total")), F.col("_v"))).alias(name)
+        for name, share in PERCENTILES.items()
+    ]
+    found = ranked.join(F.broadcast(size)).agg(F.min("_v").alias("min"), *least, F.max("_v").alias("max"))
+    return found.select(*[(F.col(c) / unit).alias(c) for c in ("min", *PERCENTILES, "max")])
 
 
 def schema_report(layers: dict[str, DataFrame], contracts: dict[str, StructType]) -> dict[str, list]:
@@ -76,10 +90,10 @@ def detection_quality(tx: DataFrame, positives: tuple[str, ...] = ("CRITICAL", "
     """Recall, precision, F1 and accuracy in percent over labelled rows, and the money protected (found
     frauds), lost (missed frauds) and blocked wrongly. ``positives`` names the alarming levels."""
     alarm, fraud = F.col("risk_level").isin(*positives), F.col("is_fraud")
-    amount_cents = F.rint(F.col("amount") * 100).cast("long")
+    amount_cents = cents("amount")
 
     def money(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, amount_cents)), F.lit(0)) / F.lit(100.0)
+        return F.coalesce(F.try_sum(F.when(condition, amount_cents)), F.lit(0)) / F.lit(100.0)
 
     cells = {"tp": alarm & fraud, "fp": alarm & ~fraud, "fn": ~alarm & fraud, "tn": ~alarm & ~fraud}
     counted = tx.agg(

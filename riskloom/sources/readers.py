@@ -111,10 +111,10 @@ def topic_batch_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def topic_stream_options(
-    servers: str, topic: str, starting: str = "latest", per_trigger: int | None = 10_000,
+    servers: str, topic: str, starting: str = "latest", per_trigger: int | None = None,
     fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
-    """``per_trigger`` bounds a micro-batch; None leaves it open."""
+    """``per_trigger`` bounds the messages of a micro-batch; by default it takes all there are."""
     options = {
         "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),

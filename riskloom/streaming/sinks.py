@@ -28,11 +28,13 @@ def append_table(df: DataFrame, path: str, checkpoint: str, every: str | None =
 
 
 def replace_table(df: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
-    """Running aggregate: the whole result replaces the table after each micro-batch. File sinks do not
-    take complete results themselves."""
+    """Running aggregate: after each micro-batch the whole result becomes the table's next version. File sinks do
+    not take complete results themselves. ``read_newest`` reads the newest complete version, also while the next one
+    is written or after it has failed; the version before it is kept for readers that have begun."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        _remove(batch.sparkSession, path, "version", batch_id - 1)
 
     return _for_each(df, write, checkpoint, every, "complete")
 
@@ -81,13 +83,71 @@ def jdbc_writer(url: str, properties: dict[str, str]) -> BatchWriter:
 
 
 def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").drop("batch_id")
+    """All rows of a table written batch by batch, compacted or not."""
+    merged = numbered(spark, f"{root}/{name}-merged", "version")
+    upto = max(merged, default=-1)
+    paths = [f"{root}/{name}/batch_id={n}" for n in numbered(spark, f"{root}/{name}", "batch_id") if n > upto]
+    paths += [f"{root}/{name}-merged/version={upto}"] if merged else []
+    return spark.read.parquet(*paths)
+
+
+def compact(spark: SparkSession, root: str, name: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge all batches of a table but the newest, which may still be repeated, into one folder.
+
+    The merged folder names the last batch in it; readers leave out batches up to that one, so they may go afterwards
+    and a compaction that fails halfway changes nothing.
+    """
+    closed = numbered(spark, f"{root}/{name}", "batch_id")[:-1]
+    upto = max(numbered(spark, f"{root}/{name}-merged", "version"), default=-1)
+    paths = [f"{root}/{name}/batch_id={n}" for n in closed if n > upto]
+    if not paths:
+        return
+    paths += [f"{root}/{name}-merged/version={upto}"] if upto >= 0 else []
+    merge(spark.read.parquet(*paths)).write.mode("overwrite").parquet(f"{root}/{name}-merged/version={closed[-1]}")
+    _remove(spark, f"{root}/{name}", "batch_id", closed[-1] + 1)
+    _remove(spark, f"{root}/{name}-merged", "version", closed[-1])
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a table that is replaced as a whole."""
+    versions = numbered(spark, path, "version")
+    if not versions:
+        raise FileNotFoundError(f"no complete version below {path}")
+    return spark.read.parquet(f"{path}/version={versions[-1]}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers of the complete folders ``<label>=<n>`` below a path, in order."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(place) if status.isDirectory()]
+    found = [int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n in found if system.exists(marker(f"{path}/{label}={n}/_SUCCESS")))
+
+
+def _remove(spark: SparkSession, path: str, label: str, before: int) -> None:
+    """Delete complete folders with a number below ``before``."""
+    for n in numbered(spark, path, label):
+        if n < before:
+            system, place = _file_system(spark, f"{path}/{label}={n}")
+            system.delete(place, True)
 
 
 def wait_first_rows(query: StreamingQuery, pause: int = 1) -> None:
-    """Block until a job has written its first rows, so that the next one finds a folder to read."""
+    """Block until a job has written its first rows, so that the next one finds a folder to read. A job that fails
+    before that raises here."""
     while query.isActive and not any(p.numInputRows for p in query.recentProgress):
         query.awaitTermination(pause)
+    failure = query.exception()
+    if failure is not None:
+        raise failure
 
 
 def wait_any(spark: SparkSession, seconds: int | None = None) -> None:

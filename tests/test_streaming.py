@@ -62,7 +62,7 @@ def test_three_hops(spark, topic, table):
     assert rows(written.drop("silver_processed_at")) == rows(silver)
     assert rows(spark.read.parquet(at["alerts"]).drop("silver_processed_at")) == rows(detection.stream_alerts(silver))
     for name, build in marts.RUNNING.items():
-        assert rows(spark.read.parquet(f"{at['metrics']}/{name}")) == rows(build(silver))
+        assert rows(sinks.read_newest(spark, f"{at['metrics']}/{name}")) == rows(build(silver))
 
 
 def test_three_hops_keep_running(spark, topic):
@@ -77,7 +77,7 @@ def test_three_hops_keep_running(spark, topic):
     finally:
         for query in running:
             query.stop()
-    metrics = spark.read.parquet(f"{at['metrics']}/metrics_by_type")
+    metrics = sinks.read_newest(spark, f"{at['metrics']}/metrics_by_type")
     assert metrics.agg(F.sum("total_transactions")).first()[0] == 200
 
 
@@ -85,6 +85,7 @@ def test_live_windows_merge_to_the_batch_result(spark, topic, table):
     write = sinks.batch_folder_writer(f"{topic}/live")
     jobs.live_dashboard(transactions(spark, topic), write, f"{topic}/check", None).awaitTermination()
     timed = jobs.with_event_time(table)
+    before = [jobs.read_live(spark, f"{topic}/live", n).collect() for n in (*jobs.LIVE_GROUPS, jobs.RECENT)]
     partials = sinks.read_batches(spark, f"{topic}/live", "streaming_metrics")
     assert partials.count() > partials.select("window_start").distinct().count()
     for name, group in jobs.LIVE_GROUPS.items():
@@ -94,6 +95,58 @@ def test_live_windows_merge_to_the_batch_result(spark, topic, table):
         assert schemas.as_contract(got, kind).count() == got.count()
     frauds = jobs.read_live(spark, f"{topic}/live", jobs.RECENT)
     assert frauds.count() == table.where("is_fraud").count()
+    jobs.compact_live(spark, f"{topic}/live")
+    assert sinks.numbered(spark, f"{topic}/live/streaming_metrics", "batch_id") == [3]
+    after = [jobs.read_live(spark, f"{topic}/live", n).collect() for n in (*jobs.LIVE_GROUPS, jobs.RECENT)]
+    assert [sorted(map(str, x)) for x in after] == [sorted(map(str, x)) for x in before]
+    reports = {}
+    jobs.publish_live(spark, f"{topic}/live", lambda df, name: reports.update({name: dict(df.dtypes)}))
+    assert reports["streaming_metrics"]["fraud_rate"] == "decimal(5,4)"
+    assert all(kinds["processed_at"] == "timestamp" for kinds in reports.values())
+
+
+def test_latest_frauds_of_all_batches(spark, folder):
+    """Three batches of 150 frauds each: the latest hundred of all, whichever batch they came in."""
+    for part in range(3):
+        lines = [json.dumps({"transaction_id": f"t{i:03d}", "timestamp": (START + timedelta(seconds=i)).isoformat(),
+                             "is_fraud": True, "amount": 1.0}) for i in range(part, 450, 3)]
+        with open(f"{folder}/in-{part}.txt", "w") as f:
+            f.write("\n".join(lines))
+    write = sinks.batch_folder_writer(f"{folder}/live")
+    jobs.live_dashboard(transactions(spark, folder), write, f"{folder}/check", None).awaitTermination()
+    got = jobs.read_live(spark, f"{folder}/live", jobs.RECENT).collect()
+    assert [r.transaction_id for r in got] == [f"t{i:03d}" for i in range(449, 349, -1)]
+
+
+def test_odd_amounts_never_stop_a_job(spark, folder):
+    amounts = ["NaN", "1e18", "-1e300", "Infinity", "10.004", "10.004", '"x"', "null", "7"]
+    with open(f"{folder}/in-0.txt", "w") as f:
+        f.write("\n".join(f'{{"transaction_id": "t{i}", "timestamp": "2024-01-01T00:00:00", "is_fraud": true, "amount": {a}}}'
+                          for i, a in enumerate(amounts)))
+    write = sinks.batch_folder_writer(f"{folder}/live")
+    jobs.live_dashboard(transactions(spark, folder), write, f"{folder}/check", None).awaitTermination()
+    row = jobs.read_live(spark, f"{folder}/live", "streaming_metrics").first()
+    assert (row.total_transactions, row.total_amount, row.avg_amount) == (9, 27.0, 9.0)
+    table = transactions_table(spark, folder)
+    assert marts.totals(table).first().total_amount == 27.0
+    assert marts.fraud_summary(table).first().fraud_amount == 27.0
+    silver = detection.stream_silver(table)
+    assert sorted(r.amount_clean for r in silver.collect() if r.amount_clean is not None)[:3] == [7.0, 10.0, 10.0]
+
+
+def transactions_table(spark, folder):
+    from riskloom.operators import ingest
+    return ingest.parse_json(spark.read.text(f"{folder}/in-*.txt"))
+
+
+def test_a_failed_version_leaves_the_one_before(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/t/version=0")
+    spark.range(5).write.parquet(f"{folder}/t/version=1")
+    import os
+    os.makedirs(f"{folder}/t/version=2/_temporary")
+    assert sinks.read_newest(spark, f"{folder}/t").count() == 5
+    with pytest.raises(FileNotFoundError):
+        sinks.read_newest(spark, f"{folder}/none")
 
 
 def test_fan_out_is_repeatable(spark, topic, table):
