@@ -1,7 +1,7 @@
 """Features from a customer's earlier transactions.
 
-All of them share one shuffle by customer. A customer holding a large part of all rows is handled in
-slices of time that run in parallel and are then stitched together exactly; see ``skew``.
+They need a customer's rows in order. The order is found on narrow rows that are cut evenly wherever a customer, an
+hour or a second is large (see ``ordered``), and the result is joined to the full rows, which are read once.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import flags, geo
 from riskloom.functions.measures import cents
-from riskloom.operators.skew import split_heavy
+from riskloom.operators import ordered
 
 DAY = 86_400
-SLICE_SECONDS = 3_600
 PREVIOUS = ["epoch", "purchase_latitude", "purchase_longitude", "purchase_state"]
 
 
@@ -32,36 +31,15 @@ def with_epoch(df: DataFrame, time: str = "timestamp_dt", unit: str = "timestamp
 
 def previous_values(
     df: DataFrame, columns: list[str], key: str = "customer_id", order: list[str] | None = None,
-    slice_seconds: int = SLICE_SECONDS, **limits,
+    cuts: int | None = None,
 ) -> DataFrame:
-    """Add ``_prev``: the given columns of the row before, per key in the given order."""
+    """Add ``_prev``: the given columns of the row before, per key in the given order. Rows must be unique in key and
+    order; null is a value like any other, and comes first."""
     order = order or ["epoch", "transaction_id"]
-    ordinary, heavy = split_heavy(df, key, **limits)
-    whole = Window.partitionBy(key).orderBy(*order)
-    plain = ordinary.withColumn("_prev", F.lag(F.struct(*columns)).over(whole))
-    return plain.unionByName(_previous_in_slices(heavy, columns, key, order, slice_seconds))
-
-
-def _previous_in_slices(
-    df: DataFrame, columns: list[str], key: str, order: list[str], slice_seconds: int
-) -> DataFrame:
-    """The first row of a slice continues from the last row of the nearest earlier slice that has rows.
-    The table of last rows holds one row per key and slice, so its size follows the time span, not the
-    number of transactions."""
-    slice_of = F.struct(F.floor(F.col("epoch") / slice_seconds))
-    sliced = df.withColumns({"_key": _group(key), "_slice": slice_of})
-    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
-    across = Window.partitionBy("_key").orderBy("_slice")
-    last = sliced.groupBy("_key", "_slice").agg(
-        F.max_by(F.struct(*columns), F.struct(*order)).alias("_last")
-    )
-    carried = last.select("_key", "_slice", F.lag("_last").over(across).alias("_carried"))
-    return (
-        sliced.withColumn("_prev", F.lag(F.struct(*columns)).over(inside))
-        .join(carried, ["_key", "_slice"], "left")
-        .withColumn("_prev", F.coalesce("_prev", "_carried"))
-        .drop("_slice", "_key", "_carried")
-    )
+    place = F.struct(key, *order)
+    narrow = df.select(place.alias("_place"), F.struct(*columns).alias("_row"))
+    earlier = ordered.previous(narrow, f"_place.{key}", "_place", "_row", cuts).select("_place", F.col("_before").alias("_prev"))
+    return df.withColumn("_place", place).join(earlier, "_place").drop("_place")
 
 
 def _group(key: str) -> Column:
@@ -103,7 +81,7 @@ def movement(df: DataFrame, distance=geo.planar_km, **options) -> DataFrame:
 
 def rolling(
     df: DataFrame, seconds: int, include_now: bool, prefix: str, amount: str = "amount",
-    key: str = "customer_id", slice_seconds: int = SLICE_SECONDS, **limits,
+    key: str = "customer_id", cuts: int | None = None,
 ) -> DataFrame:
     """Add ``<prefix>_count``, ``<prefix>_amounts`` and ``<prefix>_sum`` over the ``seconds`` before each row.
 
@@ -111,71 +89,37 @@ def rolling(
     is set and to the second before it otherwise. ``_count`` counts rows, ``_amounts`` rows with an
     amount. Rows without a time count nothing and are counted nowhere.
 
-    A sliding frame would add up its rows anew for every row. Instead every row comes back ``seconds``
-    later as a narrow visitor that marks its leaving, and the result is what has entered less what has
-    left: two running sums, linear in the rows however many a span holds. The sums are of whole numbers,
-    so the difference is exact.
+    A sliding frame would add up its rows anew for every row. Instead the rows of a second are added up first, and
+    every second comes back ``seconds`` later as what then leaves the span: the result is what has entered less what
+    has left, two running sums over seconds. The sums are of whole numbers, so the difference is exact.
     """
-    if seconds % slice_seconds:
-        raise ValueError("seconds must be a whole number of slices")
-    ordinary, heavy = split_heavy(df.withColumn("_cents", cents(amount)), key, **limits)
-    heavy = heavy.withColumns({
-        "_key": _group(key), "_slice": F.floor(F.col("epoch") / slice_seconds).cast("int")
-    })
-    slices = seconds // slice_seconds
-    whole = _entered_less_left(ordinary.withColumn("_slice", F.lit(0)), seconds, 0, include_now, key)
-    cut = _entered_less_left(heavy, seconds, slices, include_now, "_key")
-    both = whole.unionByName(_add_earlier_slices(cut, heavy, slices).drop("_key"))
-    return both.withColumns({
+    whole, nothing = cents(amount), F.lit(0).cast("long")
+    measures = {"n": F.lit(1).cast("long"), "a": whole.isNotNull().cast("long"), "c": F.coalesce(whole, nothing)}
+    timed = df.where(F.col("epoch").isNotNull()).select(key, "epoch", *[v.alias(f"_{n}") for n, v in measures.items()])
+
+    def event(at: Column, way: str) -> Column:
+        values = [(F.col(f"_{n}") if way == w else nothing).alias(f"_{w}_{n}") for w in ("in", "out") for n in measures]
+        return F.struct(at.alias("_at"), *values)
+
+    both = timed.select(key, F.explode(F.array(
+        event(F.col("epoch"), "in"), event(F.col("epoch") + seconds, "out"))).alias("_e"))
+    sums = [f"_{way}_{n}" for way in ("in", "out") for n in measures]
+    per_second = both.groupBy(F.struct(key, F.col("_e._at").alias("epoch")).alias("_place")).agg(
+        *[F.sum(f"_e.{c}").alias(c) for c in sums])
+    running = ordered.running_sums(per_second, f"_place.{key}", "_place", sums, cuts)
+
+    def value(n: str) -> Column:
+        entered = F.col(f"_in_{n}_upto") if include_now else F.col(f"_in_{n}_upto") - F.col(f"_in_{n}")
+        return (entered - (F.col(f"_out_{n}_upto") - F.col(f"_out_{n}"))).alias(f"_{n}")
+
+    spans = running.where("_in_n > 0").select("_place", *map(value, measures))
+    joined = df.withColumn("_place", F.struct(key, "epoch")).join(spans, "_place", "left").withColumns({
+        f"_{n}": F.coalesce(f"_{n}", nothing) for n in measures})
+    return joined.withColumns({
         f"{prefix}_count": F.col("_n"),
         f"{prefix}_amounts": F.col("_a"),
         f"{prefix}_sum": F.when(F.col("_a") > 0, F.col("_c") / F.lit(100.0)),
-    }).drop("_cents", "_slice", "_n", "_a", "_c")
-
-
-# Rows, rows with an amount, and cents of one row.
-def _measures() -> dict[str, Column]:
-    return {
-        "_n": F.lit(1).cast("long"),
-        "_a": F.col("_cents").isNotNull().cast("long"),
-        "_c": F.coalesce(F.col("_cents"), F.lit(0).cast("long")),
-    }
-
-
-def _entered_less_left(df: DataFrame, seconds: int, slices: int, include_now: bool, key: str) -> DataFrame:
-    """Per key and slice: what has entered the span so far less what has left it. A visitor shows up
-    ``slices`` slices later."""
-    own = df.withColumns({"_at": F.col("epoch"), "_visitor": F.lit(False)})
-    visitors = df.where(F.col("epoch").isNotNull()).select(
-        key, "_cents", (F.col("_slice") + slices).alias("_slice"), (F.col("epoch") + seconds).alias("_at"),
-        F.lit(True).alias("_visitor"),
-    )
-    by_time = Window.partitionBy(key, "_slice").orderBy("_at")
-    so_far = by_time.rangeBetween(Window.unboundedPreceding, 0 if include_now else -1)
-    before = by_time.rangeBetween(Window.unboundedPreceding, -1)
-    timed, visitor = F.col("_at").isNotNull(), F.col("_visitor")
-
-    def difference(value: Column) -> Column:
-        entered = F.sum(F.when(timed & ~visitor, value)).over(so_far)
-        left = F.sum(F.when(visitor, value)).over(before)
-        return F.coalesce(entered, F.lit(0)) - F.coalesce(left, F.lit(0))
-
-    both = own.unionByName(visitors, allowMissingColumns=True)
-    return both.withColumns({n: difference(v) for n, v in _measures().items()}).where(~visitor).drop("_at", "_visitor")
-
-
-def _add_earlier_slices(cut: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
-    """Add the totals of the slices that the span reaches back over; the visitors take off again what
-    lies before its start. There is one total per key and slice, however many rows they hold."""
-    back = Window.partitionBy("_key").orderBy("_slice").rangeBetween(-slices, -1)
-    names = list(_measures())
-    totals = (
-        rows.where(F.col("epoch").isNotNull()).groupBy("_key", "_slice")
-        .agg(*[F.sum(v).alias(n) for n, v in _measures().items()])
-        .select("_key", "_slice", *[F.sum(n).over(back).alias(f"{n}_before") for n in names])
-    )
-    added = {n: F.col(n) + F.coalesce(F.col(f"{n}_before"), F.lit(0)) for n in names}
-    return cut.join(totals, ["_key", "_slice"], "left").withColumns(added).drop(*[f"{n}_before" for n in names])
+    }).drop("_place", *[f"_{n}" for n in measures])
 
 
 def last_day(df: DataFrame, **options) -> DataFrame:

@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import geo
-from riskloom.operators import history
-from riskloom.operators.skew import heavy_keys
+from riskloom.operators import history, ordered
 
 DAY = 86_400
 FIELDS = """transaction_id string, customer_id string, epoch long, amount double, purchase_latitude double,
@@ -27,7 +26,7 @@ def make_rows(n=700, seed=5):
 
 
 ROWS = make_rows()
-LIMITS = [{"min_rows": 50, "max_keys": 10}, {"min_rows": 1, "max_keys": 1_000_000}, {"min_rows": 10**9}]
+CUTS = [{"cuts": 9}, {"cuts": 60}, {}]
 
 
 @pytest.fixture(scope="module")
@@ -39,13 +38,30 @@ def of_customer(row):
     return [r for r in ROWS if r[1] == row[1]]
 
 
-def test_heavy_keys_are_bounded(feed):
-    assert [r[0] for r in heavy_keys(feed, "customer_id", min_rows=50, max_keys=3).collect()] == ["hot"]
-    assert heavy_keys(feed, "customer_id", min_rows=1, max_keys=10**6).count() == 5
-    assert heavy_keys(feed, "customer_id").count() == 0
+def test_a_hot_second_spans_many_cuts(spark):
+    """A third of all rows in one hour of one customer, half of them in one second: no cut gets much more than others."""
+    rows = spark.range(3000).selectExpr(
+        "concat('t', id) AS transaction_id", "IF(id % 3 = 0, 'hot', concat('c', id % 500)) AS customer_id",
+        "1700000000 + IF(id % 3 = 0, IF(id % 2 = 0, 7, id % 3600), id * 50) AS epoch", "CAST(1 AS double) AS amount",
+        "CAST(id AS double) AS purchase_latitude", "CAST(0 AS double) AS purchase_longitude", "'SP' AS purchase_state")
+    cut = ordered.in_cuts(rows.select(F.struct("customer_id", "epoch", "transaction_id").alias("place")), "place", 20)
+    sizes = [r["count"] for r in cut.groupBy("_cut").count().collect()]
+    hot = cut.where("place.customer_id = 'hot' AND place.epoch = 1700000007").select("_cut").distinct().count()
+    assert hot > 2 and max(sizes) < 3 * 3000 / 20
+    plain = history.movement(rows, cuts=1).select("transaction_id", "prev_timestamp", "prev_latitude")
+    assert sorted(history.movement(rows, cuts=20).select(plain.columns).collect()) == sorted(plain.collect())
+    one = history.last_day(rows, cuts=1).select("transaction_id", "transactions_last_24h")
+    assert sorted(history.last_day(rows, cuts=20).select(one.columns).collect()) == sorted(one.collect())
 
 
-@pytest.mark.parametrize("limits", LIMITS)
+def test_full_rows_are_read_once(spark, folder, feed):
+    feed.write.parquet(f"{folder}/feed")
+    for build in (history.movement, history.last_day):
+        plan = build(spark.read.parquet(f"{folder}/feed"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{folder}/feed") == 1
+
+
+@pytest.mark.parametrize("limits", CUTS)
 def test_previous_row(feed, limits):
     got = {r.transaction_id: r for r in history.movement(feed, **limits).collect()}
     assert len(got) == len(ROWS)
@@ -67,7 +83,7 @@ def test_previous_row(feed, limits):
         assert out.is_cloning_suspect == (minutes < 60 and km > 555 and last[6] != row[6])
 
 
-@pytest.mark.parametrize("limits", LIMITS)
+@pytest.mark.parametrize("limits", CUTS)
 def test_last_day(feed, limits):
     got = {r.transaction_id: r for r in history.last_day(feed, **limits).collect()}
     assert len(got) == len(ROWS)
@@ -79,7 +95,7 @@ def test_last_day(feed, limits):
         assert out.accumulated_amount_24h == (pytest.approx(sum(amounts), abs=1e-6) if amounts else None)
 
 
-@pytest.mark.parametrize("limits", LIMITS)
+@pytest.mark.parametrize("limits", CUTS)
 def test_month_average(feed, limits):
     got = {r.transaction_id: r.avg_transaction_amount_30d for r in history.month_average(feed, **limits).collect()}
     for row in ROWS:
@@ -92,17 +108,11 @@ def test_unknown_times_agree(spark, feed):
     extra = spark.createDataFrame([("x1", "hot", None, 1.0, 0.0, 0.0, "SP", None), ("x2", "hot", None, 2.0, 1.0, 1.0, "RJ", None)], FIELDS)
     rows = feed.unionByName(extra)
     for build in (history.movement, history.last_day, history.month_average):
-        plain = {tuple(r) for r in build(rows, min_rows=10**9).collect()}
-        sliced = {tuple(r) for r in build(rows, min_rows=1, max_keys=10**6).collect()}
+        plain = {tuple(r) for r in build(rows, cuts=1).collect()}
+        sliced = {tuple(r) for r in build(rows, cuts=40).collect()}
         assert plain == sliced
 
 
-def test_known_heavy_keys_are_used_as_given(feed):
-    hot = heavy_keys(feed, "customer_id", min_rows=50, max_keys=3)
-    given = {tuple(r) for r in history.last_day(feed, heavy=hot).collect()}
-    assert given == {tuple(r) for r in history.last_day(feed).collect()}
-
-
 def test_first_use(feed):
     got = {r.transaction_id: r.new for r in history.first_use(feed, "destination_bank", "new").collect()}
     assert len(got) == len(ROWS)
@@ -130,11 +140,6 @@ def test_epoch_units(spark):
         history.with_epoch(df, "at", "days")
 
 
-def test_slices_must_divide_the_span(feed):
-    with pytest.raises(ValueError):
-        history.rolling(feed, 5000, True, "x")
-
-
 def test_distances(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (None, 0.0, 0.0, 1.0)], "a double, b double, c double, d double")
     points = [F.col(c) for c in "abcd"]
