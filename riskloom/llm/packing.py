@@ -10,8 +10,11 @@ with equal doc_ids are packed as documents of their own; a null doc_id is kept a
 empty one; other columns of the input are not looked at.
 """
 
+import json
+import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -23,7 +26,7 @@ from riskloom.llm.common import stored, whole_text
 
 LENGTH, END_ID = 2048, 1
 #: Pieces in a group, on average. Words whose ids a worker remembers.
-GROUP, REMEMBERED = 8192, 400_000
+GROUP, REMEMBERED = 8192, 200_000
 #: Bits of a sequence id that number the sequences of a group.
 SEQUENCE_BITS = 32
 
@@ -39,42 +42,97 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Texts of Latin letters can be lower-cased beforehand, and their parts cut into the tokenizer's own units here.
+_BEYOND_LATIN = re.compile(r"[\u0130\u0180-\U0010ffff]")
+_LETTERS, _NUMBERS = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_UNITS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+#: The way of splitting and normalising that this fits; other tokenizers see every part whole.
+_KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
-    The tokenizer drops white space, so ids of a text are those of its space-separated parts in a row; ids of
-    frequent parts are remembered.
+    The tokenizer drops white space, so ids of a text are those of its space-separated parts in a row. The ids of
+    frequent parts, and of the units of parts, are remembered; new units go straight to the tokenizer's model.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+        split = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        self.by_unit = steps == ["NFC", "Replace", "Lowercase"] and split == _KNOWN_SPLIT
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self._ids([text])[0]
-        parts, known = text.split(), self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        missing = list({p for p in parts if p not in known})
-        fresh = dict(zip(missing, self._ids(missing), strict=True))
-        if len(known) < REMEMBERED:
-            known.update(fresh)
-            return b"".join([known[p] for p in parts])
-        return b"".join([known[p] if p in known else fresh[p] for p in parts])
+        self.units: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]):
+        for at in range(0, len(texts), 4096):
+            for x in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                yield array("I", x.ids).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        found = self.units.get(unit)
+        if found is None:
+            spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters)
+            found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            if len(self.units) < REMEMBERED:
+                self.units[unit] = found
+        return found
+
+    def _fresh(self, parts: list[str]) -> dict[str, bytes]:
+        out, other = {}, []
+        for p in parts:
+            if self.by_unit and p == p.lower() and not _BEYOND_LATIN.search(p) and "<|" not in p:
+                out[p] = b"".join([self._unit(u) for u in _UNITS.findall(p)])
+            else:
+                other.append(p)
+        out.update(zip(other, self._ids(other), strict=True))
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of some texts; all their parts are held at once, so give a few at a time."""
+        lower = [t if _BEYOND_LATIN.search(t) else t.lower() for t in texts] if self.by_unit else texts
+        parts = [None if _ODD_SPACE.search(t) else t.split() for t in lower]
+        known, new = self.known, set()
+        for words in parts:
+            new.update(words or ())
+        fresh = self._fresh([w for w in new if w not in known])
+        known.update(fresh)
+        found = [next(self._ids([t])) if words is None else b"".join(map(known.__getitem__, words))
+                 for t, words in zip(texts, parts, strict=True)]
+        if len(known) > REMEMBERED:
+            for w in fresh:
+                del known[w]
+        return found
 
 
 _encoders: dict[str, Encoder] = {}
 
 
+def _few(texts: list[str], most: int = 1 << 21):
+    """Cut a list so that the parts have about ``most`` characters, and at least one text."""
+    at = size = 0
+    for i, text in enumerate(texts):
+        if i > at and size + len(text) > most:
+            yield at, i
+            at, size = i, 0
+        size += len(text)
+    if texts:
+        yield at, len(texts)
+
+
 def pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
     """Consecutive pieces of every document's ids, at most ``length`` long; only the last may be shorter."""
     path = tokenizer or default_tokenizer()
@@ -85,13 +143,15 @@ def pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenize
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             found: list[list] = [[], [], [], [], [], []]
-            for row, doc, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                ids = memoryview(encoder.encode(text) + end)
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    for column, value in zip(found, (row, doc, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
-                        column.append(value)
+            rows, docs, texts = (c.to_pylist() for c in batch.columns)
+            for lo, hi in _few(texts):
+                for row, doc, ids in zip(rows[lo:hi], docs[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
+                    ids = memoryview(ids + end)
+                    total = len(ids) // 4
+                    for start in range(0, total, length):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        for column, value in zip(found, (row, doc, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
+                            column.append(value)
             names = [x.split()[0] for x in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=names)
 
@@ -126,7 +186,7 @@ def pack(cut: DataFrame, length: int = LENGTH, group: int = GROUP, seed: int = 7
     """``cut`` (columns ``PIECES``, unique in row_id and start) with sequence_id and offset."""
     groups = max(1, -(-cut.count() // group))
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "row_id", "start"], ascending=[False, True, True])
         placed = first_fit_decreasing(rows["length"].tolist(), length)
         bins, offsets = zip(*placed, strict=True)

@@ -41,8 +41,19 @@ def test_every_id_lies_in_exactly_one_place(spark, small, group):
 def test_remembered_words_do_not_change_ids(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     tokenizer, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
-    for text in ["a b c", "d e f g", "it's a b x1y22 z...", "ΣΑΣ ς q", "ẛ̣ ¼ don't<|endoftext|>x", "á b﻿c", "x" * 5000, ""] * 2:
-        assert encoder.encode(text) == ids_of(tokenizer, text)[:-1].tobytes()
+    texts = ["The QUICK brown-fox, jumps. over... 12 Über straße! ÇA été, ľ İi ŉ ſ µ K Å ﬁ", "ABC,. d,e. .f",  "a b c", "d e f g", "it's a b x1y22 z...", "ΣΑΣ ς q", "ẛ̣ ¼ don't<|endoftext|>x", "á b﻿c", "x" * 5000, ""] * 2
+    want = [ids_of(tokenizer, t)[:-1].tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    assert [encoder.encode([t])[0] for t in texts] == want
+    assert encoder.encode([]) == [] and len(encoder.known) <= 3
+
+
+def test_texts_are_cut_into_few_at_a_time():
+    texts = ["a" * n for n in (5, 30, 1, 1, 1, 99, 0, 4)]
+    cuts = list(packing._few(texts, 10))
+    assert [i for lo, hi in cuts for i in range(lo, hi)] == list(range(8))
+    assert all(hi - lo == 1 or sum(map(len, texts[lo:hi])) <= 10 for lo, hi in cuts)
+    assert list(packing._few([])) == []
 
 
 def test_first_fit_decreasing_equals_plain_scan():
