@@ -102,6 +102,8 @@ SILVER = """timestamp_dt tx_date tx_year tx_month tx_hour tx_dayofweek is_weeken
 QUERIES = {
     "p02_json_round_trip": query(_json_round_trip),
     "p04_envelope": query(_envelope),
+    "p04_envelope_text": query(lambda s, d: ingest.parse_json(
+        ingest.envelope_from_rows(feed(s, d).select(*FEED)), "raw_json").select(*FEED)),
     "p06_metadata": query(_metadata),
     "p07_source_file": query(_source_file),
     "p08_date_columns": query(_date_columns),
@@ -148,6 +150,7 @@ ORACLE = {
     "p02_json_round_trip": check("fx_tx", f"SELECT {FEED_SQL} FROM fx_tx"),
     "p04_envelope": check("fx_tx", """SELECT 'transactions' AS topic, 0 AS kafka_partition, count(*) AS messages,
         count(*) AS offsets, CAST(0 AS BIGINT) AS keys FROM fx_tx"""),
+    "p04_envelope_text": check("fx_tx", f"SELECT {FEED_SQL} FROM fx_tx"),
     "p06_metadata": check("fx_tx", """SELECT 'raw' AS source_layer, 'parquet' AS source_format,
         '2001-08-01' AS processing_date, '2001-08-01 00:00:00' AS ingestion_timestamp, count(*) AS count FROM fx_tx"""),
     "p07_source_file": "SELECT 'lineitem' AS source, count(*) AS count FROM lineitem",

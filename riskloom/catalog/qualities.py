@@ -25,6 +25,15 @@ def _events(spark, sf):
     return spark.read.parquet(f"{sf}/events.parquet")
 
 
+def _sampled(spark, sf):
+    """Number of sampled rows, and of those that are rows of the feed."""
+    keys = ["transaction_id", "customer_id", "device_id", "timestamp"]
+    rows = feed(spark, sf).select(*keys)
+    chosen = quality.sample_rows(rows, 1000)
+    known = rows.distinct().withColumn("known", F.lit(1))
+    return chosen.join(known, keys, "left").agg(F.count(F.lit(1)).alias("sampled"), F.count("known").alias("members"))
+
+
 QUERIES = {
     "a15_m3_distances": query(_distances),
     "m1_flag_prevalence": query(lambda s, d: quality.flag_prevalence(_flagged(s, d))),
@@ -41,7 +50,7 @@ QUERIES = {
         _events(s, d), as_of_time(EVENTS_AS_OF), "ts").drop("newest")),
     "m7_reconciliation": query(lambda s, d: quality.reconcile(feed(s, d), silver(s, d))),
     "m8_distance_error": query(lambda s, d: quality.distance_error(silver(s, d))),
-    "o4_sample_size": query(lambda s, d: quality.sample_rows(feed(s, d), 1000).agg(F.count(F.lit(1)).alias("sampled"))),
+    "o4_sample_size": query(_sampled),
 }
 
 _FLAG_SUMS = " UNION ALL ".join(
@@ -102,5 +111,5 @@ ORACLE = {
         {half_up("max(gap)", 3)} AS max_error_km, {half_up("CAST(sum(m) AS DOUBLE) / sum(h)", 4)} AS relative_error FROM (
         SELECT abs({_PLANAR} - {HAVERSINE}) AS gap, {_METRES} AS m,
         CAST(round_even({HAVERSINE} * 1000, 0) AS BIGINT) AS h FROM silver)"""),
-    "o4_sample_size": "SELECT least(count(*), 1000) AS sampled FROM lineitem",
+    "o4_sample_size": "SELECT least(count(*), 1000) AS sampled, least(count(*), 1000) AS members FROM lineitem",
 }

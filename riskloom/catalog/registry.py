@@ -1,9 +1,9 @@
 """All registered queries and their SQL checks by name."""
 
-from riskloom.catalog import aggregates, cleaning, dashboards, histories, qualities, scoring, streams
+from riskloom.catalog import aggregates, cleaning, dashboards, histories, qualities, scoring, sources, streams
 from riskloom.catalog.base import Query
 
-FAMILIES = [cleaning, scoring, histories, aggregates, dashboards, qualities, streams]
+FAMILIES = [sources, cleaning, scoring, histories, aggregates, dashboards, qualities, streams]
 
 
 def queries() -> dict[str, Query]:
