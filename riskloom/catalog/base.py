@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF_DATE = "2001-08-01"
 AS_OF_TIME = "2001-08-01 00:00:00"
 
-_written: dict[tuple[str, str], batch.Layers] = {}
+_written: dict[tuple, batch.Layers] = {}
 _lock = threading.Lock()
 
 
@@ -28,13 +28,22 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.fixture(spark, sf_dir, fixtures.FX_TX).withColumnRenamed("event_ts", "timestamp")
 
 
+def input_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """The application, and the files of a data folder with their sizes and times: what is derived from a folder is
+    kept for one version of it only."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    files = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
+    return (spark.sparkContext.applicationId, sf_dir, *files)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> batch.Layers:
-    """Silver, detection and alert tables of a data folder, written on first use in an application.
+    """Silver, detection and alert tables of a data folder, written on first use of a version of it in an application.
 
     They lie in the shared work folder, so that all reports read one de-duplication and one scoring,
     and a lost executor does not bring those back.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_version(spark, sf_dir)
     with _lock:
         if key not in _written:
             built = batch.Layers(f"{work_folder(spark)}/riskloom-{uuid.uuid4().hex}")

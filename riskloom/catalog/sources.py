@@ -5,20 +5,20 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import check, feed, query, raw_customers
+from riskloom.catalog.base import check, feed, input_version, query, raw_customers
 from riskloom.catalog.cleaning import FEED, FEED_SQL
 from riskloom.operators import ingest
 from riskloom.session import work_folder
 from riskloom.sources import readers, writers
 
-_roots: dict[tuple[str, str], str] = {}
+_roots: dict[tuple, str] = {}
 _lock = threading.Lock()
 FILES = 4
 
 
 def _layouts(spark, sf) -> str:
     """The feed as flat and dated Parquet and JSON lines, and customers as JSON lines; written once per application."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = input_version(spark, sf)
     with _lock:
         if key not in _roots:
             root = f"{work_folder(spark)}/riskloom-layouts-{uuid.uuid4().hex}"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom import fixtures
 from riskloom.catalog.aggregates import RECENT_SQL, RUNNING_SQL
-from riskloom.catalog.base import check, half_up, query, text
+from riskloom.catalog.base import check, half_up, input_version, query, text
 from riskloom.catalog.cleaning import FEED, FEED_SQL
 from riskloom.operators import detection, ingest, marts
 from riskloom.schemas import STREAM_ALERT_COLUMNS, STREAM_LOAD_ALERT_COLUMNS, STREAM_LOAD_COLUMNS, TRANSACTION, pick
@@ -90,13 +90,13 @@ def _split_feed(spark, sf, root):
     return readers.parquet_stream(spark, f"{root}/feed", rows.schema, 1)
 
 
-_drained: dict[tuple[str, str], str] = {}
+_drained: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
 def _live_root(spark, sf) -> str:
     """One drained run of the live job in several micro-batches, older ones compacted, shared by its four tables."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = input_version(spark, sf)
     with _lock:
         if key not in _drained:
             root = _folder(spark)

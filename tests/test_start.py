@@ -2,8 +2,10 @@
 
 import json
 
+import pytest
+
 from riskloom import __main__ as start
-from riskloom import schemas
+from riskloom import schemas, session
 from riskloom.catalog import base
 
 
@@ -44,3 +46,21 @@ def test_database_properties_come_from_a_file(folder):
     with open(f"{folder}/db.properties", "w") as f:
         f.write("# database\nuser=u\npassword=p=1\n\n")
     assert start.properties(f"{folder}/db.properties") == {"user": "u", "password": "p=1"}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+        applicationId = "other"
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_folder(Session())
+    Context.master = "local[4]"
+    assert session.work_folder(Session()).startswith("/tmp/")
