@@ -104,6 +104,11 @@ def portable(df: DataFrame) -> DataFrame:
     ])
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """A short ordered result with the place of each row, so that its order can be checked."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
 def query(build: Query) -> Query:
     return lambda spark, sf_dir: portable(build(tune(spark), sf_dir))
 

@@ -1,9 +1,12 @@
 """Dashboard questions (Q, U)."""
 
+from pyspark.sql import functions as F
+
 from riskloom.catalog.aggregates import monthly_sql
 from riskloom.catalog.base import (
-    alerts, as_of_time, check, count_where, feed, gold, half_up, mean, percent, query, volume,
+    alerts, as_of_time, check, count_where, feed, gold, half_up, mean, percent, placed, query, volume,
 )
+from riskloom.functions import ladders
 from riskloom.operators import detection, marts
 from riskloom.plans import dashboard
 
@@ -32,6 +35,10 @@ def _latest(spark, sf):
     return found.select("transaction_id", "event_time", "type", "amount", "risk_level", "is_fraud")
 
 
+def _in_order(question):
+    return query(lambda spark, sf: placed(question(gold(spark, sf))))
+
+
 QUERIES = {
     "q01_total_transactions": _on_gold(dashboard.total_transactions),
     "q02_total_volume": _on_gold(dashboard.total_volume),
@@ -74,6 +81,14 @@ QUERIES = {
     "q36_overall_detection": _on_gold(dashboard.overall_detection),
     "q37_levels_with_score": _on_gold(dashboard.levels_with_score),
     "q37_top_frauds": _on_gold(dashboard.top_frauds),
+    "o1_order_of_months": _in_order(dashboard.monthly_counts),
+    "o1_order_of_types": _in_order(lambda tx: dashboard.count_by(tx, "type")),
+    "o5_order_of_categories": _in_order(lambda tx: dashboard.top_by_fraud(tx, "merchant_category")),
+    "o6_order_of_levels": _in_order(dashboard.risk_distribution),
+    "o6_order_of_periods": _in_order(dashboard.frauds_by_period),
+    "o6_order_of_ranges": _in_order(dashboard.frauds_by_range),
+    "o7_order_of_matrix": _in_order(lambda tx: dashboard.channel_type_matrix(
+        tx.withColumn("is_fraud", F.when(F.col("type") != "PIX", F.col("is_fraud"))))),
 }
 
 PERIOD = "CAST(tx_year AS VARCHAR) || '-' || lpad(CAST(tx_month AS VARCHAR), 2, '0') AS period"
@@ -186,3 +201,28 @@ ORACLE = {
     "q37_top_frauds": _gold("""SELECT transaction_id, amount, merchant_name AS merchant, fraud_score FROM gold
         WHERE risk_level = 'CRITICAL' ORDER BY fraud_score DESC NULLS LAST, transaction_id LIMIT 10"""),
 }
+
+
+def _placed(answer: str, order: str) -> str:
+    return check("gold", f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS place FROM answer", answer=answer)
+
+
+def _rank(column: str, labels: list[str]) -> str:
+    return f"list_position([{', '.join(repr(x) for x in labels)}], {column})"
+
+
+_MATRIX_RATE = percent(count_where("type <> 'PIX' AND is_fraud"), "count(*)", 2)
+
+ORACLE |= {
+    "o1_order_of_months": _placed(f"SELECT {PERIOD}, count(*) AS transactions, {FRAUDS} FROM gold GROUP BY tx_year, tx_month", "period"),
+    "o1_order_of_types": _placed(_group("type"), "total DESC, type"),
+    "o5_order_of_categories": _placed(_frauds_by("merchant_category"), "frauds DESC, merchant_category"),
+    "o6_order_of_levels": _placed(_group("risk_level"), _rank("risk_level", ladders.LEVEL_ORDER)),
+    "o6_order_of_periods": _placed(f"""SELECT period_of_day, count(*) AS frauds, {percent(
+        "count(*)", "(SELECT count(*) FROM gold WHERE is_fraud)", 1)} AS percent_of_total
+        FROM gold WHERE is_fraud GROUP BY period_of_day""", _rank("period_of_day", ladders.PERIOD_ORDER)),
+    "o6_order_of_ranges": _placed("SELECT amount_range, count(*) AS frauds FROM gold WHERE is_fraud GROUP BY amount_range",
+                                  _rank("amount_range", ladders.RANGE_ORDER)),
+    "o7_order_of_matrix": _placed(f"""SELECT channel, type, count(*) AS total, {count_where("type <> 'PIX' AND is_fraud")} AS frauds,
+        {_MATRIX_RATE} AS fraud_rate FROM gold GROUP BY channel, type""", "fraud_rate DESC NULLS LAST, channel, type"),
+}
