@@ -29,6 +29,20 @@ def _enriched(spark, sf):
     return enrich.enriched_detection(silver(spark, sf), devices(spark, sf), customers(spark, sf), as_of_date())
 
 
+# Categories that the age rules ask for do not occur in the tables, so this input puts them in.
+AGE_CATEGORIES = [*flags.JEWELLERY, *flags.GAMES_AND_CRYPTO]
+
+
+def _age_rules(spark, sf):
+    names = F.array(*map(F.lit, AGE_CATEGORIES))
+    rows = silver(spark, sf).select(
+        "transaction_id", F.element_at(names, (F.col("tx_hour") % len(AGE_CATEGORIES) + 1).cast("int")).alias("merchant_category"),
+        (F.col("tx_dayofweek") * 12).alias("customer_age"), (F.col("amount") * 20).alias("amount"))
+    return rows.select(
+        "transaction_id", flags.minor_jewellery().alias("minor_jewellery"), flags.senior_games().alias("senior_games"),
+        flags.minor_high_value().alias("minor_high_value"), flags.age_mismatch().alias("age_mismatch"))
+
+
 def _stream_silver(spark, sf):
     return detection.stream_silver(feed(spark, sf))
 
@@ -81,6 +95,7 @@ QUERIES = {
     "f_geo_flags": query(_geo_flags),
     "f_sensitive_flags": query(_sensitive_flags),
     "f_stream_flags": query(lambda s, d: _stream_silver(s, d).select("transaction_id", *STREAM_FLAGS)),
+    "f24_age_rules": query(_age_rules),
     "f_device_age_flags": query(lambda s, d: _enriched(s, d).select(
         "transaction_id", "customer_age", "is_account_takeover", "is_age_mismatch")),
     "f25_alert_tags": query(lambda s, d: alerts(s, d).select("transaction_id", *flags.alert_tags())),
@@ -201,6 +216,13 @@ ORACLE = {
         is_high_value, is_high_velocity, is_gps_mismatch, is_cross_state_no_travel FROM sensitive""",
                                sensitive=SENSITIVE_SQL),
     "f_stream_flags": check("stream", f"SELECT transaction_id, {', '.join(STREAM_FLAGS)} FROM stream_silver"),
+    "f24_age_rules": check("silver", """SELECT transaction_id, jewellery AS minor_jewellery, games AS senior_games,
+        high AS minor_high_value, jewellery OR games OR high AS age_mismatch FROM ruled""",
+        aged=f"""SELECT transaction_id, ([{", ".join(repr(c) for c in AGE_CATEGORIES)}])[tx_hour % {len(AGE_CATEGORIES)} + 1] AS category,
+          tx_dayofweek * 12 AS age, amount * 20 AS high_amount FROM silver""",
+        ruled="""SELECT transaction_id, age < 18 AND category IN ('Joias', 'Joalheria', 'Luxury', 'Joias e Relógios') AND high_amount > 10000 AS jewellery,
+          age > 75 AND category IN ('Games', 'Jogos', 'Gaming', 'Criptomoedas', 'Crypto') AND high_amount > 2000 AS games,
+          age < 18 AND high_amount > 5000 AS high FROM aged"""),
     "f_device_age_flags": check("enriched", f"""SELECT transaction_id, age AS customer_age,
         (NOT is_trusted AND amount > 500) OR is_rooted OR is_emulator AS is_account_takeover,
         ({_MINOR_JEWEL}) OR ({_SENIOR_GAMES}) OR ({_MINOR_HIGH}) AS is_age_mismatch FROM enriched""",

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import ladders
+from riskloom.functions import flags, ladders
 
 
 @dataclass(frozen=True)
@@ -84,8 +84,13 @@ BATCH = RulePack(
     score_name="risk_points", levels=_FOUR_LEVELS, lowest="LOW",
 )
 
-_JEWELLERY = "merchant_category IN ('Joias', 'Joalheria', 'Luxury', 'Joias e Relógios')"
-_GAMES = "merchant_category IN ('Games', 'Jogos', 'Gaming', 'Criptomoedas', 'Crypto')"
+
+
+def _category_in(names: list[str]) -> str:
+    return f"merchant_category IN ({', '.join(repr(n) for n in names)})"
+
+
+_JEWELLERY, _GAMES = _category_in(flags.JEWELLERY), _category_in(flags.GAMES_AND_CRYPTO)
 ENRICHED = RulePack(
     rules=_COMMON + (
         rule("untrusted_device", "NOT device_is_trusted AND amount > 500", 25),
