@@ -121,15 +121,18 @@ def _fan_out(name):
 
 
 def _event_windows(spark, sf):
-    """Watermarked minutes over the events table; its last, still open minutes are held back."""
-    events = _file_stream(spark, sf, "events").select(
-        F.col("ts").cast("timestamp").alias("event_time"), F.col("value").alias("amount"),
-        F.col("event_type").alias("channel"), (F.col("event_type") == "error").alias("is_fraud"),
-    )
+    """Watermarked minutes over the events table, completed by the minutes that the watermark has not closed."""
+
+    def shaped(events):
+        return events.select(
+            F.col("ts").cast("timestamp").alias("event_time"), F.col("value").alias("amount"),
+            F.col("event_type").alias("channel"), (F.col("event_type") == "error").alias("is_fraud"))
+
     root = _folder(spark)
-    windows = jobs.event_time_windows(events, "channel")
+    windows = jobs.event_time_windows(shaped(_file_stream(spark, sf, "events")), "channel")
     sinks.append_table(windows, f"{root}/windows", f"{root}/check", None).awaitTermination()
-    return spark.read.parquet(f"{root}/windows")
+    table = shaped(spark.read.parquet(f"{sf}/events.parquet"))
+    return jobs.with_open_windows(spark.read.parquet(f"{root}/windows"), table, "channel")
 
 
 QUERIES = {
@@ -193,6 +196,5 @@ ORACLE = {
     "t9_alerts": check("stream", f"""SELECT {_load_sql(STREAM_LOAD_ALERT_COLUMNS)} FROM stream_silver
         WHERE load_combined >= 60"""),
     "t_event_time_windows": f"""WITH e AS (SELECT ts, value AS amount, event_type AS channel, event_type = 'error' AS is_fraud
-        FROM events) {_minutes("channel", "e", "ts", '''HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE
-        <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM e)''')}""",
+        FROM events) {_minutes("channel", "e", "ts")}""",
 }
