@@ -89,6 +89,10 @@ def _softplus(z):
     return np.logaddexp(0.0, z)
 
 
+def _sigmoid(z):
+    return 0.5 * (1.0 + np.tanh(0.5 * z))
+
+
 def _bags(text: str, chosen: dict[str, int]) -> tuple[list[list[int]], int]:
     """Feature numbers (repeats included) of the sentences that have any, and the number of the others."""
     bags, others = [], 0
@@ -150,9 +154,9 @@ def fit_noisy_or(docs: list[tuple[list[list[int]], int, int]], n_features: int)
         total = np.bincount(doc, _softplus(z), len(docs)) + others * _softplus(bias)
         # d(loss)/d(total): 1 for label 0, -1/(exp(total)-1) for label 1
         slope = np.where(label > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0)
-        inner = slope[doc] / (1 + np.exp(-z))
+        inner = slope[doc] * _sigmoid(z)
         grad = np.append(np.bincount(index, inner[sentence], n_features), 0.0) + 2 * DECAY * np.append(theta[:-1], 0.0)
-        grad[-1] = inner.sum() + (slope * others).sum() / (1 + np.exp(-bias))
+        grad[-1] = inner.sum() + (slope * others).sum() * _sigmoid(bias)
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         theta -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     return theta[:-1], float(theta[-1])
@@ -201,7 +205,7 @@ def offending(docs: DataFrame, model: Model, least: float = THRESHOLD) -> DataFr
             found: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for start, end, z in model.sentences(text) if model.share is None else ():
-                    p = float(1 / (1 + np.exp(-z)))
+                    p = float(_sigmoid(z))
                     if p >= least:
                         for column, value in zip(found, (doc, start, end, p, text[start:end]), strict=True):
                             column.append(value)
