@@ -50,14 +50,19 @@ def test_large_dimensions_are_not_broadcast(spark, small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_slices_meet_their_carried_rows_without_another_shuffle(spark, small):
+def test_full_rows_meet_their_history_in_one_shuffle(spark, small):
     rows = base.geo_feed(spark, small)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        order = ["epoch", "transaction_id"]
-        plan = plan_of(history._previous_in_slices(rows, history.PREVIOUS, "customer_id", order, 3600))
-        # Rows by key and slice; last rows by key and slice, by key, and back to key and slice.
+        plan = plan_of(history.movement(rows))
+        # The full rows and the narrow result, both by their place; the narrow rows by cut, for the window and for the
+        # last row of each cut. The cuts themselves were dealt out when they were written.
         assert plan.count("Exchange hashpartitioning") == 4
+        assert plan.count("Exchange SinglePartition") == 1  # one row per cut
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_customer_measures_do_not_copy_rows(spark, small):
+    assert "Expand" not in plan_of(marts.customer_measures(base.gold(spark, small)))

@@ -155,7 +155,9 @@ def test_option_sets():
     batch = readers.topic_batch_options("host:1", "tx")
     assert (batch["startingOffsets"], batch["endingOffsets"]) == ("earliest", "latest")
     stream = readers.topic_stream_options("host:1", "tx")
-    assert (stream["maxOffsetsPerTrigger"], stream["failOnDataLoss"], stream["startingOffsets"]) == ("10000", "false", "latest")
+    assert "maxOffsetsPerTrigger" not in stream
+    assert (stream["failOnDataLoss"], stream["startingOffsets"]) == ("false", "latest")
+    assert readers.topic_stream_options("host:1", "tx", per_trigger=10_000)["maxOffsetsPerTrigger"] == "10000"
     assert "maxOffsetsPerTrigger" not in readers.topic_stream_options("host:1", "tx", per_trigger=None)
     load = writers.jdbc_options("jdbc:x", "t", {"user": "u"})
     assert (load["batchsize"], load["rewriteBatchedInserts"], load["numPartitions"], load["truncate"], load["user"]) == (
