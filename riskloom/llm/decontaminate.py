@@ -112,9 +112,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     sizes = sorted(r.size for r in items.select("size").distinct().collect())  # at most SHINGLE numbers
     # a row's key has no nulls: its id (0 where there is none), whether there is one, two hashes of the text
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    keyed = text.select(
+    marked = text.select(
         F.coalesce("doc_id", F.lit(0)).alias("doc"), F.col("doc_id").isNull().alias("no_id"),
-        F.xxhash64("text").alias("t1"), F.hash("text").alias("t2"), _hashed(F.col("text")).alias("h"))
+        F.xxhash64("text").alias("t1"), F.hash("text").alias("t2"), "text")
+    keyed = marked.withColumn("h", _hashed(F.col("text"))).drop("text")
     key = ["doc", "no_id", "t1", "t2"]
     known = stored(items.select("size", "n", F.explode("shingles").alias("s")).distinct(), "item-shingles")
     met = broadcast_checked(known)
@@ -135,8 +136,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
         F.greatest(F.lit(0), F.col("at") - F.col("n") + 1), F.col("from_at"))).alias("start")).distinct()
     starts = stored(starts, "windows")
 
-    # 2. Shingles of these windows: the words of the few documents that have any are read again.
-    again = keyed.join(starts.select(*key).distinct(), key, "left_semi").dropDuplicates(key)
+    # 2. Shingles of these windows: the few documents that have any are read again and only then cut into words.
+    few = broadcast_checked(starts.select(*key).distinct())
+    again = marked.join(few, key, "left_semi").dropDuplicates(key).withColumn("h", _hashed(F.col("text"))).drop("text")
     shingled = again.select(*key, F.explode(F.array(*[F.struct(
         F.lit(k).alias("size"), _shingles(F.col("h"), k).alias("all")) for k in (sizes or [1])])).alias("x")).select(*key, "x.*")
     cut = shingled.join(starts, [*key, "size"]).select(
@@ -173,4 +175,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item; rows without a doc_id are judged together under the null id."""
     gone = stored(matches(docs, benchmark).select(F.col("doc_id").alias("__gone")).distinct(), "contaminated")
+    gone = broadcast_checked(gone)
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
