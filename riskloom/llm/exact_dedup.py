@@ -16,12 +16,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, whole_text
+from riskloom.llm.common import broadcast_checked, stored, whole_text
 
 #: Characters that do not count for equality.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Counters of a summary, the most digests taken from it (the function's own bound), summaries merged at a time.
 TRACKED, MOST, MERGED_IN = 4096, 1000, 64
+#: Keys of rows that go, up to which they are broadcast (about 100 MB).
+KEYS = 1_000_000
 
 
 def normal_text():
@@ -89,7 +91,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         return (rows["__digest"] == other["digest"]) & (rows["__n_points"] == other["n_points"]) & rows[
             "__doc"].eqNullSafe(other["doc_id"])
 
-    gone = decided.where(~F.col("repeated")).select("doc_id", "n_points", "digest")
+    # keys only, and broadcast only after they were counted; beyond that the rows are shuffled to them
+    gone = broadcast_checked(decided.where(~F.col("repeated")).select("doc_id", "n_points", "digest"), KEYS)
     stays = rows.join(gone, on(gone), "left_anti")
     again = decided.where("repeated").select("doc_id", "n_points", "digest").distinct()
     if not again.isEmpty():

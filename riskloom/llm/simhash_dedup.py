@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import bitslice
-from riskloom.llm.common import stored, text_bytes
+from riskloom.llm.common import broadcast_checked, stored, text_bytes
 from riskloom.llm.components import connected
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -200,7 +200,7 @@ def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: fl
     asked = found.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     chosen = stored(nodes.join(asked, "fp").where("least IS NOT NULL").select("fp", "least.doc_id", "least.mark"), "asked")
     rows = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("__id"), _mark().alias("__mark"))
-    few = chosen.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+    few = broadcast_checked(chosen.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")))
     sets = shingle_sets(rows.join(few, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]), NEAR_SHINGLE)
     sets = stored(sets.join(chosen, ["doc_id", "mark"]).select("fp", "shingles"), "shingle-sets")
     left, right = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
@@ -230,5 +230,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is that of their near class; rows without a doc_id stay."""
     gone = near_classes(docs).where("doc_id <> component_id").select(
         F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    gone = stored(gone, "near-copies")
+    gone = broadcast_checked(stored(gone, "near-copies"))
     return docs.join(gone, (docs["doc_id"].cast("long") == gone["__gone"]) & (F.xxhash64(text_bytes()) == gone["__mark"]), "left_anti")
