@@ -1,7 +1,7 @@
 """Near duplicates by SimHash, compared bit-sliced.
 
-Every text becomes one fingerprint. Equal fingerprints are merged first, so exact copies cost one row. Fingerprints
-are sent to buckets in which close ones meet, and every bucket is compared with vertical bit planes (``bitslice``).
+Every text becomes one fingerprint. Equal ones are merged first (``near_classes``: equal sets of shingles), so exact
+copies cost one row. Fingerprints are sent to buckets in which close ones meet, and every bucket is compared with vertical bit planes (``bitslice``).
 A bucket with more than ``CHUNK`` members is cut into chunks and each pair of chunks is compared in a task of its
 own, so no bucket is held by one task. A task returns links to the smallest reachable member, never all pairs;
 components over these links give the classes. Two kinds of fingerprint:
@@ -90,13 +90,19 @@ def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def band_sketch(shingle: int = NEAR_SHINGLE) -> Sketch:
-    """256-bit SimHash and one key for every triple of least values."""
+def _distinct(data: bytes, shingle: int) -> np.ndarray:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(data, shingle)]))
+
+
+def band_sketch(shingle: int = NEAR_SHINGLE) -> Callable[[bytes], tuple[bytes, int, bytes, list[int]]]:
+    """A 128-bit digest of the set of shingles, its size, 256-bit SimHash and one key for every triple of least values."""
     rng = np.random.default_rng(11)
     salts = [int(x) for x in rng.integers(1, 2**63, NEAR_WORDS)]
     factors = rng.integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def sketch(data: bytes) -> tuple[bytes, list[int]]:
+    def sketch(data: bytes) -> tuple[bytes, int, bytes, list[int]]:
+        own = _distinct(data, shingle)
         counts, n = np.zeros(64 * NEAR_WORDS, dtype=np.int64), 0
         least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
         for h in _hashes(data, shingle):
@@ -105,7 +111,8 @@ def band_sketch(shingle: int = NEAR_SHINGLE) -> Sketch:
             least = np.minimum(least, (wide[:, 0] * factors[:, None]).min(axis=1))
             n += len(h)
         keys = least.reshape(BANDS, BAND_ROWS)
-        return _majority(counts, n), [xxhash.xxh64_intdigest(k.tobytes()) - (1 << 63) for k in keys]
+        named = [xxhash.xxh64_intdigest(k.tobytes()) - (1 << 63) for k in keys]
+        return xxhash.xxh128_digest(own.tobytes()), len(own), _majority(counts, n), named
 
     return sketch
 
@@ -128,36 +135,55 @@ def sketches(docs: DataFrame, sketch: Sketch) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, mark long, fp binary, keys array<long>")
 
 
-def links(nodes: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
-    """(a, b): links between different fingerprints of ``nodes(fp, keys)`` that meet in a bucket.
-
-    They connect all fingerprints of a bucket that lie within ``radius`` of each other, with ``nearest`` by links
-    of least distance.
-    """
-    keys = nodes.select("fp", F.posexplode("keys").alias("t", "key"))
+def _in_buckets(nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """(t, key, n, columns): the members of every bucket of ``nodes(keys, columns)`` with n > 1 of them."""
+    keys = nodes.select(*columns, F.posexplode("keys").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    return keys.join(shared, ["t", "key"]).select("t", "key", "n", *columns)
+
+
+def _chunk_pairs(members: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns: arrays) of every pair of chunks of every bucket; the first column names a member."""
     chunks = F.ceil(F.col("n") / CHUNK)
-    own = F.pmod(F.xxhash64("fp"), chunks)
-    dealt = keys.join(shared, ["t", "key"]).select(
-        "t", "key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other")
-    )
-    pairs = dealt.groupBy("t", "key", F.least("own", "other"), F.greatest("own", "other")).agg(
-        F.collect_list("fp").alias("fps")
-    ).where(F.size("fps") > 1)
+    own = F.pmod(F.xxhash64(columns[0]), chunks)
+    dealt = members.select(
+        "t", "key", F.struct(*columns).alias("m"), own.alias("own"),
+        F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
+    return dealt.groupBy("t", "key", F.least("own", "other"), F.greatest("own", "other")).agg(
+        F.collect_list("m").alias("m")).where(F.size("m") > 1).select(*[F.col(f"m.{c}").alias(c) for c in columns])
+
+
+def _portions(batch: pa.RecordBatch):
+    """Sizes and flattened columns of a few lists at a time: a list may hold two chunks."""
+    sizes = np.diff(batch.column(0).offsets.to_numpy())
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // (4 * CHUNK))) + 1).tolist(), len(sizes)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        if hi > lo:
+            yield sizes[lo:hi], [lists.slice(lo, hi - lo).flatten() for lists in batch.columns]
+
+
+def _words(binaries: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(binaries.to_pylist()), "<u8").reshape(len(binaries), -1)
+
+
+def _spanning(pairs: DataFrame, radius: int, nearest: bool) -> DataFrame:
+    """(a, b): names of members, from lists of names and, in the last column, of fingerprints."""
 
     def run(batches):
         for batch in batches:
-            # a few lists at a time: a list may hold two chunks
-            lists = batch.column(0)
-            sizes = np.diff(lists.offsets.to_numpy())
-            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // (4 * CHUNK))) + 1).tolist(), len(sizes)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                flat = lists.slice(lo, hi - lo).flatten()
-                values = np.frombuffer(b"".join(flat.to_pylist()), "<u8").reshape(len(flat), -1)
-                a, b = bitslice.spanning_links(values, sizes[lo:hi], radius, nearest)
-                yield pa.RecordBatch.from_arrays([flat.take(pa.array(a)), flat.take(pa.array(b))], names=["a", "b"])
+            for sizes, columns in _portions(batch):
+                a, b = bitslice.spanning_links(_words(columns[-1]), sizes, radius, nearest)
+                yield pa.RecordBatch.from_arrays([columns[0].take(pa.array(x)) for x in (a, b)], names=["a", "b"])
 
-    return pairs.select("fps").mapInArrow(run, "a binary, b binary")
+    return pairs.mapInArrow(run, "a binary, b binary")
+
+
+def links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links between different fingerprints of ``nodes(fp, keys)`` that meet in a bucket.
+
+    They connect all fingerprints of a bucket that lie within ``radius`` of each other.
+    """
+    return _spanning(_chunk_pairs(_in_buckets(nodes, ["fp"]), ["fp"]), radius, False)
 
 
 def _sketched(docs: DataFrame, sketch: Sketch) -> tuple[DataFrame, DataFrame]:
@@ -167,14 +193,33 @@ def _sketched(docs: DataFrame, sketch: Sketch) -> tuple[DataFrame, DataFrame]:
     return rows, stored(rows.groupBy("fp").agg(first, F.min("keys").alias("keys")), "nodes")
 
 
-def _named(rows: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows with the component that the links ``found`` give their fingerprint."""
+def _near_sketched(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``_sketched`` with ``band_sketch``; a node is a different set of shingles (``set_id``, of ``size``)."""
+
+    def run(batches):
+        sketch = band_sketch()
+        for batch in batches:
+            found = [sketch(data) for data in batch.column(2).to_pylist()]
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            made = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *made], names=["doc_id", "mark", "set_id", "size", "fp", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark(), text_bytes().alias("data"))
+    rows = stored(rows.mapInArrow(run, "doc_id long, mark long, set_id binary, size long, fp binary, keys array<long>"), "sketches")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("least")
+    same = [F.min(c).alias(c) for c in ("size", "fp", "keys")]
+    return rows, stored(rows.groupBy("set_id").agg(first, *same), "nodes")
+
+
+def _named(rows: DataFrame, nodes: DataFrame, found: DataFrame, node: str = "fp") -> DataFrame:
+    """Rows with the component that the links ``found`` give the node that they belong to."""
     roots = connected(found)
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least.doc_id", F.coalesce("root", "fp").alias("root"))
+    rooted = nodes.join(roots, nodes[node] == roots["node"], "left").select(
+        node, "least.doc_id", F.coalesce("root", node).alias("root"))
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return rows.select("doc_id", "mark", "fp").join(named, "fp").select("doc_id", "mark", "fp", "component_id")
+    named = rooted.join(ids, "root").select(node, "component_id")
+    return rows.select(*dict.fromkeys(["doc_id", "mark", "fp", node])).join(named, node).select("doc_id", "mark", "fp", "component_id")
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -182,8 +227,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(data, shingle)])).view(np.int64)
-                    for data in batch.column(2).to_pylist()]
+            sets = [_distinct(data, shingle).view(np.int64) for data in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "mark", "shingles"])
 
@@ -194,16 +238,16 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """The links of ``found(a, b)`` whose texts have at least the Jaccard similarity, shingle by shingle.
 
-    Only texts that have a link are read again, one row for each fingerprint.
+    Only texts that have a link are read again, one row for each set of shingles.
     """
     found = stored(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "close")
-    asked = found.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    chosen = stored(nodes.join(asked, "fp").where("least IS NOT NULL").select("fp", "least.doc_id", "least.mark"), "asked")
+    asked = found.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    chosen = stored(nodes.join(asked, "set_id").where("least IS NOT NULL").select("set_id", "least.doc_id", "least.mark"), "asked")
     rows = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("__id"), _mark().alias("__mark"))
     few = broadcast_checked(chosen.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")))
     sets = shingle_sets(rows.join(few, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]), NEAR_SHINGLE)
-    sets = stored(sets.join(chosen, ["doc_id", "mark"]).select("fp", "shingles"), "shingle-sets")
-    left, right = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
+    sets = stored(sets.join(chosen, ["doc_id", "mark"]).select("set_id", "shingles"), "shingle-sets")
+    left, right = (sets.select(F.col("set_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
     common = F.size(F.array_intersect("a_set", "b_set"))
     whole = F.size("a_set") + F.size("b_set") - F.col("common")
     both = found.join(left, "a").join(right, "b").select("a", "b", "a_set", "b_set", common.alias("common"))
@@ -221,9 +265,10 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """As ``classes``, for five-word shingles and a similarity of 0.8 or more."""
-    rows, nodes = _sketched(docs, band_sketch())
-    close = links(nodes.select("fp", "keys"), NEAR_RADIUS, nearest=True)
-    return _named(rows, nodes, verified(docs, nodes, close, SIMILARITY))
+    rows, nodes = _near_sketched(docs)
+    met = _in_buckets(nodes, ["set_id", "fp"])
+    close = _spanning(_chunk_pairs(met, ["set_id", "fp"]), NEAR_RADIUS, True)
+    return _named(rows, nodes, verified(docs, nodes, close, SIMILARITY), "set_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

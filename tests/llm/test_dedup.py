@@ -193,3 +193,12 @@ def test_nearest_forest_has_the_least_total():
                 total += x
         assert d[chosen].sum() == total
         assert len(chosen) == n - len(set(up))
+
+
+def test_equal_fingerprints_of_different_texts_are_not_merged(spark):
+    """One passage so frequent that it alone would fix every bit of a fingerprint that counts repeats."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(15))
+    texts = [" ".join([passage] * 100 + [f"w{rng.randrange(10**6)}" for _ in range(400)]) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()} == {0: 0, 1: 1, 2: 2}
