@@ -202,3 +202,28 @@ def test_equal_fingerprints_of_different_texts_are_not_merged(spark):
     texts = [" ".join([passage] * 100 + [f"w{rng.randrange(10**6)}" for _ in range(400)]) for _ in range(3)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()} == {0: 0, 1: 1, 2: 2}
+
+
+def test_repeats_do_not_part_texts_of_equal_shingles(spark):
+    """Equal and similar sets of shingles, one passage repeated in one of the texts."""
+    rng = random.Random(13)
+    texts = {}
+    for i in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        texts[10 * i] = " ".join(words)
+        texts[10 * i + 1] = " ".join([*words[:24] * 30, *words[24:]])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()}
+    assert got == {i: i // 10 * 10 for i in texts}
+
+
+@pytest.mark.parametrize(("common", "left", "right"), [(400, 50, 50), (40, 5, 5), (8, 1, 1), (4, 0, 1), (8, 0, 2)])
+def test_radius_holds_similarity_of_just_the_limit(common, left, right):
+    """``common`` shingles in both texts and some of their own: similarity 0.8, over many random sets."""
+    rng = np.random.default_rng(common + right)
+    beyond = 0
+    for _ in range(2000):
+        bits = rng.integers(0, 2, size=(common + left + right, 256), dtype=np.int8)
+        a, b = bits[: common + left], np.concatenate([bits[:common], bits[common + left :]])
+        beyond += int(((2 * a.sum(axis=0) > len(a)) != (2 * b.sum(axis=0) > len(b))).sum() > simhash_dedup.NEAR_RADIUS)
+    assert beyond <= 1
