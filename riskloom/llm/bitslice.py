@@ -156,19 +156,16 @@ def _large_group(values: np.ndarray, radius: int, nearest: bool) -> tuple[np.nda
     return left, right
 
 
-def spanning_links(values: np.ndarray, sizes: np.ndarray, radius: int, nearest: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """``(i, j)`` places that connect what lies within ``radius`` of each other in the same group.
-
-    ``values``: fingerprints as ``(n, uint64s)``, group after group; ``sizes``: members of each group. Fewer links
-    than members are returned: with ``nearest`` those of least distance, else links to the least place reachable.
-    """
+def _large(sizes: np.ndarray):
+    """The places of each group that is compared by itself."""
     starts = np.cumsum(sizes) - sizes
-    heads, tails = [starts[:0]], [starts[:0]]
     for g in np.flatnonzero(sizes > LARGE):
-        places = np.arange(starts[g], starts[g] + sizes[g])
-        left, right = _large_group(values[places], radius, nearest)
-        heads.append(places[left])
-        tails.append(places[right])
+        yield np.arange(starts[g], starts[g] + sizes[g])
+
+
+def _together(sizes: np.ndarray):
+    """Places, and sizes of their groups, of small groups that are compared at once, the largest first."""
+    starts = np.cumsum(sizes) - sizes
     small = np.flatnonzero((sizes <= LARGE) & (sizes > 1))
     small = small[np.argsort(-sizes[small], kind="stable")]
     ends = np.cumsum(sizes[small])
@@ -176,9 +173,35 @@ def spanning_links(values: np.ndarray, sizes: np.ndarray, radius: int, nearest:
     while at < len(small):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LANES, side="right")))
         own = small[at:to]
-        places = np.concatenate([np.arange(starts[g], starts[g] + sizes[g]) for g in own])
+        yield np.concatenate([np.arange(starts[g], starts[g] + sizes[g]) for g in own]), sizes[own]
+        at = to
+
+
+def close_pairs(values: np.ndarray, sizes: np.ndarray, radius: int):
+    """All ``(i, j)`` places within ``radius`` of each other in the same group, some at a time."""
+    for places in _large(sizes):
+        for i, j in _tiles(values[places], radius):
+            yield places[i], places[j]
+    for places, own in _together(sizes):
+        i, j = _small_groups(values[places], own, radius)
+        yield places[i], places[j]
+
+
+def spanning_links(values: np.ndarray, sizes: np.ndarray, radius: int, nearest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``(i, j)`` places that connect what lies within ``radius`` of each other in the same group.
+
+    ``values``: fingerprints as ``(n, uint64s)``, group after group; ``sizes``: members of each group. Fewer links
+    than members are returned: with ``nearest`` those of least distance, else links to the least place reachable.
+    """
+    heads = [np.zeros(0, dtype=np.int64)]
+    tails = [np.zeros(0, dtype=np.int64)]
+    for places in _large(sizes):
+        left, right = _large_group(values[places], radius, nearest)
+        heads.append(places[left])
+        tails.append(places[right])
+    for places, own in _together(sizes):
         part = values[places]
-        left, right = _small_groups(part, sizes[own], radius)
+        left, right = _small_groups(part, own, radius)
         if nearest:
             keep = nearest_forest(len(places), left, right, distances(part, left, right))
             left, right = left[keep], right[keep]
@@ -188,5 +211,4 @@ def spanning_links(values: np.ndarray, sizes: np.ndarray, radius: int, nearest:
             right = label[left]
         heads.append(places[left])
         tails.append(places[right])
-        at = to
     return np.concatenate(heads), np.concatenate(tails)

@@ -12,8 +12,10 @@ components over these links give the classes. Two kinds of fingerprint:
   0.8 lies at 39 bits with a deviation of 5.7, with four shingles against five (ties) at 48 with 6.2; the radius of 73
   is four deviations beyond the latter. Texts meet where the least values of three hash functions over their
   shingles agree, in any of 16 such triples (similarity 0.8 misses all of them once in 100,000). The links of a
-  bucket are those of a minimum spanning forest, so that a copy is linked with what it was copied from rather
-  than with another copy; each is then verified by the exact similarity of the two sets of shingles.
+  bucket are first those of a minimum spanning forest, so that a copy is linked with what it was copied from rather
+  than with another copy; each is then verified by the exact similarity of the two sets of shingles. So is, after
+  that, every other pair of a bucket within the radius whose texts are not yet in one class: no link is lost because
+  another one failed.
 
 Defined results: a null text counts as empty, and a text without words has fingerprint zero; rows with equal
 doc_id are rows of their own; a null doc_id is never a component's id unless all its rows have none (and
@@ -254,6 +256,46 @@ def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: fl
     return both.where((whole == 0) | (F.col("common") / whole >= similarity)).select("a", "b")
 
 
+def _unsettled(members: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(a, b): all pairs of ``members(t, key, n, set_id, root, size, fp)`` of a bucket within ``radius`` that have
+    different roots, but for those whose sizes alone rule the similarity out."""
+    mixed = members.groupBy("t", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = mixed.where("lo <> hi").select("t", "key")
+
+    def run(batches):
+        for batch in batches:
+            for sizes, (ids, roots, many, fps) in _portions(batch):
+                values, root, size = _words(fps), _words(roots), many.to_numpy()
+                for i, j in bitslice.close_pairs(values, sizes, radius):
+                    less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                    open_ = (root[i] != root[j]).any(axis=1) & (less >= similarity * more - 1e-6)
+                    i, j = i[open_], j[open_]
+                    for at in range(0, len(i), 1 << 16):
+                        ends = [ids.take(pa.array(x[at : at + (1 << 16)])) for x in (i, j)]
+                        yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    pairs = _chunk_pairs(members.join(mixed, ["t", "key"]), ["set_id", "root", "size", "fp"])
+    return pairs.mapInArrow(run, "a binary, b binary")
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): verified links that connect all ``nodes`` that meet within the radius and have the similarity.
+
+    The links of the forests are verified first. A pair that stays in different classes after that is verified
+    itself, whatever became of the forests' links.
+    """
+    met = stored(_in_buckets(nodes, ["set_id", "size", "fp"]), "met")
+    forests = _spanning(_chunk_pairs(met, ["set_id", "fp"]), NEAR_RADIUS, True)
+    tried = stored(forests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "forests")
+    sure = stored(verified(docs, nodes, tried, SIMILARITY), "similar")
+    roots = connected(sure)
+    rooted = met.join(roots, met["set_id"] == roots["node"], "left").select(
+        "t", "key", "n", "set_id", F.coalesce("root", "set_id").alias("root"), "size", "fp")
+    rest = _unsettled(rooted, NEAR_RADIUS, SIMILARITY).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "unsettled")
+    return sure if rest.isEmpty() else sure.unionByName(verified(docs, nodes, rest, SIMILARITY))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, fp, component_id) for every row, with all links up to three bits of 64.
 
@@ -266,9 +308,7 @@ def classes(docs: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame) -> DataFrame:
     """As ``classes``, for five-word shingles and a similarity of 0.8 or more."""
     rows, nodes = _near_sketched(docs)
-    met = _in_buckets(nodes, ["set_id", "fp"])
-    close = _spanning(_chunk_pairs(met, ["set_id", "fp"]), NEAR_RADIUS, True)
-    return _named(rows, nodes, verified(docs, nodes, close, SIMILARITY), "set_id")
+    return _named(rows, nodes, similar_links(docs, nodes), "set_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

@@ -227,3 +227,39 @@ def test_radius_holds_similarity_of_just_the_limit(common, left, right):
         a, b = bits[: common + left], np.concatenate([bits[:common], bits[common + left :]])
         beyond += int(((2 * a.sum(axis=0) > len(a)) != (2 * b.sum(axis=0) > len(b))).sum() > simhash_dedup.NEAR_RADIUS)
     assert beyond <= 1
+
+
+def test_near_classes_of_copies_around_the_limit_equal_brute_force(spark):
+    """Copies of one text with similarities on both sides of 0.8: many nearest links fail, others must be tried."""
+    rng = random.Random(15)
+    texts = {}
+    for i in range(6):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(154)]
+        for j in range(25):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), rng.choice([1, 2, 2, 3, 3, 3])):
+                copy[at] = f"w{rng.randrange(10**6)}"
+            texts[100 * i + j] = " ".join(copy + [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 12))])
+    sets = []
+    for text in texts.values():
+        words = text.split()
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+    up = roots(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    ids = list(texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()}
+    assert got == {i: ids[r] for i, r in zip(ids, up, strict=True)}
+    assert 12 < len(set(up)) < 120
+
+
+def test_close_pairs_are_all_pairs(monkeypatch):
+    monkeypatch.setattr(bitslice, "LARGE", 20)
+    monkeypatch.setattr(bitslice, "LANES", 50)
+    rng = np.random.default_rng(4)
+    sizes = np.array([3, 1, 45, 20, 2, 150])
+    values = rng.integers(0, 2**63, size=(sizes.sum(), 1), dtype=np.uint64) & np.uint64(0xFFFF)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    got = sorted(tuple(sorted(p)) for i, j in bitslice.close_pairs(values, sizes, 5) for p in zip(i.tolist(), j.tolist(), strict=True))
+    n = len(values)
+    want = [(i, j) for i in range(n) for j in range(i + 1, n) if group[i] == group[j] and (int(values[i, 0]) ^ int(values[j, 0])).bit_count() <= 5]
+    assert got == sorted(want)
