@@ -33,7 +33,8 @@ SEQUENCE_BITS = 32
 PIECES = "row_id long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # Space beyond ASCII, and the four separators that only Python counts as space: such texts are tokenised whole.
-_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+# So are those with control characters, and with what may be a special token, which lower-casing must not make.
+_WHOLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\|")
 
 
 def default_tokenizer() -> str:
@@ -85,7 +86,7 @@ class Encoder:
     def _unit(self, unit: str) -> bytes:
         found = self.units.get(unit)
         if found is None:
-            spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters)
+            spelled = unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(self.letters)
             found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
             if len(self.units) < REMEMBERED:
                 self.units[unit] = found
@@ -104,7 +105,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of some texts; all their parts are held at once, so give a few at a time."""
         lower = [t if _BEYOND_LATIN.search(t) else t.lower() for t in texts] if self.by_unit else texts
-        parts = [None if _ODD_SPACE.search(t) else t.split() for t in lower]
+        parts = [None if _WHOLE.search(t) else t.split() for t in lower]
         known, new = self.known, set()
         for words in parts:
             new.update(words or ())

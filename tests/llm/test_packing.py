@@ -72,3 +72,12 @@ def test_first_fit_decreasing_equals_plain_scan():
 
 def test_no_documents(spark):
     assert packing.pack_documents(no_docs(spark)).count() == 0
+
+
+def test_control_characters_and_special_tokens_give_the_tokenizers_ids():
+    tokenizer, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
+    texts = [f"a{chr(c)}B {chr(c)} {chr(c)}{chr(c)}1" for c in range(0x180)]
+    texts += ["\x1b[31mred\x1b[0m", "<|ENDOFTEXT|>", "a <|EndOfText|> b", "x<|endoftext|>Y <|startoftext|>", "< |endoftext|>", "<|", "|>"]
+    assert encoder.encode(texts) == [ids_of(tokenizer, t)[:-1].tobytes() for t in texts]
+    for unit in ("\x00", "\x1b[", "\x7f~"):
+        assert encoder._unit(unit) == ids_of(tokenizer, unit)[:-1].tobytes()
