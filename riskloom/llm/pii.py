@@ -4,7 +4,8 @@ Plain identifiers are found in the source itself. A transducer then rewrites dis
 digits, invisible characters, spelled digits, words and brackets for "at" and "dot") into a normalised text and
 keeps for every rewritten piece the source characters it came from. The same detectors run on the normalised
 text; what they find there with a rewritten piece in it is mapped back to source characters and added, unless it
-overlaps a plain find of its kind. Plain finds always stay.
+overlaps a plain find of its kind. Plain finds always stay. A second, wider reading also takes a bare "at" before a plain
+domain and single spelled digits of a number; the finds of both readings are added, and may overlap each other.
 
 Defined results: null and empty texts have no spans; spans are in code points, the end exclusive, ordered by kind
 (email, ip, card, phone) and start; repeated rows are searched each; a null doc_id is kept; an empty table gives
@@ -87,27 +88,38 @@ _WORD = f"(?:{'|'.join(DIGIT_WORDS)})"
 _GLYPH = re.compile(f"[{re.escape(''.join(GLYPHS))}]")
 _HIDDEN = "­​‌‍⁠﻿"
 _OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
-_EDIT = re.compile(
-    rf"(?P<hidden>[{_HIDDEN}]+)"
-    rf"|(?P<at>{_OPEN}(?:at|@){_CLOSE}|(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]+\s{{0,3}}[\[({{<\s]\s{{0,3}}(?:dot|\.)[\])}}>\s]))"
-    rf"|(?P<dot>{_OPEN}(?:dot|\.){_CLOSE}|(?<=[A-Za-z0-9])\s{{1,3}}dot\s{{1,3}}(?=[A-Za-z0-9]))"
-    rf"|(?P<plus>\bplus[\s-]{{1,3}}(?=[0-9]|{_WORD}\b))"
-    rf"|(?P<digits>\b{_WORD}(?:[\s-]{{1,3}}(?:{_WORD}|[0-9]))+\b)"
-    rf"|(?P<one>(?<=dot\s){_WORD}\b|\b{_WORD}(?=\s{{1,3}}dot\s))"
-    rf"|(?P<glyph>{_GLYPH.pattern})",
-    re.IGNORECASE,
-)
-_TWO_DIGITS = re.compile(rf"\b{_WORD}[\s-]{{1,3}}(?:{_WORD}|[0-9])\b")
+_SPELT_DOT = r"\s{0,3}[\[({<\s]\s{0,3}(?:dot|\.)[\])}>\s]"
+# Beside a digit, however it is set off: a single spelled digit of a number.
+_BESIDE = "|".join(rf"(?<=[0-9][\s().-]{{{n}}})" for n in (1, 2, 3))
+
+
+def _edits(domain: str, more: str = "") -> re.Pattern:
+    """What is rewritten; ``domain`` follows the first label after a bare "at"."""
+    return re.compile(
+        rf"(?P<hidden>[{_HIDDEN}]+)"
+        rf"|(?P<at>{_OPEN}(?:at|@){_CLOSE}|(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]+(?:{domain})))"
+        rf"|(?P<dot>{_OPEN}(?:dot|\.){_CLOSE}|(?<=[A-Za-z0-9])\s{{1,3}}dot\s{{1,3}}(?=[A-Za-z0-9]))"
+        rf"|(?P<plus>\bplus[\s-]{{1,3}}(?=[0-9]|{_WORD}\b))"
+        rf"|(?P<digits>\b{_WORD}(?:[\s-]{{1,3}}(?:{_WORD}|[0-9]))+\b)"
+        rf"|(?P<one>(?<=dot\s){_WORD}\b|\b{_WORD}(?=\s{{1,3}}dot\s){more})"
+        rf"|(?P<glyph>{_GLYPH.pattern})",
+        re.IGNORECASE,
+    )
+
+
+_EDIT = _edits(_SPELT_DOT)
+#: Plain domains behind a bare "at" and single spelled digits too. A reading of its own: it may break a find of the other.
+_WIDER = _edits(rf"{_SPELT_DOT}|\.[A-Za-z0-9]", rf"|(?:{_BESIDE}){_WORD}\b|\b{_WORD}(?=[\s().-]{{1,3}}[0-9])")
 _PART = re.compile(rf"{_WORD}|[0-9]")
 
 
 class Normalised:
     """A rewritten text and, for every piece of it, the source characters it stands for."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, edits: re.Pattern = _EDIT):
         parts, self.starts, self.sources, self.edited = [], [], [], []
         at = made = 0
-        for m in _EDIT.finditer(text):
+        for m in edits.finditer(text):
             new = self._rewrite(m)
             if new is None:
                 continue
@@ -145,27 +157,22 @@ class Normalised:
         return begin, d if self.edited[last] else c + end - self.starts[last]
 
 
-_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|@|\.)\s{0,3}[\])}>]")
-
-
 def disguised(text: str) -> bool:
-    """Whether the transducer could rewrite something that matters."""
-    low = text.lower()
-    if "dot" in low or _BRACKETED.search(low) or _TWO_DIGITS.search(low):
-        return True
-    return not text.isascii() and bool(_GLYPH.search(text) or any(c in text for c in _HIDDEN))
+    """Whether the transducer rewrites anything."""
+    return bool(_WIDER.search(text))
 
 
 def added_spans(text: str, plain: list[Span]) -> list[Span]:
-    """What only shows in the normalised text, at its place in the source."""
+    """What only shows in a normalised text, at its place in the source."""
     if not disguised(text):
         return []
-    normal = Normalised(text)
-    out = []
-    for kind, start, end in plain_spans(normal.text):
-        place = normal.source(start, end)
-        if place and not any(k == kind and a < place[1] and place[0] < b for k, a, b in plain):
-            out.append((kind, *place))
+    first, second = Normalised(text), Normalised(text, _WIDER)
+    out: list[Span] = []
+    for normal in [first] if first.text == second.text else [first, second]:
+        for kind, start, end in plain_spans(normal.text):
+            place = normal.source(start, end)
+            if place and (kind, *place) not in out and not any(k == kind and a < place[1] and place[0] < b for k, a, b in plain):
+                out.append((kind, *place))
     return out
 
 

@@ -94,3 +94,25 @@ def test_query_digests(spark, small):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == s[0] for s in want) for k in pii.KINDS]
         assert r.n_added or r.spans == joined
+
+
+@pytest.mark.parametrize(("text", "kind", "found"), [
+    ("call plus 49 30 1234567 now", "phone", "plus 49 30 1234567"),
+    ("write jo at example.com, please", "email", "jo at example.com"),
+    ("write jo at mail.example dot com, please", "email", "jo at mail.example dot com"),
+    ("card 4111 1111 1111 111 one ok", "card", "4111 1111 1111 111 one"),
+    ("card 4111 one 111 1111 1111 ok", "card", "4111 one 111 1111 1111"),
+    ("card four 111 1111 1111 1111 ok", "card", "four 111 1111 1111 1111"),
+    ("host 10.0.0.seven x", "ip", "10.0.0.seven"),
+    ("card four one one one 1111 1111 1111 one time", "card", "four one one one 1111 1111 1111"),
+])
+def test_every_edit_passes_the_gate(text, kind, found):
+    for before in ("", "é日 x ", "a@b.cd 4111111111111111, "):
+        plain = pii.plain_spans(before + text)
+        assert (kind, found) in [(k, (before + text)[a:b]) for k, a, b in pii.added_spans(before + text, plain)]
+
+
+def test_the_gate_loses_nothing(spark, small):
+    for r in spark.read.parquet(f"{small}/documents.parquet").limit(300).collect():
+        for edits in (pii._EDIT, pii._WIDER):
+            assert pii.disguised(r.text) or not any(pii.Normalised(r.text, edits).edited)
