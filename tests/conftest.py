@@ -38,7 +38,3 @@ def duck():
 @pytest.fixture
 def folder():
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,6 @@
 """Shapes of physical plans that must hold at any scale."""
 
-from conftest import plan_of
+from plans_text import plan_of
 from riskloom.catalog import base
 from riskloom.operators import clean, detection, history, marts
 from riskloom.plans import dashboard
