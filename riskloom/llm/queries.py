@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, licences, line_dedup, lm_scoring, packing, pii, simhash_dedup, toxicity, warc
+from riskloom.llm import (
+    decontaminate, exact_dedup, fill_middle, language_id, licences, line_dedup, lm_scoring, packing, phrases, pii, simhash_dedup, toxicity, warc,
+)
 from riskloom.llm.common import table
 
 
@@ -77,7 +79,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup, op10_packing)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.rewrites(fill_middle.framed(table(spark, sf_dir, "documents")))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the language, the spans as lang:start:end in code points, the end exclusive."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["lang"], s["start"], s["end"])), ",")
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", spans.alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_lm_scoring, op2_line_dedup, op3_exact_dedup, op4_pii, op5_toxicity, op6_decontaminate, op7_warc, op8_licences, op9_simhash_dedup,
+    op10_packing, op11_phrases, op12_fill_middle, op13_language_id)}
 
 _BLANKS = r"[\x20\x09-\x0D]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -90,7 +110,9 @@ def _loss(kind: str) -> str:
     smooth = f"{lm_scoring.SMOOTHING}::DOUBLE"
     return f"avg(-ln(({both} + {smooth} * {single}) / (coalesce(c.{kind}, 0) + {smooth})))"
 
-
+_GRAMS = (
+    "SELECT lang, {k} AS k, array_to_string(words[i : i + {k} - 1], ' ') AS phrase"
+    " FROM (SELECT lang, words, unnest(range(1, len(words) - {k} + 2)) AS i FROM pieces)")
 
 ORACLE = {
     "op1_lm_scoring": rf"""
@@ -131,4 +153,36 @@ ORACLE = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM grouped""",
+    "op11_phrases": rf"""
+        WITH lines AS (SELECT coalesce(lang, 'und') AS lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS line FROM documents),
+        pieces AS (SELECT lang, regexp_extract_all(line, '[^\x20\x09]+') AS words FROM lines),
+        total AS (SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang),
+        grams AS ({" UNION ALL ".join(_GRAMS.format(k=k) for k in range(1, phrases.LONGEST + 1))}),
+        counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+        whole AS (SELECT *, string_split(phrase, ' ') AS words FROM counts),
+        longer AS (SELECT w.lang, array_to_string(w.words[i : i + size - 1], ' ') AS phrase, max(w.a) AS most
+          FROM whole w, range(2, {phrases.LONGEST}) s(size), range(1, {phrases.LONGEST} + 1) p(i) WHERE size < w.k AND i + size - 1 <= w.k GROUP BY ALL),
+        alone AS (SELECT whole.* FROM whole LEFT JOIN longer USING (lang, phrase) WHERE k >= 2 AND (most IS NULL OR 100 * most < 100 * a)),
+        cuts AS (SELECT lang, phrase, a, cut, array_to_string(words[:cut], ' ') AS first, array_to_string(words[cut + 1:], ' ') AS rest
+          FROM alone, range(1, {phrases.LONGEST}) c(cut) WHERE cut < k),
+        scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, f.a AS l, r.a AS r, n, cut, (1000::HUGEINT * cuts.a * n) // (f.a::HUGEINT * r.a) AS score
+          FROM cuts JOIN counts f ON f.lang = cuts.lang AND f.phrase = first JOIN counts r ON r.lang = cuts.lang AND r.phrase = rest
+          JOIN total ON total.lang = cuts.lang),
+        least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+        FROM least QUALIFY rank <= {phrases.TOP}""",
+    "op12_fill_middle": f"""
+        WITH drawn AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS draw,
+            regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents),
+        numbers AS (SELECT *, len(units) AS n, {", ".join(f"('0x' || substr(draw, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))} FROM drawn),
+        cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= {fill_middle.REWRITTEN} THEN 'plain'
+                 WHEN h4 % 100 < {fill_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        parts AS (SELECT *, array_to_string(units[:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+            array_to_string(units[b + 1:], '') AS suffix FROM cut)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM parts""",
 }

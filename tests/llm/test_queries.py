@@ -12,7 +12,7 @@ from riskloom.llm import decontaminate, exact_dedup, queries, simhash_dedup, tox
 
 def test_all_are_registered():
     names = list(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and set(queries.ORACLE) <= set(queries.QUERIES)
     assert not any("limit" in sql.lower() for sql in queries.ORACLE.values())
 
