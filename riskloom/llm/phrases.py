@@ -1,16 +1,18 @@
 """Collocations by stripes: every prefix keys an associative counter of the words that follow it.
 
-``stripes`` is the one structure. A stripe belongs to a prefix of up to four words (the empty one too) and counts each
-next word; what has no frequent next word, the end of a piece included, counts under null. So the sum of a stripe is
-the frequency of its prefix, an entry is the frequency of prefix and word together, and the largest entry tells
-whether a longer phrase subsumes the prefix. Tasks build stripes over a few million words at a time; they are merged
-elementwise, that is by prefix and next word, so a prefix that a third of all rows hold is spread over many tasks.
+``stripes`` is the one structure. A stripe belongs to a prefix of up to four words and counts each frequent next word;
+the empty prefix counts all others under null, so that its stripe sums up to the number of words. An entry is the
+frequency of prefix and word together, which makes it the total of the next longer prefix as well, and the largest
+entry tells whether a longer phrase subsumes the prefix. Tasks build stripes over half a million words at a time; they
+are merged elementwise, that is by prefix and next word, so a prefix that a third of all rows hold is spread over many
+tasks.
 
 Most phrases are rare, and those cannot matter: no part of a phrase is rarer than the phrase. So before stripes are
 built, three passes count hashes of phrases of one and two, then three, then four and five words, each only where
 the shorter ones are frequent. A pass leaves a bitmap of ``FILTER_BITS`` bits in which every frequent phrase is marked.
 The bitmaps are broadcast; their size does not depend on the data, and a wrongly marked phrase costs a row and changes
-no result, because stripes hold the words themselves and are counted exactly.
+no result, because stripes hold the words themselves and are counted exactly. Words are not counted before pairs of words: that
+would spare shuffled pairs where little is frequent, but costs a pass over all texts, and less and less is spared as data grow.
 
 Defined results: a null text has no words; a null lang is ``und``, together with rows that say ``und``; a lang without
 candidates has no row; repeated rows count as often as they occur; ties are settled by the least cut, then by a and
@@ -34,9 +36,9 @@ from riskloom.llm.common import broadcast_checked, stored, text_bytes
 #: Words of the longest phrase, least frequency, and phrases returned per lang.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bits of a bitmap of frequent phrases, words worked on at once, bytes of a long text taken at once.
-FILTER_BITS, FLUSH, BLOCK = 1 << 26, 1 << 21, 1 << 23
-#: Bits that one row of a bitmap holds.
-_ROW_BITS = 32_768
+FILTER_BITS, FLUSH, BLOCK = 1 << 26, 1 << 19, 1 << 21
+#: Bits of a hash that is shuffled (equal ones only add up, which marks too much and never too little); bits of a row of a bitmap.
+_HASH_BITS, _ROW_BITS = 40, 32_768
 
 # Capitals become small, piece ends one byte that UTF-8 never has, tabs spaces.
 _END = b"\xff"
@@ -93,9 +95,9 @@ def runs(batches, flush: int = FLUSH) -> Iterator[Words]:
         langs.append(np.full(len(words), lang, np.int64))
 
     for batch in batches:
-        for lang, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            code = names[lang]
-            for words in _blocks(data):
+        for lang, data in zip(*batch.columns, strict=True):
+            code = names[lang.as_py()]
+            for words in _blocks(data.as_py()):
                 add(words, code)
                 size += len(words)
                 if size >= flush:
@@ -158,7 +160,7 @@ def hash_counts(docs: DataFrame, lengths: tuple[int, ...], bitmaps, flush: int =
                 open_[k] = may
                 if k in lengths:
                     first = max(0, words.new - k + 1)  # phrases that end in a new word
-                    found, n = np.unique(phrase[first:][may[first:]], return_counts=True)
+                    found, n = np.unique(phrase[first:][may[first:]] & np.uint64((1 << _HASH_BITS) - 1), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(n), k, np.int32)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
                         names=["k", "phrase", "n"])
@@ -179,7 +181,8 @@ def frequent(counts: DataFrame, least: int, bits: int) -> dict[int, np.ndarray]:
 
 
 def partial_stripes(docs: DataFrame, bitmaps, flush: int = FLUSH) -> DataFrame:
-    """(``STRIPES``): for each run of words a stripe per marked prefix; a null word counts what has no marked one."""
+    """(``STRIPES``): for each run of words a stripe per marked prefix, with what follows it and is marked too. In the
+    stripe of the empty prefix a null word counts all others."""
 
     def run(batches):
         known = bitmaps.value
@@ -195,7 +198,7 @@ def partial_stripes(docs: DataFrame, bitmaps, flush: int = FLUSH) -> DataFrame:
                 # ``at``: beginnings of prefixes of k - 1 words, all of which are followed by a word or an end
                 joined = valid[at] & marked(known.get(k, none), phrase[at])
                 slot = at + (k - 1)
-                new = slot >= words.new
+                new = slot >= words.new if k == 1 else (slot >= words.new) & joined
                 entry, n = np.unique(number[new] * size + np.where(joined, words.ids[slot], 0)[new], return_counts=True)
                 if len(entry):
                     prefix, follower = np.divmod(entry, size)
@@ -220,7 +223,7 @@ def partial_stripes(docs: DataFrame, bitmaps, flush: int = FLUSH) -> DataFrame:
 def stripes(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS, flush: int = FLUSH) -> DataFrame:
     """(lang, prefix, next, n): entries of the merged stripes of all prefixes that may be frequent.
 
-    The sum of a stripe is exact for every prefix that occurs ``least`` times, and so is every entry of as many.
+    Every entry is exact, and none of ``least`` or more is missing.
     """
     context = docs.sparkSession.sparkContext
     known: dict[int, np.ndarray] = {}
@@ -239,13 +242,12 @@ def _whole(x: str) -> Column:
 
 def scored(merged: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of all candidates that no longer one subsumes; ``merged``: stored stripes."""
-    common = F.col("next").isNotNull() & (F.col("n") >= least)
-    summed = merged.groupBy("lang", "prefix").agg(F.sum("n").alias("total"), F.max(F.when(common, F.col("n"))).alias("longer"))
-    total = stored(summed.where(F.col("total") >= least), "prefixes")
-    phrase = F.concat_ws(" ", "prefix", "next")
-    found = merged.where(common & (F.col("prefix") != "")).select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
+    phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
+    common = merged.where(F.col("next").isNotNull() & (F.col("n") >= least)).select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
+    common = stored(common, "common-phrases")
+    found = common.where(F.col("prefix") != "")
     # One word more is enough to look at: between a phrase and a longer one as frequent all others are as frequent.
-    behind = total.select("lang", F.col("prefix").alias("phrase"), F.col("longer").alias("behind"))
+    behind = found.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("a").alias("behind"))
     rest = F.substring("phrase", F.instr("phrase", " ") + 1, F.length("phrase"))
     before = found.where(F.col("prefix").contains(" ")).groupBy("lang", rest.alias("phrase")).agg(F.max("a").alias("before"))
     alone = found.join(behind, ["lang", "phrase"], "left").join(before, ["lang", "phrase"], "left").where(
@@ -255,8 +257,8 @@ def scored(merged: DataFrame, least: int = LEAST) -> DataFrame:
     parts = cut.select(
         "lang", "phrase", "a", "k", F.array_join(F.slice("words", F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice("words", F.col("k") + 1, F.size("words") - F.col("k")), " ").alias("rest"))
-    left, right = (total.select("lang", F.col("prefix").alias(c), F.col("total").alias(t)) for c, t in (("first", "l"), ("rest", "r")))
-    everything = total.where("prefix = ''").select("lang", F.col("total").alias("n"))
+    left, right = (common.select("lang", F.col("phrase").alias(c), F.col("a").alias(t)) for c, t in (("first", "l"), ("rest", "r")))
+    everything = merged.where("prefix = ''").groupBy("lang").agg(F.sum("n").alias("n"))
     whole = parts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(broadcast_checked(everything), "lang")
     top, below = F.lit(1000).cast("decimal(4,0)") * _whole("a") * _whole("n"), _whole("l") * _whole("r")
     score = F.call_function("div", top, below)

@@ -93,7 +93,7 @@ def test_runs_of_long_texts_lose_nothing(monkeypatch):
 
 def test_products_beyond_64_bits_are_exact(spark):
     a, n, left, right = 9 * 10**11, 7 * 10**14, 10**12 + 7, 10**12 + 13
-    rows = [("en", "", None, n), ("en", "x", "y", a), ("en", "x", None, left - a), ("en", "y", None, right), ]
+    rows = [("en", "", None, n - left - right), ("en", "", "x", left), ("en", "", "y", right), ("en", "x", "y", a)]
     merged = spark.createDataFrame(rows, "lang string, prefix string, next string, n long")
     (row,) = phrases.scored(merged).collect()
     assert row.score == int(Decimal(1000) * a * n // (Decimal(left) * right)) == 1000 * a * n // (left * right)
