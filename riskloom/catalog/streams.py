@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from riskloom import fixtures
 from riskloom.catalog.aggregates import RECENT_SQL, RUNNING_SQL
-from riskloom.catalog.base import check, half_up, input_version, query, text
+from riskloom.catalog.base import CTES, check, geo_feed, half_up, input_version, query, text
 from riskloom.catalog.cleaning import FEED, FEED_SQL
+from riskloom.catalog.histories import HAVERSINE_PREV, MOVEMENT
 from riskloom.operators import detection, ingest, marts
 from riskloom.schemas import STREAM_ALERT_COLUMNS, STREAM_LOAD_ALERT_COLUMNS, STREAM_LOAD_COLUMNS, TRANSACTION, pick
 from riskloom.session import work_folder
 from riskloom.sources import readers
-from riskloom.streaming import jobs, sinks
+from riskloom.streaming import jobs, sinks, state
 
 
 def _folder(spark) -> str:
@@ -135,7 +136,64 @@ def _event_windows(spark, sf):
     return jobs.with_open_windows(spark.read.parquet(f"{root}/windows"), table, "channel")
 
 
+#: Runs in which the ordered feed is drained, each going on from the checkpoint of the one before.
+RUNS, LATENESS = 3, 600
+
+
+def _in_runs(spark, sf, root, start):
+    """Drain transactions in the order of time: write a slice of the feed, let ``start`` read it to its end, and so on."""
+    rows = geo_feed(spark, sf)
+    steps = [k / RUNS for k in range(1, RUNS)]
+    ends = rows.select(F.percentile_approx("epoch", steps).alias("ends")).first().ends or []
+    part = sum((F.when(F.col("epoch") > end, 1).otherwise(0) for end in ends), F.lit(0))
+    fed = rows.drop("epoch", "tx_year", "tx_month")
+    for k in range(RUNS):
+        rows.where(part == k).select(*fed.columns).write.mode("append").parquet(f"{root}/feed")
+        start(readers.parquet_stream(spark, f"{root}/feed", fed.schema)).awaitTermination()
+
+
+FIRSTS = {"is_new_bank": "destination_bank", "is_new_state": "purchase_state"}
+
+
+def _history_root(spark, sf) -> str:
+    """One drained run of the stateful features, shared by the queries on them."""
+    key = ("history", *input_version(spark, sf))
+
+    def start(feed):
+        timed = feed.withColumn("event_time", F.col("timestamp_dt"))
+        kept = ["transaction_id", "purchase_latitude", "purchase_longitude", "purchase_state"]
+        found = state.with_movement(state.with_history(timed, FIRSTS, f"{LATENESS} seconds", keep=kept))
+        with state.rocksdb(spark):
+            return sinks.append_table(found, f"{_drained[key]}/history", f"{_drained[key]}/check", None)
+
+    with _lock:
+        if key not in _drained:
+            _drained[key] = _folder(spark)
+            try:
+                _in_runs(spark, sf, _drained[key], start)
+            except BaseException:
+                del _drained[key]
+                raise
+        return _drained[key]
+
+
+def _history(*columns):
+    return query(lambda spark, sf: spark.read.parquet(f"{_history_root(spark, sf)}/history").select("transaction_id", *columns))
+
+
+def _silver_with_history(spark, sf):
+    root = _folder(spark)
+    _in_runs(spark, sf, root, lambda feed: jobs.bronze_to_silver_with_history(
+        feed, f"{root}/silver", f"{root}/check", f"{LATENESS} seconds", None))
+    return spark.read.parquet(f"{root}/silver").select(*SILVER, "transactions_last_24h", "accumulated_amount_24h")
+
+
 QUERIES = {
+    "e1_stream_last_day": _history("transactions_last_24h", "accumulated_amount_24h"),
+    "e2_stream_month_average": _history("avg_transaction_amount_30d"),
+    "e4_stream_first_use": _history(*FIRSTS),
+    "w1_stream_previous": _history(*MOVEMENT),
+    "t2_silver_with_history": query(_silver_with_history),
     "t1_bronze": query(_bronze),
     "t2_silver": query(lambda s, d: _silver(s, d).select(*SILVER)),
     "t3_t13_alerts": query(_alerts),
@@ -175,7 +233,32 @@ def _load_sql(columns: list[str]) -> str:
     return ", ".join(names.get(c, c) for c in columns)
 
 
+_CLOSED = f"epoch < (SELECT max(epoch) FROM silver) - {LATENESS}"
+_PAST = f"""SELECT * REPLACE (count(*) OVER d AS transactions_last_24h,
+    CAST(sum(CAST(round(amount * 100) AS BIGINT)) OVER d AS DOUBLE) / 100 AS accumulated_amount_24h,
+    {half_up(HAVERSINE_PREV, 3)} AS distance_from_last_txn_km) FROM lagged
+    WINDOW d AS (PARTITION BY customer_id ORDER BY epoch RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)"""
+_SCORING = {name: CTES[name] for name in ("stream_points", "stream_combined", "stream_silver")}
+
 ORACLE = {
+    "e1_stream_last_day": check("silver", f"""SELECT transaction_id, transactions_last_24h, accumulated_amount_24h FROM (
+        SELECT transaction_id, epoch, count(*) OVER w AS transactions_last_24h,
+        CAST(sum(CAST(round(amount * 100) AS BIGINT)) OVER w AS DOUBLE) / 100 AS accumulated_amount_24h FROM silver
+        WINDOW w AS (PARTITION BY customer_id ORDER BY epoch RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)) WHERE {_CLOSED}"""),
+    "e2_stream_month_average": check("silver", f"""SELECT transaction_id,
+        {half_up("CAST(c AS DOUBLE) / 100 / nullif(n, 0)", 2)} AS avg_transaction_amount_30d FROM (
+        SELECT transaction_id, epoch, sum(CAST(round(amount * 100) AS BIGINT)) OVER w AS c, count(amount) OVER w AS n FROM silver
+        WINDOW w AS (PARTITION BY customer_id ORDER BY epoch RANGE BETWEEN 2592000 PRECEDING AND 1 PRECEDING)) WHERE {_CLOSED}"""),
+    "e4_stream_first_use": check("silver", f"""SELECT transaction_id, is_new_bank, is_new_state FROM (
+        SELECT transaction_id, epoch, destination_bank IS NOT NULL AND row_number() OVER (
+          PARTITION BY customer_id, destination_bank ORDER BY epoch, transaction_id) = 1 AS is_new_bank,
+        purchase_state IS NOT NULL AND row_number() OVER (
+          PARTITION BY customer_id, purchase_state ORDER BY epoch, transaction_id) = 1 AS is_new_state
+        FROM silver) WHERE {_CLOSED}"""),
+    "w1_stream_previous": check("movement", f"SELECT transaction_id, {', '.join(MOVEMENT)} FROM lagged WHERE {_CLOSED}"),
+    "t2_silver_with_history": check("movement", "SELECT " + ", ".join(
+        text(c) if c == "event_time" else c for c in [*SILVER, "transactions_last_24h", "accumulated_amount_24h"])
+        + f" FROM stream_silver WHERE {_CLOSED}", past=_PAST, stream_fx=CTES["stream_fx"].replace("FROM fx_tx", "FROM past"), **_SCORING),
     "t1_bronze": check("fx_tx", f"SELECT {FEED_SQL} FROM fx_tx"),
     "t2_silver": check("stream", "SELECT " + ", ".join(
         text(c) if c == "event_time" else c for c in SILVER) + " FROM stream_silver"),

@@ -53,20 +53,15 @@ def movement(df: DataFrame, distance=geo.planar_km, **options) -> DataFrame:
 
     ``df`` needs ``epoch``, the purchase place and ``transaction_id``, unique per customer and second.
     """
+    names = ["prev_timestamp", "prev_latitude", "prev_longitude", "prev_state"]
     earlier = previous_values(df, PREVIOUS, **options)
-    minutes = (F.col("epoch") - F.col("_prev.epoch")) / 60
-    km = distance(
-        F.col("purchase_latitude"), F.col("purchase_longitude"),
-        F.col("_prev.purchase_latitude"), F.col("_prev.purchase_longitude"),
-    )
-    features = earlier.withColumns({
-        "prev_timestamp": F.col("_prev.epoch"),
-        "prev_latitude": F.col("_prev.purchase_latitude"),
-        "prev_longitude": F.col("_prev.purchase_longitude"),
-        "prev_state": F.col("_prev.purchase_state"),
-        "time_since_last_tx": minutes,
-        "distance_km_from_prev": km,
-    }).drop("_prev")
+    return moved(earlier.withColumns({n: F.col("_prev")[c] for n, c in zip(names, PREVIOUS, strict=True)}).drop("_prev"), distance)
+
+
+def moved(df: DataFrame, distance=geo.planar_km) -> DataFrame:
+    """Time, distance and speed, and the two flags on them, from the columns of the previous transaction."""
+    km = distance(F.col("purchase_latitude"), F.col("purchase_longitude"), F.col("prev_latitude"), F.col("prev_longitude"))
+    features = df.withColumns({"time_since_last_tx": (F.col("epoch") - F.col("prev_timestamp")) / 60, "distance_km_from_prev": km})
     speed = F.col("distance_km_from_prev") / (F.col("time_since_last_tx") / 60)
     return features.withColumn(
         "velocity_kmh", F.when(F.col("time_since_last_tx") > 0, speed)
