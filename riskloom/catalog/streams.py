@@ -13,7 +13,7 @@ from riskloom import fixtures
 from riskloom.catalog.aggregates import RECENT_SQL, RUNNING_SQL
 from riskloom.catalog.base import CTES, check, geo_feed, half_up, input_version, query, text
 from riskloom.catalog.cleaning import FEED, FEED_SQL
-from riskloom.catalog.histories import HAVERSINE_PREV, MOVEMENT
+from riskloom.catalog.histories import MOVEMENT, PAST
 from riskloom.operators import detection, ingest, marts
 from riskloom.schemas import STREAM_ALERT_COLUMNS, STREAM_LOAD_ALERT_COLUMNS, STREAM_LOAD_COLUMNS, TRANSACTION, pick
 from riskloom.session import work_folder
@@ -234,10 +234,6 @@ def _load_sql(columns: list[str]) -> str:
 
 
 _CLOSED = f"epoch < (SELECT max(epoch) FROM silver) - {LATENESS}"
-_PAST = f"""SELECT * REPLACE (count(*) OVER d AS transactions_last_24h,
-    CAST(sum(CAST(round(amount * 100) AS BIGINT)) OVER d AS DOUBLE) / 100 AS accumulated_amount_24h,
-    {half_up(HAVERSINE_PREV, 3)} AS distance_from_last_txn_km) FROM lagged
-    WINDOW d AS (PARTITION BY customer_id ORDER BY epoch RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)"""
 _SCORING = {name: CTES[name] for name in ("stream_points", "stream_combined", "stream_silver")}
 
 ORACLE = {
@@ -258,7 +254,7 @@ ORACLE = {
     "w1_stream_previous": check("movement", f"SELECT transaction_id, {', '.join(MOVEMENT)} FROM lagged WHERE {_CLOSED}"),
     "t2_silver_with_history": check("movement", "SELECT " + ", ".join(
         text(c) if c == "event_time" else c for c in [*SILVER, "transactions_last_24h", "accumulated_amount_24h"])
-        + f" FROM stream_silver WHERE {_CLOSED}", past=_PAST, stream_fx=CTES["stream_fx"].replace("FROM fx_tx", "FROM past"), **_SCORING),
+        + f" FROM stream_silver WHERE {_CLOSED}", past=PAST, stream_fx=CTES["stream_fx"].replace("FROM fx_tx", "FROM past"), **_SCORING),
     "t1_bronze": check("fx_tx", f"SELECT {FEED_SQL} FROM fx_tx"),
     "t2_silver": check("stream", "SELECT " + ", ".join(
         text(c) if c == "event_time" else c for c in SILVER) + " FROM stream_silver"),

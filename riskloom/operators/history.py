@@ -134,6 +134,79 @@ def month_average(df: DataFrame, **options) -> DataFrame:
     )
 
 
+def histories(
+    df: DataFrame, distance=geo.planar_km, amount: str = "amount", key: str = "customer_id", cuts: int | None = None
+) -> DataFrame:
+    """What ``movement``, ``last_day`` and ``month_average`` add, from one pass in order and one join with the full rows.
+
+    One cut table holds the rows, and per second and customer a line with what enters and leaves the two spans there:
+    an amount enters the day at its own second and leaves it a second after 24 hours; it enters the month one second
+    later, so that a row's own second is not in it. These lines come before the rows of their second, so running sums
+    over them are a row's values at its place, and rows are joined by that place, which is theirs alone.
+    ``transaction_id`` must be unique per customer and second. Rows without a time come first and count nowhere. The cut
+    table is written when this is called.
+    """
+    whole, nothing = cents(amount), F.lit(0).cast("long")
+    measures = {"n": F.lit(1).cast("long"), "a": whole.isNotNull().cast("long"), "c": F.coalesce(whole, nothing)}
+    month = 30 * DAY
+    #: name of a sum: how many seconds after the row it counts, and its sign
+    ways = {"day": [(0, 1), (DAY + 1, -1)], "month": [(1, 1), (month + 1, -1)]}
+    names = [f"_{span}_{n}" for span in ways for n in measures if (span, n) != ("month", "n")]
+    timed = df.where(F.col("epoch").isNotNull()).select(key, "epoch", *[v.alias(f"_{n}") for n, v in measures.items()])
+    changes = [(delay, span, sign) for span, steps in ways.items() for delay, sign in steps]
+
+    def change(delay: int, span: str, sign: int) -> Column:
+        values = [(F.col(f"_{c.split('_')[-1]}") * sign if c.startswith(f"_{span}_") else nothing).alias(c) for c in names]
+        return F.struct((F.col("epoch") + delay).alias("at"), *values)
+
+    lines = timed.select(key, F.explode(F.array(*[change(*c) for c in changes])).alias("e")).groupBy(key, F.col("e.at").alias("epoch")).agg(
+        *[F.sum(f"e.{c}").alias(c) for c in names])
+
+    def placed(rows: DataFrame, transaction: Column, row: Column, sums: list[Column]) -> DataFrame:
+        place = F.struct(F.col(key).alias("key"), F.col("epoch").alias("epoch"), transaction.isNotNull().alias("is_row"), transaction.alias("id"))
+        return rows.select(place.alias("_place"), row.alias("_row"), *sums)
+
+    kind = dict(df.dtypes)
+    previous = F.struct(*PREVIOUS)
+    shape = "struct<" + ",".join(f"{c}:{kind[c]}" for c in PREVIOUS) + ">"
+    own = F.struct(F.col("transaction_id").alias("id"))
+    none = F.lit(None).cast(f"struct<id:{kind['transaction_id']}>")
+    narrow = placed(df, own, previous, [nothing.alias(c) for c in names]).unionByName(
+        placed(lines, none, F.lit(None).cast(shape), [F.col(c) for c in names]))
+    found = ordered.scan(narrow, "_place.key", "_place", names, ["_row"], cuts).where("_place.is_row").select(
+        "_place", F.col("_row_before").alias("_prev"), *[F.col(f"{c}_upto").alias(c) for c in names])
+    place = F.struct(F.col(key).alias("key"), F.col("epoch").alias("epoch"), F.lit(True).alias("is_row"), own.alias("id"))
+    joined = df.withColumn("_place", place).join(found, "_place").drop("_place")
+    average = F.round(F.try_divide(F.col("_month_c") / F.lit(100.0), F.col("_month_a")), 2)
+    prior = ["prev_timestamp", "prev_latitude", "prev_longitude", "prev_state"]
+    return moved(joined.withColumns({
+        "transactions_last_24h": F.col("_day_n"),
+        "accumulated_amount_24h": F.when(F.col("_day_a") > 0, F.col("_day_c") / F.lit(100.0)),
+        "avg_transaction_amount_30d": F.when(F.col("_month_a") > 0, average),
+        **{n: F.col("_prev")[c] for n, c in zip(prior, PREVIOUS, strict=True)},
+    }).drop("_prev", *names), distance)
+
+
+#: Feed fields that ``histories`` can compute, and where it puts them.
+COMPUTED = {
+    "transactions_last_24h": ("transactions_last_24h", None), "accumulated_amount_24h": ("accumulated_amount_24h", None),
+    "avg_transaction_amount_30d": ("avg_transaction_amount_30d", None),
+    "distance_from_last_txn_km": ("distance_km_from_prev", 3), "time_since_last_txn_min": ("time_since_last_tx", 4),
+}
+
+
+def with_computed(df: DataFrame, fields: list[str], time: str = "timestamp_dt", **options) -> DataFrame:
+    """``df`` with the given fields of ``COMPUTED`` from its own history in place of those that came with the feed, for
+    feeds that lack them. Distances are great-circle ones."""
+    timed = df if "epoch" in df.columns else with_epoch(df, time)
+    found = histories(timed.drop(*[c for c in COMPUTED if c in fields]), geo.haversine_km, **options)
+    values = {}
+    for name in fields:
+        source, digits = COMPUTED[name]
+        values[name] = F.col(source) if digits is None else F.round(source, digits)
+    return found.withColumns(values).select(*df.columns, *[c for c in fields if c not in df.columns])
+
+
 def first_use(df: DataFrame, value: str, name: str, key: str = "customer_id") -> DataFrame:
     """Flag the customer's first transaction with a value (beneficiary, state); false where it is null.
 

@@ -54,3 +54,31 @@ def running_sums(df: DataFrame, key: str, place: str, sums: list[str], cuts: int
     goes_on = F.col("_carried._key").eqNullSafe(F.col("_key"))
     added = {f"{c}_upto": F.col(f"{c}_upto") + F.when(goes_on, F.col(f"_carried.{c}")).otherwise(F.lit(0)) for c in sums}
     return found.withColumns(added).drop("_carried", "_cut", "_key")
+
+
+def scan(df: DataFrame, key: str, place: str, sums: list[str], lasts: list[str], cuts: int | None = None) -> DataFrame:
+    """Several features in one pass over one cut table: add ``<name>_upto`` for each of ``sums``, the sum over the key's
+    rows up to and with this one, and ``<name>_before`` for each of ``lasts``, the value of the latest earlier row of the
+    key that has one.
+
+    What is carried from cut to cut is a state that merges: sums add up, and of two last values the later holds. Null
+    stands for no value, so give values that may be null inside a struct.
+    """
+    cut = in_cuts(df, place, cuts).withColumn("_key", F.struct(F.col(key).alias("k")))
+    inside = Window.partitionBy("_cut", "_key").orderBy(place)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # only the last key of a cut can go on in the next one
+    last = cut.groupBy("_cut").agg(F.max_by("_key", place).alias("_key"))
+    state = [F.sum(c).alias(c) for c in sums] + [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(place))).alias(c) for c in lasts]
+    states = cut.join(F.broadcast(last), ["_cut", "_key"]).groupBy("_cut", "_key").agg(*state)
+    so_far = Window.partitionBy("_key").orderBy("_cut")
+    merged = [F.sum(c).over(so_far).alias(c) for c in sums] + [F.last(c, True).over(so_far).alias(c) for c in lasts]
+    carried = states.select("_cut", F.struct("_key", *merged).alias("_state")).select(
+        "_cut", F.lag("_state").over(Window.orderBy("_cut")).alias("_carried"))
+    found = cut.withColumns(
+        {f"{c}_upto": F.sum(c).over(inside) for c in sums} | {f"{c}_before": F.last(c, True).over(earlier) for c in lasts}
+    ).join(F.broadcast(carried), "_cut")
+    goes_on = F.col("_carried._key").eqNullSafe(F.col("_key"))
+    added = {f"{c}_upto": F.col(f"{c}_upto") + F.when(goes_on, F.col(f"_carried.{c}")).otherwise(F.lit(0)) for c in sums}
+    added |= {f"{c}_before": F.coalesce(f"{c}_before", F.when(goes_on, F.col(f"_carried.{c}"))) for c in lasts}
+    return found.withColumns(added).drop("_carried", "_cut", "_key")

@@ -18,6 +18,9 @@ SUMMARY_ATTRIBUTES = """
     credit_band status is_premium pep
 """.split()
 
+# History fields that the batch rules read.
+SCORED_HISTORY = ["transactions_last_24h", "accumulated_amount_24h", "distance_from_last_txn_km"]
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -60,9 +63,11 @@ def write_silver(bronze: DataFrame, layers: Layers) -> dict:
     )
 
 
-def write_detection(spark: SparkSession, layers: Layers) -> dict:
-    """Scoring does not shuffle and there are only four levels, so rows are written where they are."""
-    scored = detection.gold_table(detection.score_batch(readers.table(spark, layers.silver)))
+def write_detection(spark: SparkSession, layers: Layers, computed: list[str] | None = None) -> dict:
+    """Scoring does not shuffle and there are only four levels, so rows are written where they are. ``computed`` names
+    history fields that the feed lacks; they are computed from Silver first (``history.with_computed``)."""
+    rows = readers.table(spark, layers.silver)
+    scored = detection.gold_table(detection.score_batch(history.with_computed(rows, computed) if computed else rows))
     return writers.write_counted(
         scored, layers.detection, partition_by=["risk_level"], stamp_as="_gold_timestamp"
     )
@@ -85,13 +90,18 @@ def write_reports(spark: SparkSession, layers: Layers) -> None:
         writers.write_table(report, layers.path(f"gold/{name}"), stamp_as="_gold_timestamp")
 
 
-def run_batch(spark: SparkSession, raw: DataFrame, root: str, source_format: str = "parquet") -> dict:
-    """All layers in order; returns the rows written per layer."""
+def run_batch(
+    spark: SparkSession, raw: DataFrame, root: str, source_format: str = "parquet", computed: list[str] | None = None
+) -> dict:
+    """All layers in order; returns the rows written per layer. ``computed`` as in ``write_detection``; by default the
+    history fields that the rules read and ``raw`` does not have."""
+    if computed is None:
+        computed = [c for c in SCORED_HISTORY if c not in raw.columns and set(history.PREVIOUS[1:]) <= set(raw.columns)]
     layers = Layers(root)
     counts = {
         "bronze": write_bronze(raw, layers, source_format)["rows"],
         "silver": write_silver(readers.table(spark, layers.bronze), layers)["rows"],
-        "gold": write_detection(spark, layers)["rows"],
+        "gold": write_detection(spark, layers, computed)["rows"],
     }
     write_alerts(spark, layers)
     write_reports(spark, layers)

@@ -148,3 +148,53 @@ def test_distances(spark):
     assert native[0] == pytest.approx(111.19, abs=0.01) and native[1] is None
     assert batched[0] == pytest.approx(native[0]) and batched[1] is None
     assert df.select(geo.planar_km(*points)).first()[0] == 111.0
+
+
+def _mixed_rows(spark, n: int = 600):
+    rng = random.Random(12)
+    rows = []
+    for k in range(n):
+        customer = rng.choice(["hot"] * 4 + ["a", "b", None])
+        at = rng.choice([None, 5000, 5000, 5000, 5001, 5000 + rng.randrange(3 * 86_400), rng.randrange(70 * 86_400)])
+        amount = rng.choice([None, float("nan"), round(rng.random() * 900 - 200, 2), round(rng.random() * 900, 2)])
+        rows.append((customer, f"t{k:04}", at, amount, rng.random(), rng.choice([None, rng.random()]), rng.choice(["SP", None])))
+    return spark.createDataFrame(rows, """customer_id string, transaction_id string, epoch long, amount double,
+        purchase_latitude double, purchase_longitude double, purchase_state string""").repartition(3)
+
+
+@pytest.mark.parametrize("cuts", [None, 1, 23])
+def test_one_pass_equals_the_single_features(spark, cuts):
+    rows = _mixed_rows(spark)
+    one_by_one = history.month_average(history.last_day(history.movement(rows)))
+    at_once = history.histories(rows, cuts=cuts)
+    assert set(at_once.columns) == set(one_by_one.columns)
+    text = lambda df: sorted(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
+    assert text(at_once) == text(one_by_one)
+    assert history.histories(rows.limit(0), cuts=cuts).collect() == []
+
+
+def test_computed_fields_replace_given_ones(spark):
+    rows = _mixed_rows(spark, 60).withColumn("transactions_last_24h", F.lit(-1)).withColumn("extra", F.lit("x"))
+    fields = ["transactions_last_24h", "distance_from_last_txn_km", "time_since_last_txn_min"]
+    found = history.with_computed(rows, fields)
+    assert found.columns == [*rows.columns, *fields[1:]]
+    want = history.histories(rows.drop("transactions_last_24h"), geo.haversine_km).select(
+        "transaction_id", "transactions_last_24h", F.round("distance_km_from_prev", 3), F.round("time_since_last_tx", 4))
+    assert sorted(map(str, found.select("transaction_id", *fields).collect())) == sorted(
+        str(r) for r in want.toDF("transaction_id", *fields).collect())
+
+
+@pytest.mark.parametrize("cuts", [1, 5, 40])
+def test_scan_equals_brute_force(spark, cuts):
+    rng = random.Random(cuts)
+    rows = [(rng.choice(["k", "k", "l", None]), k, rng.choice([None, k]), rng.randrange(-3, 9)) for k in range(200)]
+    df = spark.createDataFrame(rows, "key string, at long, seen long, n long").select(
+        F.struct("key", "at").alias("place"), F.when(F.col("seen").isNotNull(), F.struct("seen")).alias("last"), "n")
+    got = {(r.place.key, r.place.at): (r.n_upto, r.last_before.seen if r.last_before else None)
+           for r in ordered.scan(df, "place.key", "place", ["n"], ["last"], cuts).collect()}
+    sums, last, want = {}, {}, {}
+    for key, at, seen, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        sums[key] = sums.get(key, 0) + n
+        want[key, at] = (sums[key], last.get(key))
+        last[key] = last.get(key) if seen is None else seen
+    assert got == want

@@ -66,3 +66,20 @@ def test_full_rows_meet_their_history_in_one_shuffle(spark, small):
 
 def test_customer_measures_do_not_copy_rows(spark, small):
     assert "Expand" not in plan_of(marts.customer_measures(base.gold(spark, small)))
+
+
+def test_all_history_features_come_from_one_cut_table_and_one_join(spark, small, monkeypatch):
+    from riskloom.operators import ordered
+    written, in_cuts = [], ordered.in_cuts
+    monkeypatch.setattr(ordered, "in_cuts", lambda *a, **b: written.append(a[1]) or in_cuts(*a, **b))
+    rows = base.geo_feed(spark, small)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(history.histories(rows))
+        assert written == ["_place"]
+        assert plan.count("SortMergeJoin") == 1 and "Python" not in plan and "Cartesian" not in plan
+        # the rows and the narrow result by their place; the cut table by cut for the window and for its states
+        assert plan.count("Exchange hashpartitioning") <= 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
