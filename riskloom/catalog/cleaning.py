@@ -1,5 +1,7 @@
 """Ingestion and cleaning (P, C)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import (
@@ -9,6 +11,9 @@ from riskloom.catalog.base import (
 from riskloom.functions import ladders
 from riskloom.functions import text as words
 from riskloom.operators import clean, detection, ingest
+from riskloom.plans import layers
+from riskloom.session import work_folder
+from riskloom.sources import readers
 
 FEED = """transaction_id customer_id device_id timestamp type amount currency channel merchant_name
     merchant_category mcc_risk_level card_brand card_type card_entry cvv_validated auth_3ds pix_key_type
@@ -44,6 +49,28 @@ def _json_round_trip(spark, sf):
     return ingest.parse_json(sent).select(*FEED)
 
 
+def damaged_messages(spark, sf):
+    """(key, value): the feed as JSON messages, of which some are cut short, lack the key, hold text for the amount or are empty."""
+    rows = feed(spark, sf).select(*FEED)
+
+    def message(**changed):
+        return F.to_json(F.struct(*[(changed[c] if c in changed else F.col(c)).alias(c) for c in FEED]))
+
+    whole, kind = message(), F.col("transactions_last_24h")
+    value = (
+        F.when(kind == 1, F.substring(whole, F.lit(1), F.length(whole) - 5))
+        .when(kind == 2, message(transaction_id=F.lit(None).cast("string")))
+        .when(kind == 3, message(amount=F.lit("much"))).when(kind == 4, F.lit("  ")).otherwise(whole))
+    return rows.select(F.col("transaction_id").alias("key"), value.alias("value"))
+
+
+def _examined(spark, sf):
+    seen = ingest.examined(damaged_messages(spark, sf))
+    return seen.select(
+        F.col("key").alias("message_key"), "reason", F.array_join("fields", ",").alias("fields"),
+        F.when(F.col("reason").isNull(), F.col("data.amount")).alias("amount"))
+
+
 def _envelope(spark, sf):
     wrapped = ingest.envelope_from_rows(feed(spark, sf).select(*FEED))
     return wrapped.groupBy("topic", "kafka_partition").agg(
@@ -57,6 +84,22 @@ def _metadata(spark, sf):
     return stamped.groupBy("source_layer", "source_format", "processing_date", "ingestion_timestamp").count()
 
 
+LATE = "transaction_id customer_id amount tx_year tx_month tx_hour amount_range fraud_score_category is_weekend".split()
+
+
+def _late_day(spark, sf):
+    """Bronze and Silver of a feed that lacks half of the rows of its middle day, brought up to date by that day."""
+    rows = feed(spark, sf)
+    at = F.to_date(F.try_to_timestamp(F.col("timestamp")))
+    middle = rows.select(F.percentile_approx(F.unix_date(at), 0.5).alias("day")).first().day
+    late = F.coalesce(F.unix_date(at) == middle, F.lit(False))
+    built = layers.Layers(f"{work_folder(spark)}/riskloom-late-{uuid.uuid4().hex}")
+    layers.write_bronze(rows.where(~late | (F.col("transactions_last_24h") % 2 == 1)), built, "parquet")
+    layers.write_silver(readers.table(spark, built.bronze), built)
+    layers.rerun_days(spark, rows.where(late), built.root)
+    return readers.table(spark, built.silver).select(*LATE)
+
+
 def _date_columns(spark, sf):
     dated = ingest.with_date_columns(feed(spark, sf).select("transaction_id", "timestamp"))
     return dated.groupBy("year", "month", "day").count()
@@ -99,7 +142,14 @@ DEVICE_SILVER = """device_id customer_id os_name os_version is_rooted is_emulato
 SILVER = """timestamp_dt tx_date tx_year tx_month tx_hour tx_dayofweek is_weekend period_of_day amount
     amount_range is_high_risk_mcc fraud_score_category channel_upper type_upper card_brand_upper""".split()
 
+EXAMINED_SQL = """SELECT transaction_id AS message_key,
+    CASE transactions_last_24h WHEN 1 THEN 'MALFORMED' WHEN 2 THEN 'NO_KEY' WHEN 3 THEN 'WRONG_TYPE' WHEN 4 THEN 'EMPTY' END AS reason,
+    CASE WHEN transactions_last_24h = 3 THEN 'amount' ELSE '' END AS fields,
+    CASE WHEN transactions_last_24h NOT IN (1, 2, 3, 4) THEN amount END AS amount FROM fx_tx"""
+
 QUERIES = {
+    "p01_p05_examined": query(_examined),
+    "s15_late_day": query(_late_day),
     "p02_json_round_trip": query(_json_round_trip),
     "p04_envelope": query(_envelope),
     "p04_envelope_text": query(lambda s, d: ingest.parse_json(
@@ -147,6 +197,8 @@ _RANGE_PT = """CASE amount_range WHEN 'MICRO' THEN 'MICRO' WHEN 'SMALL' THEN 'PE
     WHEN 'LARGE' THEN 'GRANDE' ELSE 'MUITO_GRANDE' END"""
 
 ORACLE = {
+    "p01_p05_examined": check("fx_tx", EXAMINED_SQL),
+    "s15_late_day": check("silver", f"SELECT {', '.join(LATE)} FROM silver"),
     "p02_json_round_trip": check("fx_tx", f"SELECT {FEED_SQL} FROM fx_tx"),
     "p04_envelope": check("fx_tx", """SELECT 'transactions' AS topic, 0 AS kafka_partition, count(*) AS messages,
         count(*) AS offsets, CAST(0 AS BIGINT) AS keys FROM fx_tx"""),

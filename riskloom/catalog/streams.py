@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from riskloom import fixtures
 from riskloom.catalog.aggregates import RECENT_SQL, RUNNING_SQL
 from riskloom.catalog.base import CTES, check, geo_feed, half_up, input_version, query, text
-from riskloom.catalog.cleaning import FEED, FEED_SQL
+from riskloom.catalog.cleaning import EXAMINED_SQL, FEED, FEED_SQL, damaged_messages
 from riskloom.catalog.histories import MOVEMENT, PAST
 from riskloom.operators import detection, ingest, marts
 from riskloom.schemas import STREAM_ALERT_COLUMNS, STREAM_LOAD_ALERT_COLUMNS, STREAM_LOAD_COLUMNS, TRANSACTION, pick
 from riskloom.session import work_folder
 from riskloom.sources import readers
-from riskloom.streaming import jobs, sinks, state
+from riskloom.streaming import jobs, manifest, sinks, state
 
 
 def _folder(spark) -> str:
@@ -136,6 +136,30 @@ def _event_windows(spark, sf):
     return jobs.with_open_windows(spark.read.parquet(f"{root}/windows"), table, "channel")
 
 
+def _bronze_or_rejects(spark, sf):
+    """Damaged messages in several files: what was kept and what was rejected, read as of one moment."""
+    root = _folder(spark)
+    messages = damaged_messages(spark, sf)
+    messages.repartition(PARTS).write.parquet(f"{root}/messages")
+    stream = readers.parquet_stream(spark, f"{root}/messages", messages.schema, 1)
+    jobs.messages_to_bronze_or_rejects(stream, f"{root}/out", f"{root}/check", None, keep=("key",)).awaitTermination()
+    at = manifest.snapshot(spark, f"{root}/out")
+    kept = manifest.read(spark, f"{root}/out", "bronze", at).select(
+        F.col("transaction_id").alias("message_key"), F.lit(None).cast("string").alias("reason"), F.lit("").alias("fields"), "amount")
+    rejected = manifest.read(spark, f"{root}/out", "rejected", at).select(
+        F.col("key").alias("message_key"), "reason", F.array_join("fields", ",").alias("fields"), F.lit(None).cast("double").alias("amount"))
+    return kept.unionByName(rejected)
+
+
+def _published(name):
+    """Scored batches, published table by table together and compacted in between."""
+    def build(spark, sf):
+        root = _folder(spark)
+        jobs.score_and_publish(_split_feed(spark, sf, root), f"{root}/loaded", f"{root}/check", None, 2).awaitTermination()
+        return manifest.read(spark, f"{root}/loaded", name)
+    return query(build)
+
+
 #: Runs in which the ordered feed is drained, each going on from the checkpoint of the one before.
 RUNS, LATENESS = 3, 600
 
@@ -207,6 +231,9 @@ QUERIES = {
     "t8_recent_frauds": _live("streaming_recent_frauds"),
     "t9_transactions": _fan_out("transactions"),
     "t9_alerts": _fan_out("fraud_alerts"),
+    "t9_published_transactions": _published("transactions"),
+    "t9_published_alerts": _published("fraud_alerts"),
+    "t1_bronze_or_rejects": query(_bronze_or_rejects),
     "t_event_time_windows": query(_event_windows),
 }
 
@@ -274,6 +301,9 @@ ORACLE = {
     "t9_transactions": check("stream", f"SELECT {_load_sql(STREAM_LOAD_COLUMNS)} FROM stream_silver"),
     "t9_alerts": check("stream", f"""SELECT {_load_sql(STREAM_LOAD_ALERT_COLUMNS)} FROM stream_silver
         WHERE load_combined >= 60"""),
+    "t9_published_transactions": check("stream", f"SELECT {_load_sql(STREAM_LOAD_COLUMNS)} FROM stream_silver"),
+    "t9_published_alerts": check("stream", f"SELECT {_load_sql(STREAM_LOAD_ALERT_COLUMNS)} FROM stream_silver WHERE load_combined >= 60"),
+    "t1_bronze_or_rejects": check("fx_tx", EXAMINED_SQL),
     "t_event_time_windows": f"""WITH e AS (SELECT ts, value AS amount, event_type AS channel, event_type = 'error' AS is_fraud
         FROM events) {_minutes("channel", "e", "ts")}""",
 }

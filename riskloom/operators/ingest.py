@@ -20,6 +20,53 @@ def parse_json(df: DataFrame, column: str = "value", schema: StructType = schema
     return with_key(parsed.withColumns(numbers) if numbers else parsed)
 
 
+#: Why a message is not kept, in the order in which it is looked at.
+EMPTY, MALFORMED, NO_KEY, WRONG_TYPE = "EMPTY", "MALFORMED", "NO_KEY", "WRONG_TYPE"
+
+
+def examined(
+    df: DataFrame, column: str = "value", schema: StructType = schemas.TRANSACTION, key: str = "transaction_id", strict: bool = True
+) -> DataFrame:
+    """``df`` with ``data`` (the typed fields of a JSON message), ``reason`` (null for a message that is kept), ``fields``
+    (names of fields of the wrong type) and ``raw`` (the text). Nothing is dropped.
+
+    A message is EMPTY without text, MALFORMED if it is no JSON object, without a key if ``key`` is missing or null, and
+    of a WRONG_TYPE if a field's value does not fit the schema. Without ``strict`` the last kind is kept, its unfit fields null.
+    """
+    raw = F.col(column).cast("string")
+    corrupt = StructType([*schema.fields]).add("_corrupt", "string")
+    read = df.withColumns({
+        "raw": raw,
+        "_read": F.from_json(raw, corrupt, {"columnNameOfCorruptRecord": "_corrupt"}),
+        "_texts": F.from_json(raw, "map<string,string>"),
+    })
+    numbers = {f.name for f in schema.fields if f.dataType.simpleString() == "double"}
+    data = F.struct(*[(finite(F.col("_read")[f.name]) if f.name in numbers else F.col("_read")[f.name]).alias(f.name) for f in schema.fields])
+    unfit = F.filter(
+        F.array(*[F.when(F.col("_texts")[f.name].isNotNull() & F.col("_read")[f.name].isNull(), F.lit(f.name)) for f in schema.fields]),
+        lambda name: name.isNotNull())
+    wrong = (F.size("fields") > 0) | (F.col("_read")["_corrupt"].isNotNull())
+    reason = (
+        F.when(F.col("raw").isNull() | (F.trim("raw") == ""), EMPTY)
+        .when(F.col("_texts").isNull(), MALFORMED)
+        .when(F.col("_texts")[key].isNull(), NO_KEY))
+    if strict:
+        reason = reason.when(wrong, WRONG_TYPE)
+    else:  # a key of the wrong type is no key
+        reason = reason.when(F.col("_read")[key].isNull(), NO_KEY)
+    return read.withColumns({"data": data, "fields": unfit}).withColumn("reason", reason).drop("_read", "_texts")
+
+
+def kept(seen: DataFrame) -> DataFrame:
+    """The typed rows of messages that ``examined`` keeps."""
+    return seen.where(F.col("reason").isNull()).select("data.*")
+
+
+def rejected(seen: DataFrame, *more: str) -> DataFrame:
+    """(reason, fields, raw, ``more``): the other messages, as they came."""
+    return seen.where(F.col("reason").isNotNull()).select("reason", "fields", "raw", *more)
+
+
 def with_key(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows that have a key; a table without the column is passed through."""
     return df.where(F.col(key).isNotNull()) if key in df.columns else df

@@ -34,6 +34,28 @@ def write_counted(df: DataFrame, path: str, metrics: dict[str, Column] | None =
     return seen.get
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: list[str], values: list[tuple], stamp_as: str | None = None
+) -> None:
+    """Replace some partition folders of a table and leave all others alone.
+
+    ``values`` are the partitions that ``df`` stands for: one that has no row in ``df`` is removed, which dynamic overwrite does
+    not do by itself. ``df`` may read the table.
+    """
+    out = stamp(df, stamp_as) if stamp_as else df
+    seen = Observation()
+    counted = out.observe(seen, F.collect_set(F.struct(*[F.col(k) for k in partition_by])).alias("found"))
+    counted.hint("rebalance", *[F.col(k) for k in partition_by]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    found = {tuple(r) for r in seen.get["found"]}
+    spark = df.sparkSession
+    for value in values:
+        if value not in found:
+            names = [f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(partition_by, value, strict=True)]
+            place = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def copy_table(
     spark: SparkSession, source: str, target: str, partition_by: list[str] | None = None
 ) -> int:
