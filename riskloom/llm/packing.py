@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import stored, whole_text
 
 LENGTH, END_ID = 2048, 1
-#: Pieces in a group, on average. Words whose ids a worker remembers.
-GROUP, REMEMBERED = 8192, 200_000
+#: Pieces in a group, on average. Bytes of words and units whose ids a worker remembers, and what each costs besides its own.
+GROUP, REMEMBERED, OVERHEAD = 8192, 96 << 20, 200
 #: Bits of a sequence id that number the sequences of a group.
 SEQUENCE_BITS = 32
 
@@ -34,7 +34,7 @@ PIECES = "row_id long, doc_id long, start long, length long, ids_crc32 long, doc
 
 # Space beyond ASCII, and the four separators that only Python counts as space: such texts are tokenised whole.
 # So are those with control characters, and with what may be a special token, which lower-casing must not make.
-_WHOLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\|")
+_WHOLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 
 def default_tokenizer() -> str:
@@ -77,6 +77,7 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
+        self.room = REMEMBERED
 
     def _ids(self, texts: list[str]):
         for at in range(0, len(texts), 4096):
@@ -88,8 +89,9 @@ class Encoder:
         if found is None:
             spelled = unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(self.letters)
             found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-            if len(self.units) < REMEMBERED:
+            if (cost := len(unit) + len(found) + OVERHEAD) <= self.room:
                 self.units[unit] = found
+                self.room -= cost
         return found
 
     def _fresh(self, parts: list[str]) -> dict[str, bytes]:
@@ -105,7 +107,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of some texts; all their parts are held at once, so give a few at a time."""
         lower = [t if _BEYOND_LATIN.search(t) else t.lower() for t in texts] if self.by_unit else texts
-        parts = [None if _WHOLE.search(t) else t.split() for t in lower]
+        parts = [None if _WHOLE.search(t) or "<|" in t else t.split() for t in lower]
         known, new = self.known, set()
         for words in parts:
             new.update(words or ())
@@ -113,9 +115,11 @@ class Encoder:
         known.update(fresh)
         found = [next(self._ids([t])) if words is None else b"".join(map(known.__getitem__, words))
                  for t, words in zip(texts, parts, strict=True)]
-        if len(known) > REMEMBERED:
-            for w in fresh:
+        self.room -= sum(len(w) + len(ids) + OVERHEAD for w, ids in fresh.items())
+        if self.room < 0:  # full: what is new is not kept
+            for w, ids in fresh.items():
                 del known[w]
+                self.room += len(w) + len(ids) + OVERHEAD
         return found
 
 
