@@ -35,7 +35,7 @@ SAMPLE, FEATURES, LEAST_SEEN = 4_000, 200_000, 3
 #: Cost of a change of language, most that a word can speak against one, and share of words that makes a script one of a language.
 SWITCH, WORST, SCRIPT_SHARE = 12.0, 6.0, 0.005
 #: Words of a block, words that a worker remembers, letters up to which a word is looked at as a whole.
-BLOCK, REMEMBERED, LONG = 512, 200_000, 64
+BLOCK, REMEMBERED, LONG = 512, 400_000, 64
 UNKNOWN = "und"
 
 # First and last code points of the letters of scripts, from the Unicode block list.
@@ -62,15 +62,19 @@ SCRIPTS = {
     "han": [(0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 _BOUNDS = sorted((lo, hi, name) for name, ranges in SCRIPTS.items() for lo, hi in ranges)
-_LOWS = np.array([lo for lo, _, _ in _BOUNDS])
+_LOWS, _HIGHS = (np.array([b[k] for b in _BOUNDS]) for k in (0, 1))
+#: Names of scripts; letters of no listed one have the last.
+_NAMES = [*SCRIPTS, "other"]
+_SCRIPT = np.array([_NAMES.index(b[2]) for b in _BOUNDS])
 
 _WORD, _INSIDE = regex.compile(r"(\p{L}[\p{L}\p{M}]*)"), regex.compile(r"[\p{L}\p{M}]")
 
 
-def script_of(word: str) -> str:
-    """The script of a word's first letter, ``other`` where none is listed."""
-    at = int(np.searchsorted(_LOWS, ord(word[0]), side="right")) - 1
-    return _BOUNDS[at][2] if at >= 0 and ord(word[0]) <= _BOUNDS[at][1] else "other"
+def scripts_of(words: list[str]) -> np.ndarray:
+    """Places in ``_NAMES`` of the scripts of the words' first letters."""
+    first = np.fromiter((ord(w[0]) for w in words), np.int64, len(words))
+    at = np.searchsorted(_LOWS, first, side="right") - 1
+    return np.where((at >= 0) & (first <= _HIGHS[at]), _SCRIPT[at], len(SCRIPTS))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -88,36 +92,63 @@ def _small(word: str) -> str:
 
 @dataclass
 class Model:
-    """Log shares of words and triples (told apart by a leading blank) and scripts of each language, by name."""
+    """Log shares of words and triples, as rows over the languages, and the scripts of each language.
+
+    ``words`` names the rows of words; ``keys`` are the triples as sorted numbers, whose rows follow from ``first`` on; the
+    last row is that of triples that were not learned.
+    """
 
     languages: list[str] = field(default_factory=list)
-    shares: dict[str, np.ndarray] = field(default_factory=dict)
-    unseen_word: np.ndarray | None = None
-    unseen_triple: np.ndarray | None = None
+    words: dict[str, int] = field(default_factory=dict)
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    first: int = 0
+    shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     scripts: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def score(self, word: str) -> np.ndarray:
-        """How far each language lies behind the best for a word; zeros where the word says nothing."""
-        small = _small(word)
-        may = self.scripts.get(script_of(word))
-        if may is None:
-            return np.zeros(len(self.languages))
-        found = self.shares.get(f" {small}")
-        if found is None:
-            parts = [self.shares.get(t, self.unseen_triple) for t in triples(small)]
-            found = np.sum(parts, axis=0)
-        found = np.where(may, found, -np.inf)
-        return np.maximum(found - found.max(), -WORST)
+    def _spelled(self, words: list[str]) -> np.ndarray:
+        """Sums over the triples of some words, all found together."""
+        codes = _codes("".join([f"^{w}$" for w in words]))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 2)
+        inside = np.ones(len(codes), dtype=bool)
+        inside[ends - 1] = inside[ends - 2] = False  # triples do not reach into the next word
+        key = _keys(codes)[inside[:-2]]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        rows = np.where(self.keys[at] == key, self.first + at, len(self.shares) - 1)
+        return np.add.reduceat(self.shares[rows], np.cumsum(sizes) - sizes, axis=0)
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """How far each language lies behind the best for each word; zeros where the word says nothing."""
+        small = list(map(_small, words))
+        row = np.fromiter((self.words.get(w, -1) for w in small), np.int64, len(words))
+        found = self.shares[row]
+        if len(new := np.flatnonzero(row < 0)):
+            found[new] = self._spelled([small[k] for k in new])
+        none = np.ones(len(self.languages), dtype=bool)
+        script = scripts_of(words)
+        found = np.where(np.array([self.scripts.get(name, none) for name in _NAMES])[script], found, -np.inf)
+        found = np.maximum(found - found.max(axis=1, keepdims=True), -WORST)
+        found[~np.array([name in self.scripts for name in _NAMES])[script]] = 0.0
+        return found
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+
+
+def _keys(codes: np.ndarray) -> np.ndarray:
+    """Three code points each, of at most 21 bits, as one number."""
+    return codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
 
 
 def _learned_features(text: str) -> Counter:
     """How often words, triples and scripts occur; scripts begin with a tab."""
     words = Counter(_WORD.findall(text))
     found: Counter = Counter()
-    for word, n in words.items():
+    for (word, n), script in zip(words.items(), scripts_of(list(words)).tolist(), strict=True):
         small = _small(word)
         found[f" {small}"] += n
-        found[f"\t{script_of(word)}"] += n
+        found[f"\t{_NAMES[script]}"] += n
         for t in triples(small):
             found[t] += n
     return found
@@ -177,12 +208,16 @@ def fit(docs: DataFrame, most: int = SAMPLE, features: int = FEATURES) -> Model:
     def share(n: np.ndarray | float, whole: np.ndarray, kinds: int) -> np.ndarray:
         return np.log((n + 0.5) / (whole + 0.5 * (kinds + 1)))
 
-    shares = {f: share(n, words, n_words) if f.startswith(" ") else share(n, parts, len(seen) - n_words) for f, n in seen.items()}
+    learned = sorted(f for f in seen if f.startswith(" "))
+    spelled = {int(_keys(_codes(f))[0]): f for f in seen if not f.startswith(" ")}
+    keys = sorted(spelled)
+    shares = [share(seen[f], words, n_words) for f in learned] + [share(seen[spelled[k]], parts, len(keys)) for k in keys]
+    shares.append(share(0.0, parts, len(keys)))
     scripts: dict[str, np.ndarray] = {}
     for r in counted.where(kind == "script").collect():  # scripts times languages
         if r.n >= SCRIPT_SHARE * totals[r.lang, "word"]:
             scripts.setdefault(r.feature[1:], np.zeros(len(languages), dtype=bool))[place[r.lang]] = True
-    return Model(languages, shares, share(0.0, words, n_words), share(0.0, parts, len(seen) - n_words), scripts)
+    return Model(languages, {f[1:]: k for k, f in enumerate(learned)}, np.array(keys, np.int64), len(learned), np.array(shares), scripts)
 
 
 def best_path(scores: np.ndarray, fresh: np.ndarray, switch: float = SWITCH, block: int = BLOCK) -> np.ndarray:
@@ -254,7 +289,7 @@ class Labeller:
                 self.rows, self.scores = {}, self.scores[:0]
                 new = list(dict.fromkeys(words))
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-            self.scores = np.concatenate([self.scores, np.array([self.model.score(w) for w in new])])
+            self.scores = np.concatenate([self.scores, self.model.scores(new)])
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
     def label(self, texts: list[str]) -> list[tuple[np.ndarray, list[tuple[str, int, int]]]]:

@@ -51,9 +51,11 @@ def test_spans_of_mixed_texts(model):
 
 
 def test_scripts_narrow_the_candidates(model):
-    assert model.score("вода").tolist().count(0.0) == 1 and model.languages[int(model.score("незнакомо").argmax())] == "ru"
-    assert not model.score("日本").any()  # of no learned script: says nothing
-    assert [lid.script_of(w) for w in ("a", "é", "ж", "ω", "日", "ひ", "한", "\U00010000")] == ["latin", "latin", "cyrillic", "greek", "han", "kana", "hangul", "other"]
+    known, unknown, unlisted = model.scores(["вода", "незнакомо", "日本"])
+    assert known.tolist().count(0.0) == 1 and model.languages[int(unknown.argmax())] == "ru"
+    assert not unlisted.any()  # of no learned script: says nothing
+    names = [lid._NAMES[k] for k in lid.scripts_of(["a", "é", "ж", "ω", "日", "ひ", "한", "\U00010000", "×"])]
+    assert names == ["latin", "latin", "cyrillic", "greek", "han", "kana", "hangul", "other", "latin"]
 
 
 def test_long_texts_in_portions(model):
