@@ -91,8 +91,8 @@ def runs(batches, flush: int = FLUSH) -> Iterator[Words]:
         return Words(np.concatenate(ids), np.concatenate(langs), new, list(numbers), list(names))
 
     def add(words: list[bytes], lang: int) -> None:
-        ids.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-        langs.append(np.full(len(words), lang, np.int64))
+        ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+        langs.append(np.full(len(words), lang, np.int32))
 
     for batch in batches:
         for lang, data in zip(*batch.columns, strict=True):
@@ -170,7 +170,8 @@ def hash_counts(docs: DataFrame, lengths: tuple[int, ...], bitmaps, flush: int =
 
 def frequent(counts: DataFrame, least: int, bits: int) -> dict[int, np.ndarray]:
     """For each length a bitmap in which all phrases that occur ``least`` times are marked."""
-    total = counts.groupBy("k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # The tasks have combined what they could; what they send is dealt out as it is and added up where it arrives.
+    total = counts.repartition("phrase").groupBy("k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     place = F.col("phrase").bitwiseAND(F.lit(bits - 1).cast("long"))
     row = F.shiftright(place, _ROW_BITS.bit_length() - 1)
     rows = total.groupBy("k", row.alias("row")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(_ROW_BITS - 1))).alias("bits"))
@@ -192,7 +193,7 @@ def partial_stripes(docs: DataFrame, bitmaps, flush: int = FLUSH) -> DataFrame:
             followers = pa.array([None, *[w.decode() for w in words.vocabulary[1:]]], pa.string())
             names = pa.array(words.names, pa.string())
             # The empty prefix stands before every word. A prefix is a number, and the place of one occurrence.
-            at, number = np.flatnonzero(words.ids > 0), words.langs[words.ids > 0]
+            at, number = np.flatnonzero(words.ids > 0), words.langs[words.ids > 0].astype(np.int64)
             where = at
             for k, phrase, valid in _phrases(words):
                 # ``at``: beginnings of prefixes of k - 1 words, all of which are followed by a word or an end
