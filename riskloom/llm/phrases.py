@@ -37,6 +37,8 @@ from riskloom.llm.common import broadcast_checked, stored, text_bytes
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bits of a bitmap of frequent phrases, words worked on at once, bytes of a long text taken at once.
 FILTER_BITS, FLUSH, BLOCK = 1 << 26, 1 << 19, 1 << 21
+#: Entries of stripes that are handed to Spark as one row; a row for each stripe would cost more than what is in it.
+TOGETHER = 1 << 15
 #: Bits of a hash that is shuffled (equal ones only add up, which marks too much and never too little); bits of a row of a bitmap.
 _HASH_BITS, _ROW_BITS = 40, 32_768
 
@@ -45,7 +47,8 @@ _END = b"\xff"
 _TABLE = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + _END * 10 + b" ")
 
-STRIPES = "lang string, prefix string, nexts array<string>, counts array<long>"
+#: A row holds stripes one after another: each entry's prefix, next word and count.
+STRIPES = "lang string, prefixes array<string>, nexts array<string>, counts array<long>"
 HASHES = "k int, phrase long, n long"
 
 
@@ -203,14 +206,16 @@ def partial_stripes(docs: DataFrame, bitmaps, flush: int = FLUSH) -> DataFrame:
                 entry, n = np.unique(number[new] * size + np.where(joined, words.ids[slot], 0)[new], return_counts=True)
                 if len(entry):
                     prefix, follower = np.divmod(entry, size)
-                    heads = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
-                    first = where[prefix[heads]] if k > 1 else None
-                    langs = words.langs[first] if k > 1 else prefix[heads]
+                    first = where[prefix] if k > 1 else None
+                    langs = words.langs[first] if k > 1 else prefix  # rising, as prefixes are numbered lang by lang
+                    heads = np.flatnonzero((langs != np.roll(langs, 1)) | (np.arange(len(langs)) % TOGETHER == 0))
                     offsets = pa.array(np.concatenate([heads, [len(entry)]]).astype(np.int32))
-                    text = pc.binary_join_element_wise(*[followers.take(pa.array(words.ids[first + j])) for j in range(k - 1)], " ") if k > 1 else pa.array([""] * len(heads))
+                    text = (pc.binary_join_element_wise(*[followers.take(pa.array(words.ids[first + j])) for j in range(k - 1)], " ")
+                            if k > 1 else pa.array([""] * len(entry)))
+                    columns = [text, followers.take(pa.array(follower)), pa.array(n.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(langs)), text, pa.ListArray.from_arrays(offsets, followers.take(pa.array(follower))),
-                         pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64)))], names=["lang", "prefix", "nexts", "counts"])
+                        [names.take(pa.array(langs[heads])), *[pa.ListArray.from_arrays(offsets, c) for c in columns]],
+                        names=["lang", "prefixes", "nexts", "counts"])
                 # prefixes of one word more: those that are marked and have something behind them
                 at, key = at[joined], (number * size + np.where(joined, words.ids[slot], 0))[joined]
                 _, where, number = np.unique(key, return_index=True, return_inverse=True)
@@ -233,8 +238,8 @@ def stripes(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS, flush:
         known = known | frequent(hash_counts(docs, lengths, shared, flush), least, bits)
         shared.destroy()
     parts = partial_stripes(docs, context.broadcast(known), flush)
-    entries = parts.select("lang", "prefix", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    return entries.groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
+    entries = parts.select("lang", F.explode(F.arrays_zip("prefixes", "nexts", "counts")).alias("e"))
+    return entries.groupBy("lang", F.col("e.prefixes").alias("prefix"), F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
 
 
 def _whole(x: str) -> Column:
