@@ -21,6 +21,13 @@ def _distances(spark, sf):
     return quality.distance_distribution(gaps)
 
 
+def _spoilt(spark, sf):
+    """Distances of which some are NaN, infinite or beyond any long."""
+    kind, gap = F.col("tx_hour") % 6, geo.gps_gap()
+    spoilt = F.when(kind == 1, F.lit(float("nan"))).when(kind == 2, F.lit(float("-inf"))).when(kind == 3, F.lit(1e300)).otherwise(gap)
+    return silver(spark, sf).select(spoilt.alias("distance_gps"), F.when(kind < 3, F.lit(1e18)).alias("large"))
+
+
 def _events(spark, sf):
     return spark.read.parquet(f"{sf}/events.parquet")
 
@@ -36,6 +43,8 @@ def _sampled(spark, sf):
 
 QUERIES = {
     "a15_m3_distances": query(_distances),
+    "m3_spoilt_distances": query(lambda s, d: quality.distance_distribution(_spoilt(s, d))),
+    "m3_unusable_values": query(lambda s, d: quality.unusable(_spoilt(s, d), ["distance_gps", "large"])),
     "m1_flag_prevalence": query(lambda s, d: quality.flag_prevalence(_flagged(s, d))),
     "m2_flag_combinations": query(lambda s, d: quality.flag_combinations(_flagged(s, d))),
     "m4_row_counts": query(lambda s, d: quality.row_counts(
@@ -85,7 +94,17 @@ def _quality(levels: str) -> str:
 _PLANAR = f"({RAW_GAP}) * 111"
 _METRES = f"CAST(round_even(abs({_PLANAR} - {HAVERSINE}) * 1000, 0) AS BIGINT)"
 
+_SPREAD = """SELECT min(g) AS min, quantile_disc(g, 0.25) AS p25, quantile_disc(g, 0.5) AS p50,
+    quantile_disc(g, 0.75) AS p75, quantile_disc(g, 0.9) AS p90, quantile_disc(g, 0.95) AS p95,
+    quantile_disc(g, 0.99) AS p99, max(g) AS max FROM gaps"""
+
 ORACLE = {
+    "m3_spoilt_distances": check("silver", _SPREAD, gaps=f"""SELECT CAST(round_even({GAP} * 1000000, 0) AS DOUBLE) / 1000000 AS g FROM silver
+        WHERE coalesce(tx_hour % 6, 0) NOT IN (1, 2, 3)"""),
+    "m3_unusable_values": check("silver", f"""SELECT 'distance_gps' AS measure, count({GAP}) FILTER (WHERE coalesce(tx_hour % 6, 0) NOT IN (1, 2, 3))
+          + count(*) FILTER (WHERE tx_hour % 6 IN (1, 2, 3)) AS present,
+        count(*) FILTER (WHERE tx_hour % 6 IN (1, 2)) AS not_finite, count(*) FILTER (WHERE tx_hour % 6 = 3) AS too_large FROM silver
+        UNION ALL SELECT 'large', count(*) FILTER (WHERE tx_hour % 6 < 3), 0, count(*) FILTER (WHERE tx_hour % 6 < 3) FROM silver"""),
     "a15_m3_distances": check("silver", """SELECT min(g) AS min, quantile_disc(g, 0.25) AS p25, quantile_disc(g, 0.5) AS p50,
         quantile_disc(g, 0.75) AS p75, quantile_disc(g, 0.9) AS p90, quantile_disc(g, 0.95) AS p95,
         quantile_disc(g, 0.99) AS p99, max(g) AS max FROM gaps""", gaps=f"SELECT CAST(round_even({GAP} * 1000000, 0) AS DOUBLE) / 1000000 AS g FROM silver"),

@@ -9,6 +9,7 @@ from riskloom.catalog.base import check, feed, input_version, query, raw_custome
 from riskloom.catalog.cleaning import FEED, FEED_SQL
 from riskloom.operators import ingest
 from riskloom.session import work_folder
+from riskloom.plans import quality
 from riskloom.sources import readers, writers
 
 _roots: dict[tuple, str] = {}
@@ -61,6 +62,14 @@ def _copied(spark, sf):
     return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows")).withColumn("counted", F.lit(counted).cast("long"))
 
 
+def _copy_compared(spark, sf):
+    """A copy that is partitioned, and so spread and ordered, in another way, compared by its content."""
+    root = _layouts(spark, sf)
+    target = f"{root}/copies/{uuid.uuid4().hex}"
+    writers.copy_table(spark, f"{root}/flat", target, ["type"])
+    return quality.compare_tables(spark.read.parquet(f"{root}/flat"), spark.read.parquet(target), {"*": FEED, "money": ["transaction_id", "amount"]})
+
+
 def _keys(spark, sf):
     """Every fifth key is lost on the way; rows without one go."""
     rows = feed(spark, sf).select("transaction_id", "customer_id")
@@ -78,6 +87,7 @@ QUERIES = {
     "s07_json_dimension": query(_customers),
     "s09_all_files": _read(lambda s, root: readers.all_files(s, f"{root}/dated")),
     "s21_s22_copy": query(_copied),
+    "s21_s22_copy_content": query(_copy_compared),
     "p05_with_key": query(_keys),
 }
 
@@ -92,6 +102,8 @@ ORACLE = {
     "s06_json_inferred": check("fx_tx", "SELECT type, count(*) AS rows, count(amount) AS amounts FROM fx_tx GROUP BY type"),
     "s07_json_dimension": check("customers", "SELECT customer_id, email, credit_score FROM fx_customers"),
     "s09_all_files": _ALL,
+    "s21_s22_copy_content": check("fx_tx", """SELECT c AS columns, n AS rows_left, n AS rows_right, true AS same
+        FROM (SELECT count(*) AS n FROM fx_tx), (VALUES ('*'), ('money')) v(c)"""),
     "s21_s22_copy": check("fx_tx", "SELECT count(*) AS rows, count(*) AS counted FROM fx_tx"),
     "p05_with_key": check("fx_tx", "SELECT transaction_id, customer_id FROM fx_tx WHERE right(customer_id, 1) <> '5'"),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskloom import schemas
-from riskloom.functions.measures import cents, fraction, percent, rows, rows_where
+from riskloom.functions.measures import cents, finite, fraction, percent, rows, rows_where
 from riskloom.operators import enrich
 
 # Fixed values
@@ -43,16 +43,32 @@ def flag_combinations(df: DataFrame, combinations: dict[str, list[str]] = COMBIN
     return _shares(df, conditions, "combination", 2)
 
 
+def _whole(value: Column, unit: Column | float) -> Column:
+    """The value in whole parts of ``1 / unit``; null where it is none that a long can hold."""
+    return F.rint(finite(value) * unit).try_cast("long")
+
+
+def unusable(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+    """(measure, present, not_finite, too_large): what a distribution of each measure counts, and what it leaves out."""
+    unit = F.lit(10.0**digits)
+    found = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])).alias("m")
+    return df.select(found).select("m.*").groupBy("measure").agg(
+        rows_where(F.col("value").isNotNull()).alias("present"),
+        rows_where(F.col("value").isNotNull() & finite("value").isNull()).alias("not_finite"),
+        rows_where(finite("value").isNotNull() & _whole(F.col("value"), unit).isNull()).alias("too_large"))
+
+
 def distance_distribution(df: DataFrame, column: str = "distance_gps", digits: int = 6) -> DataFrame:
-    """Minimum, percentiles and maximum of a measure rounded to ``digits``, exact at any size.
+    """Minimum, percentiles and maximum of a measure rounded to ``digits``, exact at any size. Values that are NaN,
+    infinite or too large for a long at that precision are left out; ``unusable`` counts them.
 
     Values are counted first, which tasks combine before the shuffle; the percentile of a share p is the least value
     whose running count reaches ``ceil(p * n)``. Running counts are added up by ranges of values, so that no task sees
     all of them: within a range row by row, over the ranges from one total each.
     """
     unit = F.lit(10.0**digits)
-    whole = F.rint(F.col(column) * unit).cast("long")
-    counts = df.where(F.col(column).isNotNull()).groupBy(whole.alias("_v")).agg(rows().alias("_n"))
+    counts = df.select(_whole(F.col(column), unit).alias("_v")).where(F.col("_v").isNotNull()).groupBy("_v").agg(rows().alias("_n"))
     ranged = counts.withColumn("_range", F.floor(F.col("_v") / F.lit(10**digits)))
     totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_t"))
     before = totals.select("_range", (F.sum("_t").over(Window.orderBy("_range")) - F.col("_t")).alias("_before"))
@@ -130,20 +146,53 @@ def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def distance_error(df: DataFrame) -> DataFrame:
-    """How far the planar distance lies from the haversine one, in kilometres and relative."""
-    both = df.select(*[d.alias(n) for n, d in enrich.distance_methods().items()])
+    """How far the planar distance lies from the haversine one, in kilometres and relative. Pairs of places of which
+    a distance is not finite are left out."""
+    distances = df.select(*[finite(d).alias(n) for n, d in enrich.distance_methods().items()])
+    both = distances.select("haversine_km", F.when(F.col("haversine_km").isNotNull(), F.col("planar_km")).alias("planar_km"))
     gap = F.abs(F.col("planar_km") - F.col("haversine_km"))
     # Summed as whole metres, so that the order of rows does not matter.
-    metres = F.rint(gap * 1000).cast("long")
+    metres = _whole(gap, 1000)
     return both.agg(
         F.count("planar_km").alias("rows"),
         F.round(F.try_divide(F.sum(metres).cast("double"), 1000.0 * F.count(metres)), 3).alias("mean_error_km"),
         F.round(F.max(gap), 3).alias("max_error_km"),
         fraction(F.sum(metres).cast("double"),
-                 F.sum(F.rint(F.col("haversine_km") * 1000).cast("long")), 4).alias("relative_error"),
+                 F.sum(_whole(F.col("haversine_km"), 1000)), 4).alias("relative_error"),
     )
 
 
+def table_digest(df: DataFrame, sets: dict[str, list[str]] | None = None) -> DataFrame:
+    """(columns, rows, first, second): for each set of columns a digest that does not depend on the order of rows or
+    on how they are spread, and counts repeated rows as often as they occur: the sums of two 64-bit hashes of every row.
+
+    By default one set of all columns and one of each, so that two digests tell which columns differ. Columns go by
+    name, nulls are part of what is hashed, maps are hashed as text. One pass, combined before the only shuffle.
+    """
+    names = sorted(df.columns)
+    sets = sets or {"*": names} | {n: [n] for n in names}
+    maps = {n for n, kind in df.dtypes if "map<" in kind}
+
+    def hashed(columns: list[str], seed: int) -> Column:
+        values = [F.to_json(F.struct(c)) if c in maps else F.col(f"`{c}`") for c in columns]
+        return F.xxhash64(F.lit(seed), *values, *[F.col(f"`{c}`").isNull() for c in columns]).cast("decimal(38,0)")
+
+    sums = [F.sum(hashed(columns, seed)).alias(f"_{k}_{seed}") for k, columns in enumerate(sets.values()) for seed in (1, 2)]
+    one = df.agg(rows().alias("rows"), *sums)
+    found = F.array(*[
+        F.struct(F.lit(name).alias("columns"), F.col("rows"), F.col(f"_{k}_1").alias("first"), F.col(f"_{k}_2").alias("second"))
+        for k, name in enumerate(sets)])
+    return one.select(F.explode(found).alias("d")).select("d.*")
+
+
+def compare_tables(left: DataFrame, right: DataFrame, sets: dict[str, list[str]] | None = None) -> DataFrame:
+    """(columns, rows_left, rows_right, same) for each set of columns; a column that one table lacks is not the same."""
+    a, b = (table_digest(df, sets).select("columns", F.col("rows").alias(f"rows_{side}"), F.struct("rows", "first", "second").alias(side))
+            for df, side in ((left, "left"), (right, "right")))
+    # as many rows as sets of columns on either side
+    return a.join(b, "columns", "full").select("columns", "rows_left", "rows_right", F.coalesce(F.col("left").eqNullSafe(F.col("right")), F.lit(False)).alias("same"))
+
+
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
     """Some ``n`` rows for a trial; which ones is not defined."""
     return df.limit(n)
