@@ -373,7 +373,8 @@ class WarcDataSource(DataSource):
     """``spark.read.format("warc").load(folder)`` and ``df.write.format("warc").mode("append").save(folder)``.
 
     A job writes a folder of its own: the manifest lists the files of the last one. Options: ``pushdown`` (true where the session has
-    ``spark.sql.python.filterPushdown.enabled``), ``partition_bytes``, ``file_bytes``.
+    ``spark.sql.python.filterPushdown.enabled``), ``where`` (a JSON object of header columns and the values wanted), ``partition_bytes``,
+    ``file_bytes``.
     """
 
     @classmethod
@@ -388,19 +389,29 @@ class WarcDataSource(DataSource):
         if unknown:
             raise ValueError(f"a WARC record has no columns {sorted(unknown)}")
         kind = PushingReader if self.options.get("pushdown", "false") == "true" else WarcReader
-        return kind(self.options["path"], list(schema.names), int(self.options.get("partition_bytes", PARTITION_BYTES)))
+        made = kind(self.options["path"], list(schema.names), int(self.options.get("partition_bytes", PARTITION_BYTES)))
+        for column, values in json.loads(self.options.get("where", "{}")).items():
+            if column not in HEADERS:
+                raise ValueError(f"records cannot be chosen by {column}")
+            made.tests.append((column, tuple(values)))
+        return made
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], int(self.options.get("file_bytes", FILE_BYTES)))
 
 
-def read(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
-    """Records of a folder. Without ``payload`` among the columns no payload is decoded."""
+def read(spark: SparkSession, folder: str, columns: list[str] | None = None, where: dict[str, list] | None = None) -> DataFrame:
+    """Records of a folder. Without ``payload`` among the columns no payload is decoded.
+
+    ``where`` has values wanted of header columns, record type among them. It goes to the reader whatever the session's settings
+    are: headers are parsed first, and other records' payloads are skipped without being decoded.
+    """
     spark.dataSource.register(WarcDataSource)
     pushdown = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
     chosen = columns or [*HEADERS, "payload"]
     kinds = {c: "binary" if c == "payload" else "long" if HEADERS[c][1] else "string" for c in chosen}
-    return spark.read.format("warc").schema(", ".join(f"{c} {k}" for c, k in kinds.items())).option("pushdown", pushdown).load(folder)
+    return spark.read.format("warc").schema(", ".join(f"{c} {k}" for c, k in kinds.items())).option("pushdown", pushdown).option(
+        "where", json.dumps(where or {})).load(folder)
 
 
 def write(records: DataFrame, folder: str) -> None:
@@ -445,8 +456,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write(page_records(pages), folder)
-    full = read(spark, folder, ["record_type", "page_id", "payload"]).where("record_type = 'response'")
-    heads = read(spark, folder, ["record_type", "page_id", "payload_length", "payload_digest", "refers_to"]).where("record_type = 'revisit'")
+    full = read(spark, folder, ["record_type", "page_id", "payload"], {"record_type": ["response"]})
+    heads = read(spark, folder, ["record_type", "page_id", "payload_length", "payload_digest", "refers_to"], {"record_type": ["revisit"]})
     none = F.lit(None).cast("long")
     responses = full.select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),

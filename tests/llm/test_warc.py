@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import StructType
 
 from riskloom.llm import warc
 
@@ -88,6 +89,25 @@ def test_unwanted_payloads_are_not_inflated(archive, monkeypatch):
     assert max(read) < 4096
 
 
+def test_wanted_values_reach_the_reader_without_a_setting(spark, archive):
+    path, _ = archive
+    everything = {(r.record_type, r.page_id) for r in warc.read(spark, path, ["record_type", "page_id"]).collect()}
+    for wanted in ({"record_type": ["revisit"]}, {"record_type": ["response"], "page_id": [4, 5]}, {"page_id": []}, {}):
+        got = {(r.record_type, r.page_id) for r in warc.read(spark, path, ["record_type", "page_id"], wanted).collect()}
+        assert got == {r for r in everything if all({"record_type": r[0], "page_id": r[1]}[c] in v for c, v in wanted.items())}
+    # chosen by a header that is not asked for, with the payload
+    both = [warc.read(spark, path, ["page_id", "payload"], {"record_type": [kind]}).count() for kind in ("response", "revisit")]
+    assert sum(both) == len([r for r in warc.read(spark, path, ["record_type"]).collect() if r.record_type in ("response", "revisit")])
+    with pytest.raises(Exception, match="cannot be chosen"):
+        warc.read(spark, path, ["page_id"], {"payload": ["x"]}).collect()
+
+
+def test_the_reader_tests_headers(tmp_path):
+    source = warc.WarcDataSource({"path": str(tmp_path), "where": '{"record_type": ["response"]}'})
+    reader = source.reader(StructType.fromDDL("page_id long, payload binary"))
+    assert reader.wanted({"record_type": "response"}) and not reader.wanted({"record_type": "revisit"})
+
+
 def test_predicates_are_pushed(spark, archive):
     path, _ = archive
     key = "spark.sql.python.filterPushdown.enabled"
