@@ -15,7 +15,9 @@ components over these links give the classes. Two kinds of fingerprint:
   bucket are first those of a minimum spanning forest, so that a copy is linked with what it was copied from rather
   than with another copy; each is then verified by the exact similarity of the two sets of shingles. So is, after
   that, every other pair of a bucket within the radius whose texts are not yet in one class: no link is lost because
-  another one failed.
+  another one failed. Those pairs are never rows: a task names the members that have one, their sets of shingles
+  are brought to the bucket in chunks bounded by bytes, and the task that compares two chunks returns only links
+  that join two classes, fewer than it has members. A pair is looked at only in the first bucket that both share.
 
 Defined results: a null text counts as empty, and a text without words has fingerprint zero; rows with equal
 doc_id are rows of their own; a null doc_id is never a component's id unless all its rows have none (and
@@ -38,6 +40,8 @@ from riskloom.llm.components import connected
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Widths of the blocks, from the lowest bit; blocks that must agree; members of a bucket in a chunk.
 BLOCKS, AGREE, CHUNK = (13, 13, 13, 13, 12), 2, 8192
+#: Bytes of shingle hashes in a chunk (one longer set makes a longer chunk); hashes looked up at once.
+CHUNK_BYTES, LOOKED_UP = 8 << 20, 1 << 20
 #: For a similarity of 0.8: words of a shingle, fingerprint words, radius, and the least values that name a bucket.
 NEAR_SHINGLE, SIMILARITY, NEAR_WORDS, NEAR_RADIUS, BANDS, BAND_ROWS = 5, 0.8, 4, 73, 16, 3
 _STEP = 4096
@@ -144,9 +148,10 @@ def _in_buckets(nodes: DataFrame, columns: list[str]) -> DataFrame:
     return keys.join(shared, ["t", "key"]).select("t", "key", "n", *columns)
 
 
-def _chunk_pairs(members: DataFrame, columns: list[str]) -> DataFrame:
-    """(columns: arrays) of every pair of chunks of every bucket; the first column names a member."""
-    chunks = F.ceil(F.col("n") / CHUNK)
+def _chunk_pairs(members: DataFrame, columns: list[str], chunk: int | None = None) -> DataFrame:
+    """(columns: arrays) of every pair of chunks of every bucket, whose ``n`` is cut into parts of about ``chunk``; the
+    first column names a member."""
+    chunks = F.ceil(F.col("n") / (chunk or CHUNK))
     own = F.pmod(F.xxhash64(columns[0]), chunks)
     dealt = members.select(
         "t", "key", F.struct(*columns).alias("m"), own.alias("own"),
@@ -237,18 +242,19 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, mark long, shingles array<long>")
 
 
-def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """The links of ``found(a, b)`` whose texts have at least the Jaccard similarity, shingle by shingle.
-
-    Only texts that have a link are read again, one row for each set of shingles.
-    """
-    found = stored(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "close")
-    asked = found.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+def _sets_of(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(set_id, shingles) of the nodes ``asked(set_id)``; only one row of ``docs`` for each of them is read again."""
     chosen = stored(nodes.join(asked, "set_id").where("least IS NOT NULL").select("set_id", "least.doc_id", "least.mark"), "asked")
     rows = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("__id"), _mark().alias("__mark"))
     few = broadcast_checked(chosen.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")))
     sets = shingle_sets(rows.join(few, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]), NEAR_SHINGLE)
-    sets = stored(sets.join(chosen, ["doc_id", "mark"]).select("set_id", "shingles"), "shingle-sets")
+    return stored(sets.join(chosen, ["doc_id", "mark"]).select("set_id", "shingles"), "shingle-sets")
+
+
+def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The links of ``found(a, b)`` whose texts have at least the Jaccard similarity, shingle by shingle."""
+    found = stored(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "close")
+    sets = _sets_of(docs, nodes, found.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
     left, right = (sets.select(F.col("set_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
     common = F.size(F.array_intersect("a_set", "b_set"))
     whole = F.size("a_set") + F.size("b_set") - F.col("common")
@@ -256,44 +262,118 @@ def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, similarity: fl
     return both.where((whole == 0) | (F.col("common") / whole >= similarity)).select("a", "b")
 
 
-def _unsettled(members: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(a, b): all pairs of ``members(t, key, n, set_id, root, size, fp)`` of a bucket within ``radius`` that have
-    different roots, but for those whose sizes alone rule the similarity out."""
-    mixed = members.groupBy("t", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = mixed.where("lo <> hi").select("t", "key")
+#: What a task must know of the members of a bucket to see which of their pairs are open.
+_MEMBER = ["set_id", "root", "size", "fp", "keys", "t"]
+
+
+class _Members:
+    """Members of some buckets, group after group, from Arrow arrays in the order of ``_MEMBER``."""
+
+    def __init__(self, sizes: np.ndarray, ids, roots, many, fps, keys, t):
+        self.groups, self.ids, self.values = sizes, ids, _words(fps)
+        self.label = roots.dictionary_encode().indices.to_numpy().copy()
+        self.many, self.t = many.to_numpy(), t.to_numpy()
+        self.keys = keys.flatten().to_numpy().reshape(-1, BANDS)
+
+    def open_pairs(self, radius: int, similarity: float):
+        """Places ``(i, j)``, some at a time, of the pairs within ``radius`` whose classes differ, whose sizes allow
+        the similarity, and that meet in no bucket before this one."""
+        for i, j in bitslice.close_pairs(self.values, self.groups, radius):
+            less, more = np.minimum(self.many[i], self.many[j]), np.maximum(self.many[i], self.many[j])
+            apart = (self.label[i] != self.label[j]) & (less >= similarity * more - 1e-6)
+            i, j = i[apart], j[apart]
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                first = (self.keys[x] == self.keys[y]).argmax(axis=1) == self.t[x]
+                if first.any():
+                    yield x[first], y[first]
+
+    def joined(self, radius: int, similarity: float, sets: pa.ListArray) -> tuple[list[int], list[int]]:
+        """Links ``(i, j)`` of similar sets, each of which joins two classes."""
+        ends = np.cumsum(sets.value_lengths().to_numpy())
+        words, place = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        of = np.split(place, ends[:-1])
+        mark, links = np.zeros(len(words), dtype=bool), ([], [])
+        for i, j in self.open_pairs(radius, similarity):
+            order = np.argsort(i, kind="stable")
+            each, starts = np.unique(i[order], return_index=True)
+            for x, others in zip(each.tolist(), np.split(j[order], starts[1:]), strict=True):
+                mark[of[x]] = True
+                cuts = np.flatnonzero(np.diff(np.cumsum(self.many[others]) // LOOKED_UP)) + 1
+                for part in np.split(others, cuts):
+                    part = part[self.label[part] != self.label[x]]
+                    for y in part[self._similar(x, part, of, mark) >= similarity].tolist():
+                        if self.label[y] != self.label[x]:
+                            self.label[self.label == self.label[y]] = self.label[x]
+                            links[0].append(x)
+                            links[1].append(y)
+                mark[of[x]] = False
+        return links
+
+    def _similar(self, x: int, others: np.ndarray, of: list[np.ndarray], mark: np.ndarray) -> np.ndarray:
+        """Jaccard similarities of the set of ``x``, which is marked, and others, none of them empty."""
+        if not len(others):
+            return np.zeros(0)
+        sizes = self.many[others]
+        hits = mark[np.concatenate([of[y] for y in others.tolist()])]
+        common = np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64)
+        return common / (sizes + self.many[x] - common)
+
+
+def _open_members(members: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(t, key, set_id): the ``members(t, key, n, set_id, root, size, fp, keys)`` that have an open pair in a bucket."""
 
     def run(batches):
         for batch in batches:
-            for sizes, (ids, roots, many, fps) in _portions(batch):
-                values, root, size = _words(fps), _words(roots), many.to_numpy()
-                for i, j in bitslice.close_pairs(values, sizes, radius):
-                    less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-                    open_ = (root[i] != root[j]).any(axis=1) & (less >= similarity * more - 1e-6)
-                    i, j = i[open_], j[open_]
-                    for at in range(0, len(i), 1 << 16):
-                        ends = [ids.take(pa.array(x[at : at + (1 << 16)])) for x in (i, j)]
-                        yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
-    pairs = _chunk_pairs(members.join(mixed, ["t", "key"]), ["set_id", "root", "size", "fp"])
-    return pairs.mapInArrow(run, "a binary, b binary")
+            for sizes, (*known, key) in _portions(batch):
+                own = _Members(sizes, *known)
+                asked = np.zeros(len(own.many), dtype=bool)
+                for i, j in own.open_pairs(radius, similarity):
+                    asked[i] = asked[j] = True
+                at = pa.array(np.flatnonzero(asked))
+                yield pa.RecordBatch.from_arrays([known[-1].take(at), key.take(at), own.ids.take(at)], names=["t", "key", "set_id"])
+
+    return _chunk_pairs(members, [*_MEMBER, "key"]).mapInArrow(run, "t int, key long, set_id binary")
+
+
+def _joining(members: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(a, b): links of similar ``members(t, key, n, set_id, root, size, fp, keys, shingles)`` of a bucket that join two
+    classes; ``n`` is the bytes of the bucket's sets."""
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                *known, sets = (lists[row].values for lists in batch.columns)
+                own = _Members(np.array([len(sets)]), *known)
+                ends = [own.ids.take(pa.array(x, pa.int64())) for x in own.joined(radius, similarity, sets)]
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    return _chunk_pairs(members, [*_MEMBER, "shingles"], CHUNK_BYTES).mapInArrow(run, "a binary, b binary")
 
 
 def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b): verified links that connect all ``nodes`` that meet within the radius and have the similarity.
 
-    The links of the forests are verified first. A pair that stays in different classes after that is verified
-    itself, whatever became of the forests' links.
+    The links of the forests are verified first. Pairs that stay in different classes after that are verified
+    themselves, whatever became of the forests' links.
     """
     met = stored(_in_buckets(nodes, ["set_id", "size", "fp"]), "met")
     forests = _spanning(_chunk_pairs(met, ["set_id", "fp"]), NEAR_RADIUS, True)
-    tried = stored(forests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "forests")
-    sure = stored(verified(docs, nodes, tried, SIMILARITY), "similar")
+    sure = stored(verified(docs, nodes, forests, SIMILARITY), "similar")
     roots = connected(sure)
     rooted = met.join(roots, met["set_id"] == roots["node"], "left").select(
         "t", "key", "n", "set_id", F.coalesce("root", "set_id").alias("root"), "size", "fp")
-    rest = _unsettled(rooted, NEAR_RADIUS, SIMILARITY).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "unsettled")
-    return sure if rest.isEmpty() else sure.unionByName(verified(docs, nodes, rest, SIMILARITY))
+    mixed = rooted.groupBy("t", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    rooted = rooted.join(mixed.select("t", "key"), ["t", "key"]).join(nodes.select("set_id", "keys"), "set_id")
+    rooted = stored(rooted, "mixed")
+    asked = stored(_open_members(rooted, NEAR_RADIUS, SIMILARITY).distinct(), "open")
+    if asked.isEmpty():
+        return sure
+    asked = rooted.drop("n").join(asked, ["t", "key", "set_id"])
+    weight = asked.groupBy("t", "key").agg(F.sum(F.col("size") * 8).alias("n"))
+    sets = _sets_of(docs, nodes, asked.select("set_id").distinct())
+    joining = _joining(asked.join(weight, ["t", "key"]).join(sets, "set_id"), NEAR_RADIUS, SIMILARITY)
+    return sure.unionByName(stored(joining, "joining"))
 
 
 def classes(docs: DataFrame) -> DataFrame:

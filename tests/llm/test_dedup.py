@@ -252,6 +252,38 @@ def test_near_classes_of_copies_around_the_limit_equal_brute_force(spark):
     assert 12 < len(set(up)) < 120
 
 
+@pytest.mark.parametrize(("chunk", "chunk_bytes", "looked_up"), [(8192, 8 << 20, 1 << 20), (20, 15_000, 500)])
+def test_template_below_the_limit_makes_no_rows_of_pairs(spark, monkeypatch, chunk, chunk_bytes, looked_up):
+    """Texts of one template, most pairs below 0.8: few rows leave the tasks, and the classes are those of all pairs."""
+    monkeypatch.setattr(simhash_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(simhash_dedup, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(simhash_dedup, "LOOKED_UP", looked_up)
+    rng = random.Random(21)
+    base, texts = [f"w{k}" for k in range(150)], []
+    for _ in range(60):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.choice([2, 4, 5, 5])):
+            copy[at] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    want = roots(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    counted, stored = {}, simhash_dedup.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        counted[name] = max(counted.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash_dedup, "stored", counting)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_classes(docs).collect()}
+    assert got == dict(enumerate(want))
+    assert len(set(want)) > 10
+    assert counted["open"] <= 60 * 16
+    if chunk == 8192:
+        assert counted["joining"] < 60
+
+
 def test_close_pairs_are_all_pairs(monkeypatch):
     monkeypatch.setattr(bitslice, "LARGE", 20)
     monkeypatch.setattr(bitslice, "LANES", 50)
