@@ -42,6 +42,8 @@ SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCKS, AGREE, CHUNK = (13, 13, 13, 13, 12), 2, 8192
 #: Bytes of shingle hashes in a chunk (one longer set makes a longer chunk); hashes looked up at once.
 CHUNK_BYTES, LOOKED_UP = 8 << 20, 1 << 20
+#: Bytes that a task takes in, so that no Arrow batch is larger; bytes of a member without its set; most tasks.
+TASK_BYTES, MEMBER_BYTES, MOST_TASKS = 16 << 20, 256, 20_000
 #: For a similarity of 0.8: words of a shingle, fingerprint words, radius, and the least values that name a bucket.
 NEAR_SHINGLE, SIMILARITY, NEAR_WORDS, NEAR_RADIUS, BANDS, BAND_ROWS = 5, 0.8, 4, 73, 16, 3
 _STEP = 4096
@@ -148,18 +150,27 @@ def _in_buckets(nodes: DataFrame, columns: list[str]) -> DataFrame:
     return keys.join(shared, ["t", "key"]).select("t", "key", "n", *columns)
 
 
-def _chunk_pairs(members: DataFrame, columns: list[str], chunk: int | None = None) -> DataFrame:
+def _chunk_pairs(members: DataFrame, columns: list[str], chunk: int | None = None, tasks: int | None = None) -> DataFrame:
     """(columns: arrays) of every pair of chunks of every bucket, whose ``n`` is cut into parts of about ``chunk``; the
-    first column names a member."""
+    first column names a member. ``tasks`` sets their number, else Spark does."""
     chunks = F.ceil(F.col("n") / (chunk or CHUNK))
     own = F.pmod(F.xxhash64(columns[0]), chunks)
     dealt = members.select(
         "t", "key", F.struct(*columns).alias("m"), own.alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
-    return dealt.groupBy("t", "key", F.least("own", "other"), F.greatest("own", "other")).agg(
+    dealt = dealt.select("t", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "m")
+    at = ["t", "key", "lo", "hi"]
+    dealt = dealt.repartition(tasks, *at) if tasks else dealt
+    return dealt.groupBy(*at).agg(
         F.collect_list("m").alias("m")).where(F.size("m") > 1).select(*[F.col(f"m.{c}").alias(c) for c in columns])
 
 
+def _tasks(parts: DataFrame, size: Column) -> int:
+    """How many tasks the sum of ``size``, in bytes, over all ``parts`` takes."""
+    total = parts.agg(F.sum(size.cast("double"))).first()[0] or 0
+    return min(MOST_TASKS, max(parts.sparkSession.sparkContext.defaultParallelism, int(total // TASK_BYTES) + 1))
+
+
 def _portions(batch: pa.RecordBatch):
     """Sizes and flattened columns of a few lists at a time: a list may hold two chunks."""
     sizes = np.diff(batch.column(0).offsets.to_numpy())
@@ -333,12 +344,13 @@ def _open_members(members: DataFrame, radius: int, similarity: float) -> DataFra
                 at = pa.array(np.flatnonzero(asked))
                 yield pa.RecordBatch.from_arrays([known[-1].take(at), key.take(at), own.ids.take(at)], names=["t", "key", "set_id"])
 
-    return _chunk_pairs(members, [*_MEMBER, "key"]).mapInArrow(run, "t int, key long, set_id binary")
+    tasks = _tasks(members, F.ceil(F.col("n") / CHUNK) * MEMBER_BYTES)
+    return _chunk_pairs(members, [*_MEMBER, "key"], tasks=tasks).mapInArrow(run, "t int, key long, set_id binary")
 
 
-def _joining(members: DataFrame, radius: int, similarity: float) -> DataFrame:
+def _joining(members: DataFrame, radius: int, similarity: float, tasks: int) -> DataFrame:
     """(a, b): links of similar ``members(t, key, n, set_id, root, size, fp, keys, shingles)`` of a bucket that join two
-    classes; ``n`` is the bytes of the bucket's sets."""
+    classes; ``n`` is the bytes of the bucket."""
 
     def run(batches):
         for batch in batches:
@@ -348,7 +360,7 @@ def _joining(members: DataFrame, radius: int, similarity: float) -> DataFrame:
                 ends = [own.ids.take(pa.array(x, pa.int64())) for x in own.joined(radius, similarity, sets)]
                 yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-    return _chunk_pairs(members, [*_MEMBER, "shingles"], CHUNK_BYTES).mapInArrow(run, "a binary, b binary")
+    return _chunk_pairs(members, [*_MEMBER, "shingles"], CHUNK_BYTES, tasks).mapInArrow(run, "a binary, b binary")
 
 
 def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -370,9 +382,10 @@ def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     if asked.isEmpty():
         return sure
     asked = rooted.drop("n").join(asked, ["t", "key", "set_id"])
-    weight = asked.groupBy("t", "key").agg(F.sum(F.col("size") * 8).alias("n"))
+    weight = stored(asked.groupBy("t", "key").agg(F.sum(F.col("size") * 8 + MEMBER_BYTES).alias("n")), "weights")
+    tasks = _tasks(weight, F.col("n") * F.ceil(F.col("n") / CHUNK_BYTES))
     sets = _sets_of(docs, nodes, asked.select("set_id").distinct())
-    joining = _joining(asked.join(weight, ["t", "key"]).join(sets, "set_id"), NEAR_RADIUS, SIMILARITY)
+    joining = _joining(asked.join(weight, ["t", "key"]).join(sets, "set_id"), NEAR_RADIUS, SIMILARITY, tasks)
     return sure.unionByName(stored(joining, "joining"))
 
 
