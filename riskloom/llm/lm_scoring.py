@@ -1,172 +1,331 @@
 """Cross-entropy difference of documents under two matched n-gram models.
 
 A target model is counted over the target documents and a background model over all documents. Both share one
-vocabulary, order and smoothing: bigrams, smoothed by the model's own word probabilities. A token's loss is its
-negative log probability; a document's score is the mean over its tokens of target loss less background loss, so low
-scores look like the target.
+vocabulary (every word of the documents), order and smoothing: bigrams, smoothed by the model's own word probabilities.
+A token's loss is its negative log probability; a document's score is the mean over its tokens of target loss less
+background loss, so low scores look like the target.
 
-Counts are taken over the whole corpus by Spark and grow with it; the models do not. The vocabulary holds the words
-of the highest counts, whole counts only, at most ``WORDS``; other words are one unknown word. Bigrams are counted in
-``BUCKETS`` buckets (a prime number), and a bucket's count is bounded by those of the two words. So the models are
-broadcast with a proven bound: six arrays of at most ``BUCKETS`` numbers.
+All counts are exact and grow with the corpus (words and pairs are compared by hashes of 63 bits). Three passes read
+the texts. The first counts words; the ``HOT`` most frequent get numbers and their counts are broadcast. The second
+counts pairs of the ``FREQUENT`` first of these, at most ``(FREQUENT + 1) ** 2`` sums. The third sends every other token
+to the group of its pair, or of its word if that has no number; the group counts what it was sent and answers with a
+sum of losses for each document. What is sent to one group has a bound: a word without a number holds at most one in
+``HOT`` of all tokens, a pair that was not counted before at most one in ``FREQUENT``.
 
 Defined results: words are runs of characters other than ASCII white space, with A-Z lower-cased; null and empty texts
 have no token and null losses; a target row whose doc_id is null or missing counts for nothing, repeated ids count
 once; without target documents the target model is uniform over the vocabulary; repeated rows are counted and scored
-each; an empty table gives an empty one; other columns are not looked at.
+each; words of equal count may have numbers or not, which changes no score; very long texts are held by one task, as
+one text; an empty table gives an empty one; other columns are not looked at. The documents are read three times, so give
+a table that reads the same every time.
 """
 
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_checked, stored, text_bytes
+from riskloom.llm.common import BROADCAST_ROWS, stored, text_bytes
 
-WORDS, BUCKETS, SMOOTHING = 65_536, 1_048_573, 50.0
-#: A word number times this, plus the next one, modulo BUCKETS, is a bigram's bucket.
-STEP = 65_539
-#: Different words that a task holds before it hands their counts on.
-HELD = 200_000
+#: Words whose counts are broadcast; how many of them have their pairs counted beforehand.
+HOT, FREQUENT, SMOOTHING = 131_072, 1024, 50.0
+#: Different words that a task holds before it hands their counts on; tokens that it holds before it sends them; tokens
+#: of a group, on average; least number of groups.
+HELD, SENT, GROUP, GROUPS = 200_000, 1 << 20, 1 << 21, 64
+
+#: Marks the code of a word without a number, which is its hash.
+_HASHED = np.uint64(1 << 63)
+_BY_PAIR, _BY_WORD, _DOCUMENTS = range(3)
 
 
 def words_of(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all documents."""
+def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """(row, doc_id, data, hit) of all rows. What a shuffle would deal anew after a lost executor is written down."""
+    ids = target.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("hit")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hits = rows.join(F.broadcast(ids), "doc_id", "left")
+    else:
+        hits = stored(rows.join(ids, "doc_id", "left"), "marked")
+    return hits.select(F.monotonically_increasing_id().alias("row"), "doc_id", "data", F.coalesce("hit", F.lit(False)).alias("hit"))
 
-    def run(batches):
-        counts: Counter = Counter()
-        for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                for data in batch.column(0).slice(part, 256).to_pylist():
-                    counts.update(words_of(data))
-                if len(counts) > HELD:
-                    yield _counted(counts)
-                    counts = Counter()
-        yield _counted(counts)
 
-    rows = docs.select(text_bytes().alias("data")).mapInArrow(run, "word binary, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+def _texts(batch: pa.RecordBatch, *columns: str):
+    """Rows of a batch, few at a time as Python values."""
+    for part in range(0, batch.num_rows, 256):
+        yield from zip(*(batch.column(c).slice(part, 256).to_pylist() for c in columns), strict=True)
+
 
+# --- first and second pass -------------------------------------------------------------------------------
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
+def word_counts(marked: DataFrame) -> DataFrame:
+    """(word, n, t, n_last, t_last): occurrences of every word everywhere and in the target, and those that end a text."""
+
+    def counted(counts: list[Counter]) -> pa.RecordBatch:
+        values = [pa.array([c[w] for w in counts[0]], pa.int64()) for c in counts]
+        return pa.RecordBatch.from_arrays([pa.array(list(counts[0]), pa.binary()), *values], names=["word", "n", "t", "n_last", "t_last"])
+
+    def run(batches):
+        counts = [Counter() for _ in range(4)]
+        for batch in batches:
+            for data, hit in _texts(batch, "data", "hit"):
+                found = words_of(data)
+                for c, words in zip(counts, (found, found if hit else (), found[-1:], found[-1:] if hit else ()), strict=True):
+                    c.update(words)
+                if len(counts[0]) > HELD:
+                    yield counted(counts)
+                    counts = [Counter() for _ in range(4)]
+        yield counted(counts)
+
+    found = marked.select("data", "hit").mapInArrow(run, "word binary, n long, t long, n_last long, t_last long")
+    return found.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "t", "n_last", "t_last")])
 
-def vocabulary(counts: DataFrame, most: int = WORDS) -> list[bytes]:
-    """The words of the highest counts, the most frequent first; words of equal count are all in or all out."""
+
+def hot_words(counts: DataFrame, most: int = HOT) -> list[Row]:
+    """Rows of the words of the highest counts, the most frequent first; words of equal count are all in or all out."""
     by_count = counts.groupBy("n").agg(F.count("*").alias("words"))  # few rows: one for each different count
     running = by_count.select("n", F.sum("words").over(W.orderBy(F.desc("n"))).alias("total"))
     least = running.where(F.col("total") <= most).agg(F.min("n")).first()[0]
     if least is None:
         return []
     rows = counts.where(F.col("n") >= least).collect()  # at most ``most``
-    return [bytes(r.word) for r in sorted(rows, key=lambda r: (-r.n, bytes(r.word)))]
-
-
-def _numbers(words: list[bytes]) -> dict[bytes, int]:
-    """1 for the most frequent word; 0 is the unknown word."""
-    return {w: i for i, w in enumerate(words, 1)}
-
-
-def _bigrams(data: bytes, get, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers, those before them, and the buckets of the pairs; ``start`` stands before the first word."""
-    own = np.array([get(w, 0) for w in words_of(data)], dtype=np.int64)
-    before = np.concatenate([np.array([start], dtype=np.int64), own])[: len(own)]
-    return own, before, (before * STEP + own) % BUCKETS
+    return sorted(rows, key=lambda r: (-r.n, bytes(r.word)))
 
 
-def model_counts(docs: DataFrame, target: DataFrame, words: list[bytes]) -> DataFrame:
-    """(kind, place, everywhere, target): counts of words (0), of words before another (1) and of pairs (2)."""
-    shared = docs.sparkSession.sparkContext.broadcast(_numbers(words))
-    kinds = (len(words) + 2, len(words) + 2, BUCKETS)
-    start = len(words) + 1
+def frequent_pairs(marked: DataFrame, words: list[bytes]) -> DataFrame:
+    """(cell, n, t): counts of the pairs of ``words``; 0 stands before a text, and a cell is (first, second)."""
+    width = len(words) + 1
+    shared = marked.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words, 1)})
 
     def run(batches):
         get = shared.value.get
-        counts = [np.zeros((2, n), dtype=np.int64) for n in kinds]
+        counts = np.zeros((2, width * width), dtype=np.int64)
         for batch in batches:
-            chosen = batch.column(1).to_pylist()
-            for part in range(0, batch.num_rows, 256):
-                held: tuple[list, list] = ([], [])
-                for data, hit in zip(batch.column(0).slice(part, 256).to_pylist(), chosen[part : part + 256], strict=True):
-                    held[bool(hit)].append(_bigrams(data, get, start))
-                for hit in (0, 1):
-                    for kind, parts in enumerate(zip(*held[hit], strict=True)):
-                        found, n = np.unique(np.concatenate(parts), return_counts=True)
-                        counts[kind][0][found] += n
-                        if hit:
-                            counts[kind][1][found] += n
-        for kind, both in enumerate(counts):
-            place = np.flatnonzero(both[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(place), kind, dtype=np.int32)), pa.array(place), pa.array(both[0][place]), pa.array(both[1][place])],
-                names=["kind", "place", "everywhere", "target"])
-
-    ids = broadcast_checked(target.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct())
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_bytes().alias("data"))
-    marked = rows.join(ids.withColumn("hit", F.lit(True)), "id", "left").select("data", F.coalesce("hit", F.lit(False)).alias("hit"))
-    found = marked.mapInArrow(run, "kind int, place long, everywhere long, target long")
-    return found.groupBy("kind", "place").agg(F.sum("everywhere").alias("everywhere"), F.sum("target").alias("target"))
-
-
-class Model:
-    """Losses of one model. Arrays: counts of words, of words before another, of pairs by bucket."""
-
-    def __init__(self, words: np.ndarray, before: np.ndarray, pairs: np.ndarray):
-        self.words, self.before, self.pairs = words, before, pairs
-        types = len(words) - 1  # the vocabulary and the unknown word; the place of the start stays empty
-        self.single = (words + 1.0) / (words.sum() + types)
-
-    def losses(self, own: np.ndarray, before: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        seen = self.before[before]
-        both = np.minimum(np.minimum(self.pairs[bucket], seen), self.words[own])
-        return -np.log((both + SMOOTHING * self.single[own]) / (seen + SMOOTHING))
-
-
-def models(counts: DataFrame, n_words: int) -> tuple[Model, Model]:
-    """Target and background model; the rows collected are bounded by vocabulary and buckets."""
-    arrays = [np.zeros((2, n)) for n in (n_words + 2, n_words + 2, BUCKETS)]
-    found = counts.toArrow()
-    kind, place = found.column("kind").to_numpy(), found.column("place").to_numpy()
-    for k, both in enumerate(arrays):
-        at = kind == k
-        both[0, place[at]] = found.column("target").to_numpy()[at]
-        both[1, place[at]] = found.column("everywhere").to_numpy()[at]
-    target, background = (Model(*(both[i] for both in arrays)) for i in (0, 1))
-    return target, background
-
-
-def score(docs: DataFrame, target: DataFrame, most_words: int = WORDS) -> DataFrame:
+            for data, hit in _texts(batch, "data", "hit"):
+                own = np.array([get(w, width) for w in words_of(data)], dtype=np.int64)
+                before = np.concatenate([[0], own])[: len(own)]
+                cells, n = np.unique((before * width + own)[(own < width) & (before < width)], return_counts=True)
+                counts[0, cells] += n
+                if hit:
+                    counts[1, cells] += n
+        cells = np.flatnonzero(counts[0])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, *counts[:, cells])], names=["cell", "n", "t"])
+
+    found = marked.select("data", "hit").mapInArrow(run, "cell long, n long, t long")
+    return found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+class Models:
+    """Both models as far as they are broadcast. The first axis of every array is background, target."""
+
+    def __init__(self, totals: Row, hot: list[Row], frequent: int, pairs: pa.Table):
+        self.words = [bytes(r.word) for r in hot]
+        self.frequent = min(frequent, len(hot))
+        self.sums, self.types = np.array([totals.n or 0, totals.t or 0], dtype=float), totals.types
+        counts = np.array([[0, 0, 0, 0], *([r.n, r.t, r.n_last, r.t_last] for r in hot)], dtype=float).T
+        self.single = self.smoothed(counts[:2])
+        before = counts[:2] - counts[2:]
+        before[:, 0] = totals.n_last or 0, totals.t_last or 0  # every text with words has a first and a last one
+        self.context = np.log(before + SMOOTHING)
+        width = self.frequent + 1
+        both = np.zeros((2, width * width))
+        both[:, pairs.column("cell").to_numpy()] = pairs.column("n").to_numpy(), pairs.column("t").to_numpy()
+        self.pair = -np.log(both + np.tile(self.single[:, :width], width))
+
+    def smoothed(self, counts: np.ndarray) -> np.ndarray:
+        """What smoothing adds to the counts of pairs that end in words of these counts."""
+        return SMOOTHING * (counts + 1.0) / np.maximum(self.sums + self.types, 1.0)[:, None]
+
+
+# --- third pass ------------------------------------------------------------------------------------------
+
+
+class _Codes(dict):
+    """Numbers of words; the code of a word without one is made of its hash and not kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        return xxhash.xxh64_intdigest(word) | 1 << 63
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns byte by byte, so that equal leading bytes of sorted numbers lie together."""
+    return zstandard.ZstdCompressor(1).compress(b"".join(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns))
+
+
+def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    ends = np.cumsum(sizes) * (len(raw) // sum(sizes))
+    return [np.ascontiguousarray(x.reshape(size, -1).T).reshape(-1).view(kind) for x, size, kind in zip(np.split(raw, ends[:-1]), sizes, kinds, strict=True)]
+
+
+def _sums(weights: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(places, w, n) for w in weights])
+
+
+class _Sender:
+    """Tokens of some texts in a row, until they are sent."""
+
+    def __init__(self, models: Models, groups: int):
+        self.models, self.groups = models, groups
+        self.codes = _Codes({w: i for i, w in enumerate(models.words, 1)})
+        self._clear()
+
+    def _clear(self) -> None:
+        self.first, self.tokens, self.parts, self.docs, self.hits = None, 0, [], [], []
+
+    def add(self, row: int, doc: int | None, data: bytes, hit: bool) -> None:
+        found = words_of(data)
+        self.first = row if self.first is None else self.first
+        self.parts.append(np.fromiter(map(self.codes.__getitem__, found), np.uint64, len(found)))
+        self.docs.append(doc)
+        self.hits.append(hit)
+        self.tokens += len(found)
+
+    def _group(self, keys: np.ndarray) -> np.ndarray:
+        """Group of keys of 63 bits, rising with the key."""
+        return ((keys >> np.uint64(31)) * np.uint64(self.groups) >> np.uint64(32)).astype(np.int64)
+
+    def _dealt(self, kind: int, keys: np.ndarray, *columns: np.ndarray):
+        order = np.argsort(keys)
+        columns = [c[order] for c in (keys, *columns)]
+        group = self._group(columns[0])
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if hi > lo:
+                yield int(group[lo]), kind, self.first, _packed(*(c[lo:hi] for c in columns))
+
+    def sent(self) -> pa.RecordBatch:
+        """(part, kind, first, data), and nothing held any more."""
+        m, sizes = self.models, np.array([len(p) for p in self.parts], dtype=np.int64)
+        own, doc = np.concatenate(self.parts), np.repeat(np.arange(len(sizes)), sizes)
+        before, last = np.roll(own, 1), np.zeros(len(own), dtype=bool)
+        some = sizes > 0
+        ends = np.cumsum(sizes)
+        before[(ends - sizes)[some]] = 0
+        last[ends[some] - 1] = True
+        known = before < _HASHED
+        sums = _sums(m.context[:, before[known].astype(np.int64)], doc[known], len(sizes))
+        near = (own <= m.frequent) & (before <= m.frequent)
+        cells = before[near].astype(np.int64) * (m.frequent + 1) + own[near].astype(np.int64)
+        sums += _sums(m.pair[:, cells], doc[near], len(sizes))
+        tag = (doc * 4 + np.array(self.hits, dtype=np.int64)[doc] * 2 + last).astype(np.uint32)
+        numbered, hashed = ~near & (own < _HASHED), own >= _HASHED
+        rows = [*self._dealt(_BY_PAIR, _mixed(_mixed(before[numbered]) + own[numbered]) >> np.uint64(1), own[numbered].astype(np.uint32), tag[numbered]),
+                *self._dealt(_BY_WORD, own[hashed] ^ _HASHED, before[hashed], tag[hashed])]
+        ids, no_id = np.array([d or 0 for d in self.docs], dtype=np.int64), np.array([d is None for d in self.docs])
+        place = int(self._group(_mixed(np.array([self.first], dtype=np.uint64)) >> np.uint64(1))[0])
+        rows.append((place, _DOCUMENTS, self.first, _packed(sizes, ids, no_id, *sums)))
+        self._clear()
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "kind", "first", "data"])
+
+
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, int]:
+    """For sorted columns: the number of the run of equal values at each place, and how many there are."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    run = np.cumsum(new)
+    return run, int(run[-1]) + 1
+
+
+def _counts(run: np.ndarray, n: int, hit: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(run, minlength=n), np.bincount(run, hit, n)])
+
+
+def _by_pair(models: Models, keys: np.ndarray, words: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    order = np.argsort(keys)
+    run, n = _runs(keys[order])
+    losses = np.empty((2, len(keys)))
+    losses[:, order] = -np.log(_counts(run, n, hit[order])[:, run] + models.single[:, words[order]])
+    return losses
+
+
+def _by_word(models: Models, keys: np.ndarray, before: np.ndarray, hit: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Losses of the words but for their contexts, and what they add to the loss of the next word as its context."""
+    order = np.lexsort((before, keys))
+    keys, before, hit, last = keys[order], before[order], hit[order], last[order]
+    word, n_words = _runs(keys)
+    pair, n_pairs = _runs(keys, before)
+    counts = _counts(word, n_words, hit)
+    contexts = np.log(counts - _counts(word[last], n_words, hit[last]) + SMOOTHING)
+    losses = np.empty((2, len(keys)))
+    losses[:, order] = np.where(last, 0.0, contexts[:, word]) - np.log(_counts(pair, n_pairs, hit)[:, pair] + models.smoothed(counts)[:, word])
+    return losses
+
+
+def _answers(models: Models, sent: pa.Table) -> pa.Table:
+    """(row, doc_id, n_tokens, background, target) for what a group was sent; ids and numbers of tokens only once."""
+    kind, first, data = sent.column("kind").to_numpy(), sent.column("first").to_numpy(), sent.column("data")
+    out: list[list] = [[], [], [], [], []]
+    found = []
+    for wanted, kinds in ((_BY_PAIR, ("u8", "u4", "u4")), (_BY_WORD, ("u8", "u8", "u4"))):
+        parts = [_unpacked(data[i].as_py(), *kinds) for i in np.flatnonzero(kind == wanted).tolist()]
+        if not parts:
+            continue
+        sizes = [len(p[0]) for p in parts]
+        keys, other, tag = (np.concatenate(c) for c in zip(*parts, strict=True))
+        rows = np.repeat(first[kind == wanted], sizes) + (tag >> 2)
+        hit, last = (tag & 2) > 0, (tag & 1) > 0
+        losses = _by_pair(models, keys, other, hit) if wanted == _BY_PAIR else _by_word(models, keys, other, hit, last)
+        found.append((rows, losses))
+    if found:
+        rows, place = np.unique(np.concatenate([r for r, _ in found]), return_inverse=True)
+        sums = _sums(np.concatenate([x for _, x in found], axis=1), place, len(rows))
+        nothing = pa.nulls(len(rows), pa.int64())
+        for column, values in zip(out, (pa.array(rows), nothing, nothing, *map(pa.array, sums)), strict=True):
+            column.append(values)
+    for i in np.flatnonzero(kind == _DOCUMENTS).tolist():
+        sizes, ids, no_id, *sums = _unpacked(data[i].as_py(), "i8", "i8", "?", "f8", "f8")
+        values = (pa.array(first[i] + np.arange(len(sizes))), pa.array(ids, mask=no_id), pa.array(sizes), *map(pa.array, sums))
+        for column, value in zip(out, values, strict=True):
+            column.append(value)
+    return pa.table([pa.chunked_array(c) for c in out], names=["row", "doc_id", "n_tokens", "background", "target"])
+
+
+def score(docs: DataFrame, target: DataFrame, hot: int = HOT, frequent: int = FREQUENT, group: int = GROUP, sent: int = SENT) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score); ``target`` names the target documents by doc_id."""
     spark = docs.sparkSession
-    words = vocabulary(stored(word_counts(docs), "word-counts"), most_words)
-    both = models(model_counts(docs, target, words), len(words))
-    shared = spark.sparkContext.broadcast((_numbers(words), *both))
-    start = len(words) + 1
-
-    def run(batches):
-        numbers, wanted, general = shared.value
+    marked = _marked(docs, target)
+    counts = stored(word_counts(marked), "word-counts")
+    totals = counts.agg(*[F.sum(c).alias(c) for c in ("n", "t", "n_last", "t_last")], F.count("*").alias("types")).first()
+    top = hot_words(counts, hot)
+    pairs = frequent_pairs(marked, [bytes(r.word) for r in top[:frequent]])
+    models = spark.sparkContext.broadcast(Models(totals, top, frequent, pairs.toArrow()))
+    groups = max(GROUPS, -(-(totals.n or 0) // group))
+
+    def send(batches):
+        sender = _Sender(models.value, groups)
         for batch in batches:
-            rows: list[list] = [[], [], []]
-            for part in range(0, batch.num_rows, 256):
-                for data in batch.column(1).slice(part, 256).to_pylist():
-                    found = _bigrams(data, numbers.get, start)
-                    n = len(found[0])
-                    rows[0].append(n)
-                    rows[1].append(float(wanted.losses(*found).mean()) if n else None)
-                    rows[2].append(float(general.losses(*found).mean()) if n else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows[0], pa.int64()), *(pa.array(r, pa.float64()) for r in rows[1:])],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
-    found = rows.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double")
-    return found.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+            for row in _texts(batch, "row", "doc_id", "data", "hit"):
+                sender.add(*row)
+                if sender.tokens >= sent or len(sender.docs) >= sent:
+                    yield sender.sent()
+        if sender.docs:
+            yield sender.sent()
+
+    dealt = marked.mapInArrow(send, "part long, kind int, first long, data binary")
+    answers = dealt.groupBy("part").applyInArrow(
+        lambda table: _answers(models.value, table), "row long, doc_id long, n_tokens long, background double, target double")
+    whole = answers.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("t"), F.sum("background").alias("b"))
+    some = F.col("n_tokens") > 0
+    return whole.select(
+        "doc_id", "n_tokens", F.when(some, F.col("t") / F.col("n_tokens")).alias("target_loss"),
+        F.when(some, F.col("b") / F.col("n_tokens")).alias("background_loss")).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -105,10 +105,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def _loss(kind: str) -> str:
     """Mean loss of a document; ``kind`` is t (target) or b (background)."""
-    single = f"((coalesce(w.{kind}, 0) + 1.0::DOUBLE) / (total.{kind} + total.types))"
-    both = f"least(coalesce(p.{kind}, 0), coalesce(c.{kind}, 0), coalesce(w.{kind}, 0))"
+    single = f"((w.{kind} + 1.0::DOUBLE) / (total.{kind} + total.types))"
     smooth = f"{lm_scoring.SMOOTHING}::DOUBLE"
-    return f"avg(-ln(({both} + {smooth} * {single}) / (coalesce(c.{kind}, 0) + {smooth})))"
+    return f"avg(-ln((p.{kind} + {smooth} * {single}) / (c.{kind} + {smooth})))"
+
 
 _GRAMS = (
     "SELECT lang, {k} AS k, array_to_string(words[i : i + {k} - 1], ' ') AS phrase"
@@ -120,18 +120,13 @@ ORACLE = {
             regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws,
             doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS hit FROM documents),
         tokens AS (SELECT row, hit, generate_subscripts(ws, 1) AS place, unnest(ws) AS word FROM docs),
-        counts AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
-        kept AS (SELECT word, n FROM (SELECT *, count(*) OVER (ORDER BY n DESC) AS total FROM counts) WHERE total <= {lm_scoring.WORDS}),
-        vocabulary AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS id FROM kept),
-        numbered AS (SELECT row, hit, place, coalesce(id, 0) AS own FROM tokens LEFT JOIN vocabulary USING (word)),
-        pairs AS (SELECT *, (before * {lm_scoring.STEP} + own) % {lm_scoring.BUCKETS} AS bucket FROM (
-          SELECT *, coalesce(lag(own) OVER (PARTITION BY row ORDER BY place), (SELECT count(*) + 1 FROM vocabulary)) AS before FROM numbered)),
-        w AS (SELECT own, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY own),
+        pairs AS (SELECT row, hit, word, coalesce(lag(word) OVER (PARTITION BY row ORDER BY place), '') AS before FROM tokens),
+        w AS (SELECT word, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY word),
         c AS (SELECT before, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY before),
-        p AS (SELECT bucket, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY bucket),
-        total AS (SELECT count(*) AS b, count_if(hit) AS t, (SELECT count(*) + 1 FROM vocabulary) AS types FROM pairs),
+        p AS (SELECT before, word, count(*) AS b, count_if(hit) AS t FROM pairs GROUP BY ALL),
+        total AS (SELECT count(*) AS b, count_if(hit) AS t, count(DISTINCT word) AS types FROM pairs),
         losses AS (SELECT row, {_loss("t")} AS target_loss, {_loss("b")} AS background_loss
-          FROM pairs JOIN w USING (own) JOIN c USING (before) JOIN p USING (bucket), total GROUP BY row)
+          FROM pairs JOIN w USING (word) JOIN c USING (before) JOIN p USING (before, word), total GROUP BY row)
         SELECT doc_id, len(ws) AS n_tokens, round(target_loss, 6) AS target_loss, round(background_loss, 6) AS background_loss,
                round(target_loss - background_loss, 6) AS score
         FROM docs LEFT JOIN losses USING (row)""",

@@ -1,57 +1,71 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from helpers import edge_docs, no_docs
 
+from pyspark.sql import functions as F
+
 from riskloom.llm import lm_scoring
 
 IDS = "doc_id long"
 
 
-def by_hand(rows, target, most):
-    texts = [(doc, [w for w in lm_scoring.words_of((text or "").encode())]) for doc, text in rows]
-    counts = Counter(w for _, ws in texts for w in ws)
-    kept = [w for w, n in counts.items() if sum(m >= n for m in counts.values()) <= most]
-    number = {w: i for i, w in enumerate(sorted(kept, key=lambda w: (-counts[w], w)), 1)}
-    start = len(number) + 1
-
-    def tokens(ws):
-        own = [number.get(w, 0) for w in ws]
-        return [(v, w, (v * lm_scoring.STEP + w) % lm_scoring.BUCKETS) for v, w in zip([start, *own], own, strict=False)]
+def by_hand(rows, target):
+    """Exact counts of all words and pairs; the start of a text stands before its first word."""
+    texts = [(doc, lm_scoring.words_of((text or "").encode())) for doc, text in rows]
+    types = len({w for _, ws in texts for w in ws})
 
     def model(chosen):
         words, before, pairs = Counter(), Counter(), Counter()
         for ws in chosen:
-            for v, w, b in tokens(ws):
-                words[w] += 1
-                before[v] += 1
-                pairs[b] += 1
-        total, types, mu = sum(words.values()), len(number) + 1, lm_scoring.SMOOTHING
-
-        def loss(v, w, b):
-            single = (words[w] + 1) / (total + types)
-            return -math.log((min(pairs[b], before[v], words[w]) + mu * single) / (before[v] + mu))
-
-        return loss
+            words.update(ws)
+            before.update([None, *ws][: len(ws)])
+            pairs.update(zip([None, *ws], ws, strict=False))
+        total, mu = sum(words.values()), lm_scoring.SMOOTHING
+        return lambda v, w: -math.log((pairs[v, w] + mu * (words[w] + 1) / (total + types)) / (before[v] + mu))
 
     wanted, general = model([ws for d, ws in texts if d in target]), model([ws for _, ws in texts])
     out = []
     for doc, ws in texts:
-        found = tokens(ws)
-        losses = [sum(m(*t) for t in found) / len(found) if found else None for m in (wanted, general)]
+        losses = [sum(m(*p) for p in zip([None, *ws], ws, strict=False)) / len(ws) if ws else None for m in (wanted, general)]
         out.append((doc, len(ws), *losses))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("most", [65_536, 40])
-def test_scores_equal_brute_force(spark, small, most):
+@pytest.mark.parametrize("sizes", [(131_072, 1024, 1 << 21, 1 << 20), (40, 5, 1000, 500), (0, 0, 50, 1), (300, 300, 1 << 21, 2000)])
+def test_scores_equal_brute_force(spark, small, sizes):
     for docs, target in ((edge_docs(spark, True), [6, 7, 8, 8, None, 999]), (spark.read.parquet(f"{small}/documents.parquet"), list(range(0, 200, 3)))):
-        want = by_hand([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], set(target) - {None}, most)
+        want = by_hand([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], set(target) - {None})
         ids = spark.createDataFrame([(i,) for i in target], IDS)
-        got = sorted((tuple(r)[:4] for r in lm_scoring.score(docs, ids, most).collect()), key=str)
+        got = sorted((tuple(r)[:4] for r in lm_scoring.score(docs, ids, *sizes).collect()), key=str)
         assert [g[:2] for g in got] == [w[:2] for w in want]
-        assert all(g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want, strict=True))
+        assert all(g[2:] == (pytest.approx(w[2:], rel=1e-9) if w[1] else w[2:]) for g, w in zip(got, want, strict=True))
+
+
+def test_very_many_words_of_one_count(spark):
+    rows = [(i, " ".join(f"w{i * 1000 + k}" for k in range(1000)) + " the the") for i in range(140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(r)[:4] for r in lm_scoring.score(docs, spark.createDataFrame([(1,), (2,)], IDS)).collect()), key=str)
+    for g, w in zip(got, by_hand(rows, {1, 2}), strict=True):
+        assert g[:2] == w[:2] and g[2:] == pytest.approx(w[2:], rel=1e-9)
+
+
+def test_one_pair_in_a_third_of_all_tokens_stays_out_of_the_groups(spark):
+    rows = [(i, "hot pair " * 50 + f"rare{i} other{i % 7}") for i in range(300)]
+    marked = lm_scoring._marked(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1,)], IDS))
+    counts = lm_scoring.word_counts(marked)
+    top = lm_scoring.hot_words(counts, 10)
+    pairs = {r.cell: (r.n, r.t) for r in lm_scoring.frequent_pairs(marked, [bytes(r.word) for r in top[:2]]).collect()}
+    assert pairs == {1: (300, 1), 3 * 1 + 2: (15_000, 50), 3 * 2 + 1: (14_700, 49)}
+    totals = counts.agg(*[F.sum(c).alias(c) for c in ("n", "t", "n_last", "t_last")], F.count("*").alias("types")).first()
+    sender = lm_scoring._Sender(lm_scoring.Models(totals, top, 2, pa.table({"cell": [1], "n": [300], "t": [1]})), 64)
+    for i, text in rows:
+        sender.add(i, i, text.encode(), i == 1)
+    sent = sender.sent()
+    tokens = sum(len(lm_scoring._unpacked(d.as_py(), "u8", "u4", "u4")[0]) for k, d in zip(sent["kind"].to_pylist(), sent["data"], strict=True) if k == 0)
+    assert tokens <= 300
 
 
 def test_target_texts_score_lower(spark):
@@ -69,9 +83,7 @@ def test_no_target_and_no_documents(spark):
     assert lm_scoring.score(no_docs(spark), none).count() == 0
 
 
-def test_probabilities_of_a_context_add_up_to_one_at_most(spark):
-    counts = [(b"a", 5), (b"b", 5), (b"c", 2), (b"d", 1), (b"e", 1)]
-    table = spark.createDataFrame(counts, "word binary, n long")
-    assert lm_scoring.vocabulary(table, 5) == [b"a", b"b", b"c", b"d", b"e"]
-    assert lm_scoring.vocabulary(table, 4) == [b"a", b"b", b"c"]
-    assert lm_scoring.vocabulary(table, 1) == []
+def test_hot_words_are_whole_classes_of_counts(spark):
+    table = spark.createDataFrame([(b"a", 5), (b"b", 5), (b"c", 2), (b"d", 1), (b"e", 1)], "word binary, n long")
+    for most, want in ((5, b"abcde"), (4, b"abc"), (1, b"")):
+        assert b"".join(bytes(r.word) for r in lm_scoring.hot_words(table, most)) == want
