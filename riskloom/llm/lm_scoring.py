@@ -20,11 +20,11 @@ one text; an empty table gives an empty one; other columns are not looked at. Th
 a table that reads the same every time.
 """
 
-from collections import Counter
+import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
@@ -34,17 +34,88 @@ from riskloom.llm.common import BROADCAST_ROWS, stored, text_bytes
 
 #: Words whose counts are broadcast; how many of them have their pairs counted beforehand.
 HOT, FREQUENT, SMOOTHING = 131_072, 1024, 50.0
-#: Different words that a task holds before it hands their counts on; tokens that it holds before it sends them; tokens
-#: of a group, on average; least number of groups.
-HELD, SENT, GROUP, GROUPS = 200_000, 1 << 20, 1 << 21, 64
+#: Bytes of text that a task holds before it hands counts on, and before it sends its tokens; tokens of a group, on
+#: average; least number of groups.
+HELD, SENT, GROUP, GROUPS = 1 << 24, 1 << 23, 1 << 21, 64
 
 #: Marks the code of a word without a number, which is its hash.
 _HASHED = np.uint64(1 << 63)
 _BY_PAIR, _BY_WORD, _DOCUMENTS = range(3)
+_BLANKS = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd number and of its inverse, modulo 2 ** 64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        found = np.full(n, base, dtype=np.uint64)
+        found[0] = 1
+        out.append(np.cumprod(found))
+    return out[0], out[1]
+
+
+#: An odd number; what a byte stands for in a hash; bytes that part words; powers for the bytes hashed at once.
+_BASE = 0x5851F42D4C957F2F
+_BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_AT_ONCE = 1 << 20
+
+
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_AT_ONCE)
+
+
+def _hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of 63 bits of the words of ``data``, and where they begin. Sums over the powers of a base, moved to the
+    start of the word, so a word has one hash wherever it stands."""
+    raw = np.frombuffer(data.lower(), np.uint8)
+    blank = np.concatenate([[True], _BLANK[raw], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    first, end = edges[::2], edges[1::2]
+    up, down = _kept_powers() if len(raw) <= _AT_ONCE else _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[raw] * up[: len(raw)], out=sums[1:])
+    return _mixed((sums[end] - sums[first]) * down[first]) >> np.uint64(1), first
+
+
+def _parts(data: bytes):
+    """A text in parts of about ``_AT_ONCE`` bytes that begin and end at blanks."""
+    at = 0
+    while len(data) - at > _AT_ONCE:
+        found = _BLANKS.search(data, at + _AT_ONCE // 2)
+        end = found.end() if found else len(data)
+        yield data[at:end]
+        at = end
+    yield data[at:]
+
+
+def hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts in a row, and how many words each has."""
+    found, sizes = [], np.zeros(len(texts), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) < _AT_ONCE):
+            size += len(texts[hi]) + 1
+            hi += 1
+        if hi == lo + 1:
+            own = [_hashes(p)[0] for p in _parts(texts[lo])]
+            sizes[lo] = sum(map(len, own))
+            found += own
+        else:
+            own, first = _hashes(b"\n".join(texts[lo:hi]))
+            ends = np.cumsum([len(t) + 1 for t in texts[lo:hi]])
+            sizes[lo:hi] = np.diff(np.searchsorted(first, ends), prepend=0)
+            found.append(own)
+        lo = hi
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), sizes
 
 
-def words_of(data: bytes) -> list[bytes]:
-    return data.lower().split()
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -58,35 +129,71 @@ def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
     return hits.select(F.monotonically_increasing_id().alias("row"), "doc_id", "data", F.coalesce("hit", F.lit(False)).alias("hit"))
 
 
-def _texts(batch: pa.RecordBatch, *columns: str):
-    """Rows of a batch, few at a time as Python values."""
-    for part in range(0, batch.num_rows, 256):
-        yield from zip(*(batch.column(c).slice(part, 256).to_pylist() for c in columns), strict=True)
+class _Words:
+    """Words of some texts in a row: their hashes, text by text, and which end a text or are of a hit."""
+
+    def __init__(self, texts: list[bytes], hits: list[bool]):
+        self.hashes, self.sizes = hashes(texts)
+        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
+        self.hit = np.array(hits, dtype=bool)[self.doc]
+        ends, some = np.cumsum(self.sizes), self.sizes > 0
+        self.last, self.firsts = np.zeros(len(self.doc), dtype=bool), (ends - self.sizes)[some]
+        self.last[ends[some] - 1] = True
+
+    def before(self, codes: np.ndarray) -> np.ndarray:
+        """The code before each; 0 stands before a text."""
+        found = np.roll(codes, 1)
+        found[self.firsts] = 0
+        return found
+
+
+class _Numbers:
+    """Codes of words from their hashes: numbers from 1, or the marked hash."""
+
+    def __init__(self, known: np.ndarray):
+        self.order = np.argsort(known)
+        self.known = known[self.order]
+
+    def codes(self, found: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return found | _HASHED
+        at = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
+        return np.where(self.known[at] == found, self.order[at].astype(np.uint64) + np.uint64(1), found | _HASHED)
+
+
+def _held(batches, *columns: str, most: int):
+    """Rows of batches as lists of values, as many as have about ``most`` bytes of text."""
+    held: list[list] = [[] for _ in columns]
+    size = 0
+    for batch in batches:
+        for part in range(0, batch.num_rows, 256):
+            values = [batch.column(c).slice(part, 256).to_pylist() for c in columns]
+            for column, found in zip(held, values, strict=True):
+                column.extend(found)
+            size += sum(map(len, values[columns.index("data")])) + len(values[0])
+            if size >= most:
+                yield held
+                held, size = [[] for _ in columns], 0
+    if held[0]:
+        yield held
 
 
 # --- first and second pass -------------------------------------------------------------------------------
 
 
 def word_counts(marked: DataFrame) -> DataFrame:
-    """(word, n, t, n_last, t_last): occurrences of every word everywhere and in the target, and those that end a text."""
-
-    def counted(counts: list[Counter]) -> pa.RecordBatch:
-        values = [pa.array([c[w] for w in counts[0]], pa.int64()) for c in counts]
-        return pa.RecordBatch.from_arrays([pa.array(list(counts[0]), pa.binary()), *values], names=["word", "n", "t", "n_last", "t_last"])
+    """(word, n, t, n_last, t_last): occurrences of every word (its hash) everywhere and in the target, and those that
+    end a text."""
 
     def run(batches):
-        counts = [Counter() for _ in range(4)]
-        for batch in batches:
-            for data, hit in _texts(batch, "data", "hit"):
-                found = words_of(data)
-                for c, words in zip(counts, (found, found if hit else (), found[-1:], found[-1:] if hit else ()), strict=True):
-                    c.update(words)
-                if len(counts[0]) > HELD:
-                    yield counted(counts)
-                    counts = [Counter() for _ in range(4)]
-        yield counted(counts)
-
-    found = marked.select("data", "hit").mapInArrow(run, "word binary, n long, t long, n_last long, t_last long")
+        for data, hits in _held(batches, "data", "hit", most=HELD):
+            words = _Words(data, hits)
+            word, place = np.unique(words.hashes, return_inverse=True)
+            n = [np.bincount(place[x], minlength=len(word)) for x in (slice(None), words.hit, words.last, words.last & words.hit)]
+            columns = [pa.array(x) for x in (word.astype(np.int64), *n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "t", "n_last", "t_last"])
+
+    found = marked.select("data", "hit").mapInArrow(run, "word long, n long, t long, n_last long, t_last long")
     return found.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "t", "n_last", "t_last")])
 
 
@@ -98,25 +205,25 @@ def hot_words(counts: DataFrame, most: int = HOT) -> list[Row]:
     if least is None:
         return []
     rows = counts.where(F.col("n") >= least).collect()  # at most ``most``
-    return sorted(rows, key=lambda r: (-r.n, bytes(r.word)))
+    return sorted(rows, key=lambda r: (-r.n, r.word))
 
 
-def frequent_pairs(marked: DataFrame, words: list[bytes]) -> DataFrame:
+def frequent_pairs(marked: DataFrame, words: list[int]) -> DataFrame:
     """(cell, n, t): counts of the pairs of ``words``; 0 stands before a text, and a cell is (first, second)."""
     width = len(words) + 1
-    shared = marked.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words, 1)})
+    known = np.array(words, dtype=np.uint64)
 
     def run(batches):
-        get = shared.value.get
-        counts = np.zeros((2, width * width), dtype=np.int64)
-        for batch in batches:
-            for data, hit in _texts(batch, "data", "hit"):
-                own = np.array([get(w, width) for w in words_of(data)], dtype=np.int64)
-                before = np.concatenate([[0], own])[: len(own)]
-                cells, n = np.unique((before * width + own)[(own < width) & (before < width)], return_counts=True)
-                counts[0, cells] += n
-                if hit:
-                    counts[1, cells] += n
+        numbers, counts = _Numbers(known), np.zeros((2, width * width), dtype=np.int64)
+        for data, hits in _held(batches, "data", "hit", most=_AT_ONCE):
+            found = _Words(data, hits)
+            own = numbers.codes(found.hashes)
+            before = found.before(own)
+            near = (own < width) & (before < width)
+            cell = (before[near] * np.uint64(width) + own[near]).astype(np.int64)
+            for k, cells in enumerate((cell, cell[found.hit[near]])):
+                place, n = np.unique(cells, return_counts=True)
+                counts[k, place] += n
         cells = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, *counts[:, cells])], names=["cell", "n", "t"])
 
@@ -128,7 +235,7 @@ class Models:
     """Both models as far as they are broadcast. The first axis of every array is background, target."""
 
     def __init__(self, totals: Row, hot: list[Row], frequent: int, pairs: pa.Table):
-        self.words = [bytes(r.word) for r in hot]
+        self.words = np.array([r.word for r in hot], dtype=np.uint64)
         self.frequent = min(frequent, len(hot))
         self.sums, self.types = np.array([totals.n or 0, totals.t or 0], dtype=float), totals.types
         counts = np.array([[0, 0, 0, 0], *([r.n, r.t, r.n_last, r.t_last] for r in hot)], dtype=float).T
@@ -149,19 +256,6 @@ class Models:
 # --- third pass ------------------------------------------------------------------------------------------
 
 
-class _Codes(dict):
-    """Numbers of words; the code of a word without one is made of its hash and not kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        return xxhash.xxh64_intdigest(word) | 1 << 63
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
-
-
 def _packed(*columns: np.ndarray) -> bytes:
     """Columns byte by byte, so that equal leading bytes of sorted numbers lie together."""
     return zstandard.ZstdCompressor(1).compress(b"".join(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns))
@@ -179,61 +273,44 @@ def _sums(weights: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Sender:
-    """Tokens of some texts in a row, until they are sent."""
+    """What the rows of some texts send to the groups."""
 
     def __init__(self, models: Models, groups: int):
-        self.models, self.groups = models, groups
-        self.codes = _Codes({w: i for i, w in enumerate(models.words, 1)})
-        self._clear()
-
-    def _clear(self) -> None:
-        self.first, self.tokens, self.parts, self.docs, self.hits = None, 0, [], [], []
-
-    def add(self, row: int, doc: int | None, data: bytes, hit: bool) -> None:
-        found = words_of(data)
-        self.first = row if self.first is None else self.first
-        self.parts.append(np.fromiter(map(self.codes.__getitem__, found), np.uint64, len(found)))
-        self.docs.append(doc)
-        self.hits.append(hit)
-        self.tokens += len(found)
+        self.models, self.groups, self.numbers = models, groups, _Numbers(models.words)
 
     def _group(self, keys: np.ndarray) -> np.ndarray:
         """Group of keys of 63 bits, rising with the key."""
         return ((keys >> np.uint64(31)) * np.uint64(self.groups) >> np.uint64(32)).astype(np.int64)
 
-    def _dealt(self, kind: int, keys: np.ndarray, *columns: np.ndarray):
+    def _dealt(self, kind: int, first: int, keys: np.ndarray, *columns: np.ndarray):
         order = np.argsort(keys)
         columns = [c[order] for c in (keys, *columns)]
         group = self._group(columns[0])
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if hi > lo:
-                yield int(group[lo]), kind, self.first, _packed(*(c[lo:hi] for c in columns))
-
-    def sent(self) -> pa.RecordBatch:
-        """(part, kind, first, data), and nothing held any more."""
-        m, sizes = self.models, np.array([len(p) for p in self.parts], dtype=np.int64)
-        own, doc = np.concatenate(self.parts), np.repeat(np.arange(len(sizes)), sizes)
-        before, last = np.roll(own, 1), np.zeros(len(own), dtype=bool)
-        some = sizes > 0
-        ends = np.cumsum(sizes)
-        before[(ends - sizes)[some]] = 0
-        last[ends[some] - 1] = True
+                yield int(group[lo]), kind, first, _packed(*(c[lo:hi] for c in columns))
+
+    def sent(self, rows: list[int], docs: list, data: list[bytes], hits: list[bool]) -> pa.RecordBatch:
+        """(part, kind, first, data) of texts that follow each other."""
+        m, words, first = self.models, _Words(data, hits), rows[0]
+        own, doc, sizes = self.numbers.codes(words.hashes), words.doc, words.sizes
+        before = words.before(own)
         known = before < _HASHED
         sums = _sums(m.context[:, before[known].astype(np.int64)], doc[known], len(sizes))
         near = (own <= m.frequent) & (before <= m.frequent)
         cells = before[near].astype(np.int64) * (m.frequent + 1) + own[near].astype(np.int64)
         sums += _sums(m.pair[:, cells], doc[near], len(sizes))
-        tag = (doc * 4 + np.array(self.hits, dtype=np.int64)[doc] * 2 + last).astype(np.uint32)
+        tag = (doc * 4 + words.hit * 2 + words.last).astype(np.uint32)
         numbered, hashed = ~near & (own < _HASHED), own >= _HASHED
-        rows = [*self._dealt(_BY_PAIR, _mixed(_mixed(before[numbered]) + own[numbered]) >> np.uint64(1), own[numbered].astype(np.uint32), tag[numbered]),
-                *self._dealt(_BY_WORD, own[hashed] ^ _HASHED, before[hashed], tag[hashed])]
-        ids, no_id = np.array([d or 0 for d in self.docs], dtype=np.int64), np.array([d is None for d in self.docs])
-        place = int(self._group(_mixed(np.array([self.first], dtype=np.uint64)) >> np.uint64(1))[0])
-        rows.append((place, _DOCUMENTS, self.first, _packed(sizes, ids, no_id, *sums)))
-        self._clear()
+        pairs = _mixed(_mixed(before[numbered]) + own[numbered]) >> np.uint64(1)
+        ids, no_id = np.array([d or 0 for d in docs], dtype=np.int64), np.array([d is None for d in docs])
+        place = int(self._group(_mixed(np.array([first], dtype=np.uint64)) >> np.uint64(1))[0])
+        out = [*self._dealt(_BY_PAIR, first, pairs, own[numbered].astype(np.uint32), tag[numbered]),
+               *self._dealt(_BY_WORD, first, own[hashed] ^ _HASHED, before[hashed], tag[hashed]),
+               (place, _DOCUMENTS, first, _packed(sizes, ids, no_id, *sums))]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "kind", "first", "data"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "kind", "first", "data"])
 
 
 def _runs(*columns: np.ndarray) -> tuple[np.ndarray, int]:
@@ -306,19 +383,14 @@ def score(docs: DataFrame, target: DataFrame, hot: int = HOT, frequent: int = FR
     counts = stored(word_counts(marked), "word-counts")
     totals = counts.agg(*[F.sum(c).alias(c) for c in ("n", "t", "n_last", "t_last")], F.count("*").alias("types")).first()
     top = hot_words(counts, hot)
-    pairs = frequent_pairs(marked, [bytes(r.word) for r in top[:frequent]])
+    pairs = frequent_pairs(marked, [r.word for r in top[:frequent]])
     models = spark.sparkContext.broadcast(Models(totals, top, frequent, pairs.toArrow()))
     groups = max(GROUPS, -(-(totals.n or 0) // group))
 
     def send(batches):
         sender = _Sender(models.value, groups)
-        for batch in batches:
-            for row in _texts(batch, "row", "doc_id", "data", "hit"):
-                sender.add(*row)
-                if sender.tokens >= sent or len(sender.docs) >= sent:
-                    yield sender.sent()
-        if sender.docs:
-            yield sender.sent()
+        for held in _held(batches, "row", "doc_id", "data", "hit", most=sent):
+            yield sender.sent(*held)
 
     dealt = marked.mapInArrow(send, "part long, kind int, first long, data binary")
     answers = dealt.groupBy("part").applyInArrow(
