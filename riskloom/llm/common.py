@@ -1,7 +1,9 @@
 """What several operators of this package share."""
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,11 @@ def whole_text(name: str = "text") -> Column:
 
 def text_bytes(name: str = "text") -> Column:
     return F.encode(whole_text(name), "UTF-8")
+
+
+def give_back() -> None:
+    """Return to the system what earlier tasks of this Python worker have freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

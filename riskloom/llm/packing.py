@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, whole_text
+from riskloom.llm.common import give_back, stored, whole_text
 
 LENGTH, END_ID = 2048, 1
 #: Pieces in a group, on average. Bytes of words and units whose ids a worker remembers, and what each costs besides its own.
@@ -143,20 +143,22 @@ def pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenize
     path = tokenizer or default_tokenizer()
 
     def run(batches):
+        give_back()
         encoder = _encoders.setdefault(path, None) or Encoder(path)
         _encoders[path] = encoder
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             found: list[list] = [[], [], [], [], [], []]
-            rows, docs, texts = (c.to_pylist() for c in batch.columns)
-            for lo, hi in _few(texts):
-                for row, doc, ids in zip(rows[lo:hi], docs[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
-                    ids = memoryview(ids + end)
-                    total = len(ids) // 4
-                    for start in range(0, total, length):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        for column, value in zip(found, (row, doc, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
-                            column.append(value)
+            for at in range(0, batch.num_rows, 512):
+                rows, docs, texts = (c.to_pylist() for c in batch.slice(at, 512).columns)
+                for lo, hi in _few(texts):
+                    for row, doc, ids in zip(rows[lo:hi], docs[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
+                        ids = memoryview(ids + end)
+                        total = len(ids) // 4
+                        for start in range(0, total, length):
+                            piece = ids[4 * start : 4 * (start + length)]
+                            for column, value in zip(found, (row, doc, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
+                                column.append(value)
             names = [x.split()[0] for x in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=names)
 
