@@ -14,49 +14,63 @@ from riskloom.sources import readers, writers
 
 _roots: dict[tuple, str] = {}
 _lock = threading.Lock()
-FILES = 4
+MONTHS = ["year", "month", "day"]
 
 
-def _layouts(spark, sf) -> str:
-    """The feed as flat and dated Parquet and JSON lines, and customers as JSON lines; written once per application."""
-    key = input_version(spark, sf)
+def _feed(spark, sf):
+    return feed(spark, sf).select(*FEED)
+
+
+def _monthly(spark, sf):
+    """The feed by month, brought together so that a folder has few files however many tasks the feed is made in."""
+    rows = ingest.with_date_columns(_feed(spark, sf)).withColumn("day", F.lit("01"))
+    return rows.hint("rebalance", *map(F.col, MONTHS)).write.partitionBy(*MONTHS)
+
+
+#: JSON lines are compressed: as text they are many times the size of the tables.
+LAYOUTS = {
+    "flat": lambda s, sf, path: _feed(s, sf).write.parquet(path),
+    "lines": lambda s, sf, path: _feed(s, sf).write.json(f"{path}/a/b", compression="gzip"),
+    "dated": lambda s, sf, path: _monthly(s, sf).parquet(path),
+    "dated-lines": lambda s, sf, path: _monthly(s, sf).json(path, compression="gzip"),
+    "customers": lambda s, sf, path: raw_customers(s, sf).write.json(path, compression="gzip"),
+}
+
+
+def _layout(spark, sf, name: str) -> str:
+    """Root of a layout, which is written below ``<root>/<name>`` when a query of an application first reads it."""
+    key = (name, *input_version(spark, sf))
     with _lock:
         if key not in _roots:
             root = f"{work_folder(spark)}/riskloom-layouts-{uuid.uuid4().hex}"
-            rows = feed(spark, sf).select(*FEED).repartition(FILES)
-            rows.write.parquet(f"{root}/flat")
-            rows.write.json(f"{root}/lines/a/b")
-            months = ingest.with_date_columns(rows).withColumn("day", F.lit("01"))
-            months.write.partitionBy("year", "month", "day").parquet(f"{root}/dated")
-            months.write.partitionBy("year", "month", "day").json(f"{root}/dated-lines")
-            raw_customers(spark, sf).write.json(f"{root}/customers")
+            LAYOUTS[name](spark, sf, f"{root}/{name}")
             _roots[key] = root
         return _roots[key]
 
 
-def _read(build):
-    return query(lambda spark, sf: build(spark, _layouts(spark, sf)).select(*FEED))
+def _read(name, build):
+    return query(lambda spark, sf: build(spark, _layout(spark, sf, name)).select(*FEED))
 
 
 def _resolved(spark, sf):
     """Only the last of the four layouts exists."""
-    root = _layouts(spark, sf)
+    root = _layout(spark, sf, "dated-lines")
     found = readers.resolve_source(spark, f"{root}/none/transactions_*", f"{root}/dated-lines", json_glob="*.json*")
     return found.rows.select(*FEED).withColumn("format", F.lit(found.format))
 
 
 def _inferred(spark, sf):
-    rows = readers.json_inferred(spark, f"{_layouts(spark, sf)}/lines/a/b")
+    rows = readers.json_inferred(spark, f"{_layout(spark, sf, 'lines')}/lines/a/b")
     return rows.groupBy("type").agg(F.count(F.lit(1)).alias("rows"), F.count("amount").alias("amounts"))
 
 
 def _customers(spark, sf):
-    rows = readers.json_lines(spark, f"{_layouts(spark, sf)}/customers", raw_customers(spark, sf).schema)
+    rows = readers.json_lines(spark, f"{_layout(spark, sf, 'customers')}/customers", raw_customers(spark, sf).schema)
     return rows.select("customer_id", "email", "credit_score")
 
 
 def _copied(spark, sf):
-    root = _layouts(spark, sf)
+    root = _layout(spark, sf, "flat")
     target = f"{root}/copies/{uuid.uuid4().hex}"
     counted = writers.copy_table(spark, f"{root}/flat", target, None)
     return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows")).withColumn("counted", F.lit(counted).cast("long"))
@@ -64,7 +78,7 @@ def _copied(spark, sf):
 
 def _copy_compared(spark, sf):
     """A copy that is partitioned, and so spread and ordered, in another way, compared by its content."""
-    root = _layouts(spark, sf)
+    root = _layout(spark, sf, "flat")
     target = f"{root}/copies/{uuid.uuid4().hex}"
     writers.copy_table(spark, f"{root}/flat", target, ["type"])
     return quality.compare_tables(spark.read.parquet(f"{root}/flat"), spark.read.parquet(target), {"*": FEED, "money": ["transaction_id", "amount"]})
@@ -78,14 +92,14 @@ def _keys(spark, sf):
 
 
 QUERIES = {
-    "s01_parquet_glob": _read(lambda s, root: readers.parquet_glob(s, f"{root}/flat/part-*")),
-    "s02_json_lines": _read(lambda s, root: readers.json_lines(s, f"{root}/lines", recursive=True)),
-    "s03_dated_parquet": _read(lambda s, root: readers.dated_parquet(s, f"{root}/dated", "*.parquet", None)),
-    "s04_dated_json": _read(lambda s, root: readers.dated_json(s, f"{root}/dated-lines")),
+    "s01_parquet_glob": _read("flat", lambda s, root: readers.parquet_glob(s, f"{root}/flat/part-*")),
+    "s02_json_lines": _read("lines", lambda s, root: readers.json_lines(s, f"{root}/lines", recursive=True)),
+    "s03_dated_parquet": _read("dated", lambda s, root: readers.dated_parquet(s, f"{root}/dated", "*.parquet", None)),
+    "s04_dated_json": _read("dated-lines", lambda s, root: readers.dated_json(s, f"{root}/dated-lines")),
     "s05_resolved": query(_resolved),
     "s06_json_inferred": query(_inferred),
     "s07_json_dimension": query(_customers),
-    "s09_all_files": _read(lambda s, root: readers.all_files(s, f"{root}/dated")),
+    "s09_all_files": _read("dated", lambda s, root: readers.all_files(s, f"{root}/dated")),
     "s21_s22_copy": query(_copied),
     "s21_s22_copy_content": query(_copy_compared),
     "p05_with_key": query(_keys),
