@@ -17,22 +17,28 @@ _lock = threading.Lock()
 MONTHS = ["year", "month", "day"]
 
 
-def _feed(spark, sf):
-    return feed(spark, sf).select(*FEED)
+#: Bytes of narrow rows for a task that writes them as transactions, some ten times wider.
+MONTH_BYTES = "4m"
 
 
-def _monthly(spark, sf):
-    """The feed by month, brought together so that a folder has few files however many tasks the feed is made in."""
-    rows = ingest.with_date_columns(_feed(spark, sf)).withColumn("day", F.lit("01"))
-    return rows.hint("rebalance", *map(F.col, MONTHS)).write.partitionBy(*MONTHS)
+def _feed(spark, sf, by=None):
+    return feed(spark, sf, by).select(*FEED)
+
+
+def _monthly(spark, sf, write):
+    """Write the feed by month. A month's rows are brought together before they are made wide, so that a folder has few
+    files however many tasks the feed is made in, and no second shuffle holds whole transactions."""
+    rows = ingest.with_date_columns(_feed(spark, sf, "date_trunc('MONTH', o_orderdate)")).withColumn("day", F.lit("01"))
+    with writers.open_files(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=MONTH_BYTES):
+        write(rows.write.partitionBy(*MONTHS))
 
 
 #: JSON lines are compressed: as text they are many times the size of the tables.
 LAYOUTS = {
-    "flat": lambda s, sf, path: _feed(s, sf).write.parquet(path),
+    "flat": lambda s, sf, path: _feed(s, sf).write.parquet(path, compression="zstd"),
     "lines": lambda s, sf, path: _feed(s, sf).write.json(f"{path}/a/b", compression="gzip"),
-    "dated": lambda s, sf, path: _monthly(s, sf).parquet(path),
-    "dated-lines": lambda s, sf, path: _monthly(s, sf).json(path, compression="gzip"),
+    "dated": lambda s, sf, path: _monthly(s, sf, lambda w: w.parquet(path, compression="zstd")),
+    "dated-lines": lambda s, sf, path: _monthly(s, sf, lambda w: w.json(path, compression="gzip")),
     "customers": lambda s, sf, path: raw_customers(s, sf).write.json(path, compression="gzip"),
 }
 

@@ -101,3 +101,21 @@ def test_columns_that_are_passed_on_come_back_as_they_were(spark, folder):
     got = spark.read.parquet(f"{folder}/out")
     assert text(got) == text(spark.createDataFrame(rows, schema)) and len(text(got)) == 2
     assert {f.name: f.dataType for f in got.schema if f.name in names} == {f.name: f.dataType for f in feed.schema if f.name in names}
+
+
+def test_orders_are_met_last_so_that_tasks_stay_by_size(spark, own, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_BYTES", os.path.getsize(f"{own}/lineitem.parquet") // 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert base.feed(spark, own).rdd.getNumPartitions() == fixtures.tasks(spark, own)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_brought_together_by_month_while_narrow(spark, own):
+    rows = sources._feed(spark, own, "date_trunc('MONTH', o_orderdate)")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    wide, narrow = plan.split("REBALANCE", 1)
+    assert "merchant_category" in wide and "merchant_category" not in narrow
+    assert sorted(rows.collect(), key=str) == sorted(sources._feed(spark, own).collect(), key=str)
