@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from riskloom import fixtures
 from riskloom.catalog import base, sources, streams
+from riskloom.operators import detection, history
 from riskloom.streaming import sinks, state
 
 
@@ -119,3 +120,34 @@ def test_rows_are_brought_together_by_month_while_narrow(spark, own):
     wide, narrow = plan.split("REBALANCE", 1)
     assert "merchant_category" in wide and "merchant_category" not in narrow
     assert sorted(rows.collect(), key=str) == sorted(sources._feed(spark, own).collect(), key=str)
+
+
+def _moves(spark):
+    """One customer with most rows, many of them in one second, some without a customer, a time or a place."""
+    rows = [("a", "big", 1000 + k // 40, float(k), -float(k), "SP") for k in range(300)]
+    rows += [("b", f"c{k % 7}", 1000 + k, None if k % 5 == 0 else float(k), 1.0, None) for k in range(60)]
+    rows += [("n", None, 5 + k % 3, 2.0, 2.0, "RJ") for k in range(30)] + [("t", "late", None, 1.0, 1.0, "SP")]
+    shaped = [(f"{kind}{k:04d}", *rest) for k, (kind, *rest) in enumerate(rows)]
+    return spark.createDataFrame(shaped, "transaction_id string, customer_id string, epoch long, purchase_latitude double, "
+                                         "purchase_longitude double, purchase_state string")
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 7, 40])
+def test_previous_rows_are_the_same_along_with_full_rows(spark, cuts):
+    rows = _moves(spark)
+    found = history.movement(rows, along=True, cuts=cuts)
+    other = history.movement(rows)
+    assert found.columns == other.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, other.collect()))
+    assert found.where("prev_timestamp is not null").count() == 299 + 53 + 29
+
+
+def test_previous_rows_of_no_rows(spark):
+    assert history.movement(_moves(spark).limit(0), along=True).count() == 0
+
+
+def test_geo_rows_are_shuffled_once(spark, own):
+    rows = base.geo_feed(spark, own)
+    plan = detection.geo_detection(rows).select("transaction_id", "fraud_score")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+    assert "device_latitude" not in plan.split("Exchange hashpartitioning")[0]
