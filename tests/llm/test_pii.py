@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -116,3 +117,26 @@ def test_the_gate_loses_nothing(spark, small):
     for r in spark.read.parquet(f"{small}/documents.parquet").limit(300).collect():
         for edits in (pii._EDIT, pii._WIDER):
             assert pii.disguised(r.text) or not any(pii.Normalised(r.text, edits).edited)
+
+
+def test_hints_miss_no_disguise():
+    pick = random.Random(7)
+    parts = ["at", "AT", "that", "dot", "Dot", "plus", "one", "phone", "Seven", "\u017feven", "n\u0131ne", "oh", "2", "55", "x", "mail", "[", ")", "(", ">", "{",
+             "@", ".", "-", " ", "  ", "\n", "\u00a0", "\u200b", "\u0430", "\u043c", "\uff11", "\u2460", "\u00e9", "_", "\u0130", "\u212a", "+", ","]
+    found = 0
+    for _ in range(60000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(1, 9)))
+        expected = bool(pii._WIDER.search(text))
+        found += expected
+        assert pii.disguised(text) == expected, repr(text)
+    assert found > 5000
+
+
+def test_prose_is_passed_over_without_the_transducer(monkeypatch):
+    class Refused:
+        def search(self, text):
+            raise AssertionError(text[:40])
+
+    monkeypatch.setattr(pii, "_WIDER", Refused())
+    prose = "That one phone was at home, at 7 in the morning. No one sat at the dotted line; a plus for all of us (and one more)!\n"
+    assert not pii.disguised(prose * 50) and not pii.disguised("d\u00e9j\u00e0 vu, \u00e0 la fin " * 50)
