@@ -39,9 +39,12 @@ def with_customers(df: DataFrame, customers: DataFrame, as_of: Column) -> DataFr
 
 
 def enriched_detection(df: DataFrame, devices: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
-    """Both joins, the enriched rule pack, the review flag and the two flags on device and age."""
-    joined = with_customers(with_devices(df, devices), customers, as_of)
-    return rules.ENRICHED.apply(joined).withColumns({
+    """Both joins, the enriched rule pack, the review flag and the two flags on device and age. Rules that need neither
+    dimension are added up first, so that what only they read is not shuffled by the joins."""
+    plain = df.withColumn(rules.PLAIN.score_name, rules.PLAIN.score())
+    joined = with_customers(with_devices(plain, devices), customers, as_of)
+    scored = rules.ENRICHED.apply(joined, known=rules.PLAIN.score_name, of=rules.PLAIN.rules)
+    return scored.drop(rules.PLAIN.score_name).withColumns({
         "requires_review": rules.needs_review(),
         "is_account_takeover": flags.account_takeover(),
         "is_age_mismatch": flags.age_mismatch(),

@@ -10,8 +10,8 @@ from pyspark.sql import Row, functions as F
 from pyspark.sql.types import StructType
 
 from riskloom import fixtures
-from riskloom.catalog import base, sources, streams
-from riskloom.operators import detection, history
+from riskloom.catalog import base, scoring, sources, streams
+from riskloom.operators import detection, history, rules
 from riskloom.streaming import sinks, state
 
 
@@ -151,3 +151,17 @@ def test_geo_rows_are_shuffled_once(spark, own):
     plan = detection.geo_detection(rows).select("transaction_id", "fraud_score")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange") - plan.count("BroadcastExchange") == 1
     assert "device_latitude" not in plan.split("Exchange hashpartitioning")[0]
+
+
+def test_joins_with_dimensions_carry_no_columns_of_plain_rules(spark, own):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = scoring._enriched(spark, own)
+        plan = scored.select("transaction_id", "risk_points")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan.split("Exchange hashpartitioning(device_id")[0]
+    assert "_plain_points" in above and "cvv_validated" not in above and "_plain_points" not in scored.columns
+    whole = sum((r.points() for r in rules.ENRICHED.rules), F.lit(0))
+    assert scored.where("risk_points > 0").count() > 0 and scored.where(whole != F.col("risk_points")).count() == 0
