@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, whole_text
+from riskloom.llm.common import give_back, stored, whole_text
 
 #: Labelled documents to learn from; word features kept; documents in which a feature must occur; score that counts.
 SAMPLE, FEATURES, LEAST_SEEN, THRESHOLD = 20_000, 4096, 3, 0.3
@@ -145,17 +146,24 @@ def fit_noisy_or(docs: list[tuple[list[list[int]], int, int]], n_features: int)
     """
     lengths = np.array([len(bag) for bags, _, _ in docs for bag in bags], dtype=np.int64)
     index = np.array([f for bags, _, _ in docs for bag in bags for f in bag], dtype=np.int64)
+    sizes = np.array([len(bags) for bags, _, _ in docs], dtype=np.int64)
+    others, label = (np.array([d[k] for d in docs], dtype=float) for k in (1, 2))
+    return _fitted(lengths, index, sizes, others, label, n_features)
+
+
+def _fitted(
+    lengths: np.ndarray, index: np.ndarray, sizes: np.ndarray, others: np.ndarray, label: np.ndarray, n_features: int,
+) -> tuple[np.ndarray, float]:
+    """As ``fit_noisy_or``, from arrays: features of a bag, feature numbers, bags of a document, bags without any, label."""
     sentence = np.repeat(np.arange(len(lengths)), lengths)
-    doc = np.repeat(np.arange(len(docs)), [len(bags) for bags, _, _ in docs])
-    others = np.array([n for _, n, _ in docs], dtype=float)
-    label = np.array([y for _, _, y in docs], dtype=float)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     theta = np.zeros(n_features + 1)
     theta[-1] = -6.0
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         bias = theta[-1]
         z = bias + np.bincount(sentence, theta[index], len(lengths))
-        total = np.bincount(doc, _softplus(z), len(docs)) + others * _softplus(bias)
+        total = np.bincount(doc, _softplus(z), len(sizes)) + others * _softplus(bias)
         # d(loss)/d(total): 1 for label 0, -1/(exp(total)-1) for label 1
         slope = np.where(label > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0)
         inner = slope[doc] * _sigmoid(z)
@@ -183,9 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 [batch.column(0), batch.column(2), pa.array([b for b, _ in found], pa.list_(pa.list_(pa.int64()))),
                  pa.array([n for _, n in found], pa.int64())], names=["id", "toxic", "bags", "others"])
 
-    rows = train.mapInArrow(run, "id long, toxic int, bags array<array<long>>, others long").collect()
-    rows.sort(key=lambda r: (r.id, r.others, len(r.bags)))
-    weights, bias = fit_noisy_or([(r.bags, r.others, r.toxic) for r in rows], len(chosen))
+    # Arrow arrays: as Python lists the numbers would take some ten times the memory, which the driver does not get back.
+    rows = train.mapInArrow(run, "id long, toxic int, bags array<array<long>>, others long").withColumn("size", F.size("bags"))
+    rows = rows.toArrow().sort_by([(c, "ascending") for c in ("id", "others", "size")]).combine_chunks()
+    bags = pc.list_flatten(rows["bags"])
+    weights, bias = _fitted(
+        pc.list_value_length(bags).to_numpy().astype(np.int64), pc.list_flatten(bags).to_numpy(), rows["size"].to_numpy().astype(np.int64),
+        rows["others"].to_numpy().astype(float), rows["toxic"].to_numpy().astype(float), len(chosen))
+    del rows, bags
+    give_back()
     return Model(dict(zip(chosen, map(float, weights), strict=True)), bias)
 
 
