@@ -4,7 +4,8 @@ import random
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.operators import history
 from riskloom.streaming import sinks, state
@@ -92,3 +93,41 @@ def test_rows_without_a_time_are_handed_on(spark, folder):
     got, _ = drained(spark, folder, [[("a", "t0", None, 5.0, 0.0, 0.0, "SP", "x"), *known], [("a", "t9", datetime.fromtimestamp(9000, timezone.utc), 2.0, 0.0, 0.0, "SP", "x")]])
     found = {r.transaction_id: (r.transactions_last_24h, r.accumulated_amount_24h, r.prev_timestamp, r.is_new_beneficiary) for r in got.collect()}
     assert found == {"t0": (0, None, None, False), "t1": (1, 2.0, None, True)}
+
+
+def test_whole_state_gives_the_same_rows(spark, folder):
+    """One value for each customer: the same features, null times, open seconds and late slices as state kept in parts."""
+    day = 86_400
+    slices = [rows(1, 60, 10 * day, 90), rows(2, 60, 10 * day + 100, 3 * 3600), rows(3, 60, 12 * day, 60), rows(4, 40, 60 * day, 3000)]
+    slices[1] += [("a", "untimed", None, 5.0, 0.0, 0.0, "SP", "x"), (None, "too late", datetime.fromtimestamp(5 * day, timezone.utc), 1.0, 0.0, 0.0, "SP", "x")]
+    found = {}
+    for whole in (False, True):
+        root = f"{folder}/{whole}"
+        for part in slices:
+            spark.createDataFrame(part, SCHEMA).repartition(2).write.mode("append").parquet(f"{root}/feed")
+            feed = spark.readStream.schema(SCHEMA).parquet(f"{root}/feed")
+            made = state.with_history(feed, FIRSTS, "5 seconds", whole=whole)
+            with state.rocksdb(spark):
+                query = sinks.append_table(made, f"{root}/out", f"{root}/check", None)
+            query.awaitTermination()
+        out = spark.read.parquet(f"{root}/out")
+        found[whole] = (out.dtypes, sorted(map(str, out.collect())))
+    assert found[True] == found[False] and len(found[True][1]) > 150
+    # all that is kept of a customer is one value, read and written once in a micro-batch
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 4
+
+
+def test_whole_state_forgets_what_no_span_reaches(spark):
+    day = 86_400
+    carried = StructType.fromDDL("epoch long, transaction_id string, purchase_latitude double, purchase_longitude double, purchase_state string, "
+                                 "bank string, _cents long")
+    held, made = state.WholeHistory("customer_id", carried, {"new_bank": "bank"}), Row(*carried.names)
+    held.restore(None)
+    assert list(held.added(("c",), [made(day + 1000 * k, f"t{k}", 0.0, 0.0, "SP", "b", None if k else 2**60 + 1) for k in range(200)])) == []
+    out = list(held.advanced(("c",), (day + 300_000) * 1000))
+    assert len(out) == 200 and out[1]["_month_cents"] == 2**60 + 1 and [r.new_bank for r in out].count(True) == 1
+    large = held.kept()
+    held.restore(large)
+    assert held.kept() == large and held.next_time() == (day + 199_000 + 30 * day + 2) * 1000 - 1
+    assert list(held.advanced(("c",), held.next_time() + 1)) == [] and len(held.kept()) < 200 < len(large)
+    assert held.next_time() is None and held.seen.containsKey(("new_bank", "b"))
