@@ -165,3 +165,17 @@ def test_joins_with_dimensions_carry_no_columns_of_plain_rules(spark, own):
     assert "_plain_points" in above and "cvv_validated" not in above and "_plain_points" not in scored.columns
     whole = sum((r.points() for r in rules.ENRICHED.rules), F.lit(0))
     assert scored.where("risk_points > 0").count() > 0 and scored.where(whole != F.col("risk_points")).count() == 0
+
+
+def test_whole_rows_are_deduplicated_in_tasks_by_size(spark, own, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_BYTES", os.path.getsize(f"{own}/lineitem.parquet") // 10)
+    seen, write = [], base.batch.write_silver
+    monkeypatch.setattr(base.batch, "write_silver", lambda *a, **b: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or write(*a, **b))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rows = base.silver(spark, own)
+        assert seen == [base.partitions(spark, own)] and seen[0] >= 10
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2" and rows.count() == rows.select("transaction_id").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
