@@ -179,3 +179,15 @@ def test_whole_rows_are_deduplicated_in_tasks_by_size(spark, own, monkeypatch):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "2" and rows.count() == rows.select("transaction_id").distinct().count()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_geo_rows_are_dealt_in_tasks_by_size(spark, own, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_BYTES", os.path.getsize(f"{own}/lineitem.parquet") // 10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        plan = scoring.QUERIES["r3_geo_score"](spark, own)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(_cut#" in plan and base.partitions(spark, own) >= 10
+        assert plan.count("Exchange hashpartitioning") == 1 and f", {base.partitions(spark, own)}), REPARTITION_BY_NUM" in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
