@@ -3,12 +3,13 @@
 import random
 from datetime import datetime, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
 from pyspark.sql.types import StructType
 
 from riskloom.operators import history
-from riskloom.streaming import sinks, state
+from riskloom.streaming import grouped, sinks, state
 
 SCHEMA = """customer_id string, transaction_id string, event_time timestamp, amount double, purchase_latitude double,
     purchase_longitude double, purchase_state string, beneficiary string"""
@@ -131,3 +132,93 @@ def test_whole_state_forgets_what_no_span_reaches(spark):
     assert held.kept() == large and held.next_time() == (day + 199_000 + 30 * day + 2) * 1000 - 1
     assert list(held.advanced(("c",), held.next_time() + 1)) == [] and len(held.kept()) < 200 < len(large)
     assert held.next_time() is None and held.seen.containsKey(("new_bank", "b"))
+
+
+def test_state_in_groups_gives_the_same_rows(spark, folder):
+    """Customers dealt into groups: the same features, null times, open seconds and late slices as state kept in parts."""
+    day = 86_400
+    slices = [rows(1, 60, 10 * day, 90), rows(2, 60, 10 * day + 100, 3 * 3600), rows(3, 60, 12 * day, 60), rows(4, 40, 60 * day, 3000)]
+    slices[1] += [("a", "untimed", None, 5.0, 0.0, 0.0, "SP", "x"), (None, "too late", datetime.fromtimestamp(5 * day, timezone.utc), 1.0, 0.0, 0.0, "SP", "x")]
+    slices[2] += [("hot", "3-twice", datetime.fromtimestamp(12 * day + 1, timezone.utc), 5.0, x, None, "SP", "x") for x in (2.0, None, 1.0)]
+    found = {}
+    for groups in (None, 1, 7):
+        root = f"{folder}/{groups}"
+        for part in slices:
+            spark.createDataFrame(part, SCHEMA).repartition(2).write.mode("append").parquet(f"{root}/feed")
+            feed = spark.readStream.schema(SCHEMA).parquet(f"{root}/feed")
+            made = state.with_history(feed, FIRSTS, "5 seconds", groups=groups)
+            with state.rocksdb(spark):
+                query = sinks.append_table(made, f"{root}/out", f"{root}/check", None)
+            query.awaitTermination()
+        out = spark.read.parquet(f"{root}/out")
+        found[groups] = (sorted(out.dtypes), sorted(map(str, out.select(sorted(out.columns)).collect())))
+        # one value for each group that has customers, however many these are
+        assert groups is None or query.lastProgress.stateOperators[0].numRowsTotal <= min(groups, 4)
+    assert found[1] == found[None] == found[7] and len(found[None][1]) > 150
+
+
+def test_a_group_is_called_once_for_all_its_customers(spark, folder):
+    """A micro-batch calls Python once for a group and not for a customer, and hands over the rows as columns."""
+    at = datetime.fromtimestamp(86_400, timezone.utc)
+    many = [(f"c{k}", f"t{k}", at, 1.0, 0.0, 0.0, "SP", "x") for k in range(300)]
+    spark.createDataFrame(many, SCHEMA).write.parquet(f"{folder}/feed")
+    feed = spark.readStream.schema(SCHEMA).parquet(f"{folder}/feed")
+    with state.rocksdb(spark):
+        query = sinks.append_table(state.with_history(feed, FIRSTS, "5 seconds", groups=3), f"{folder}/out", f"{folder}/check", None)
+    query.awaitTermination()
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 3
+
+
+def _group(rows):
+    """Rows (customer, second, place, cents) as a group receives them."""
+    return pd.DataFrame([{
+        "_timed": second is not None, "_at": second or 0, "_key": key, "_own": f'{{"transaction_id":"{n:06d}"}}', "_place": place, "_has": cents is not None,
+        "_cents": cents or 0, "_first_0": place} for n, (key, second, place, cents) in enumerate(rows)])
+
+
+def test_sums_of_a_group_are_exact_and_forgotten():
+    work = grouped.GroupHistory(["transaction_id"], ["is_new"], [(86_400, True), (30 * 86_400, False)], 5)
+    day, huge = 86_400, 2**62 + 1
+    rows = [("a", day, "p", huge), ("a", day + 1, "q", huge), ("b", day + 2, "p", None), ("a", day + 3, "p", -huge), ("a", 9_000_000_000_000, "r", 7)]
+    held = work.restore(None)
+    first, = work.advanced(held, _group(rows), (day + 10) * 1000)
+    by = dict(zip(first["_own"].str.slice(19, 25), first.itertuples(index=False), strict=True))
+    assert [by[f"{n:06d}"].accumulated_amount_24h for n in (0, 1, 3)] == [huge / 100.0, 2 * huge / 100.0, huge / 100.0]
+    assert by["000003"]._5 == 2 * huge / 100.0 and [by[f"{n:06d}"].is_new for n in range(4)] == [True, True, True, False]
+    assert [by[f"{n:06d}"]._1 for n in range(4)] == [None, "p", None, "q"]
+    # the state is taken up as it was written, sums beyond a long included
+    again = work.restore(work.kept(held))
+    assert work.kept(again) == work.kept(held) and list(again.c) == [huge, huge, -huge, 0] and len(again.open) == 1
+    later, = work.advanced(again, _group([("a", day + 20, "p", 1)]), (day + 30) * 1000)
+    assert later["accumulated_amount_24h"].tolist() == [(huge + 1) / 100.0] and later["is_new"].tolist() == [False]
+    # a month later sums are gone, the last row and the values seen are not
+    assert work.next_time(work.restore(work.kept(again))) == (9_000_000_000_000 + 1) * 1000 - 1
+    last, = work.advanced(again, None, (9_000_000_000_000 + 10) * 1000)
+    assert last["_before"].tolist() == ["p"] and last["transactions_last_24h"].tolist() == [1] and len(again.second) == 1
+    assert list(work.advanced(again, None, (9_000_000_000_000 + 31 * day) * 1000)) == [] and len(again.second) == 0 and work.next_time(again) is None
+    with pytest.raises(ValueError, match="5 groups"):
+        grouped.GroupHistory(["transaction_id"], ["is_new"], [(day, True)], 6).restore(work.kept(again))
+
+
+def test_a_group_equals_brute_force():
+    rng, day = random.Random(7), 86_400
+    spans = [(50, True), (400, False)]
+    work, held, log, out = grouped.GroupHistory(["transaction_id"], [], spans, 1), None, [], {}
+    kept = None
+    for step in range(12):
+        start = day + 150 * step
+        rows = [(rng.choice("abcd"), start + rng.randrange(150), "p", rng.choice([None, rng.randrange(-90, 90)])) for _ in range(rng.randrange(40))]
+        frame = _group(rows)
+        if len(frame):
+            frame["_own"] = [f'{{"transaction_id":"{step:02d}-{n:04d}"}}' for n in range(len(rows))]
+        log += [(row, f"{step:02d}-{n:04d}") for n, row in enumerate(rows)]
+        held = work.restore(kept)
+        for made in work.advanced(held, frame, (start + 100) * 1000):
+            out |= {own[19:-2]: (day, amounts, total) for own, day, amounts, total in zip(made["_own"], made["transactions_last_24h"], made["_month_amounts"], made["_month_sum"], strict=True)}
+        kept = work.kept(held)
+    for (key, second, _, _), name in log:
+        if name in out:
+            near = [r for r, _ in log if r[0] == key and second - 50 <= r[1] <= second]
+            far = [r[3] for r, _ in log if r[0] == key and second - 400 <= r[1] < second and r[3] is not None]
+            assert out[name] == (len(near), len(far), sum(far) / 100.0)
+    assert len(out) > 100
