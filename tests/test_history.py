@@ -198,3 +198,53 @@ def test_scan_equals_brute_force(spark, cuts):
         want[key, at] = (sums[key], last.get(key))
         last[key] = last.get(key) if seen is None else seen
     assert got == want
+
+
+def _text(df):
+    return sorted(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
+
+
+@pytest.mark.parametrize("cuts", [None, 1, 4, 23])
+def test_features_are_the_same_along_with_full_rows(spark, cuts):
+    """Customers whose rows stay together, and one with most rows, which is cut into ranges."""
+    rows = _mixed_rows(spark)
+    assert ordered.large_keys(rows, "customer_id", 23) and not ordered.large_keys(rows.where("customer_id is null").limit(7), "customer_id", 23)
+    assert _text(history.histories(rows, cuts=cuts, along=True)) == _text(history.histories(rows))
+    for build in (history.last_day, history.month_average, history.movement):
+        found, plain = build(rows, cuts=cuts, along=True), build(rows)
+        assert set(found.columns) == set(plain.columns) and _text(found) == _text(plain)
+        assert build(rows.limit(0), cuts=cuts, along=True).collect() == []
+
+
+def test_keys_with_a_large_share_are_few_and_may_be_null(spark):
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN 'hot' ELSE concat('c', id) END AS k", "id")
+    found = ordered.large_keys(rows, "k", 10)
+    assert set(found) == {None, "hot"}
+    assert rows.where(ordered.among(F.col("k"), found)).count() == 2000
+    assert rows.where(~ordered.among(F.col("k"), ["hot"])).count() == 3000 and rows.where(~ordered.among(F.col("k"), [None])).count() == 3000
+
+
+@pytest.mark.parametrize("build", [history.last_day, history.histories])
+def test_customers_without_a_large_share_cost_one_shuffle(spark, build, monkeypatch):
+    """No cut table and no join, whatever the size; rows without a time among them."""
+    written = []
+    monkeypatch.setattr(ordered, "_written", lambda df: written.append(df) or df)
+    rows = spark.range(4000).selectExpr(
+        "concat('t', id) AS transaction_id", "concat('c', id % 900) AS customer_id", "IF(id % 50 = 0, NULL, 1700000000 + id * 50) AS epoch",
+        "CAST(id AS double) AS amount", "CAST(id AS double) AS purchase_latitude", "CAST(0 AS double) AS purchase_longitude", "'SP' AS purchase_state")
+    found = build(rows, along=True, cuts=6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Python" not in plan and written == []
+    assert _text(found) == _text(build(rows))
+
+
+def test_only_large_customers_are_cut_along_with_full_rows(spark):
+    rows = spark.range(3000).selectExpr(
+        "concat('t', id) AS transaction_id", "IF(id % 3 = 0, 'hot', concat('c', id % 500)) AS customer_id", "1700000000 + id % 7 AS epoch")
+    placed = rows.withColumn("place", F.struct("customer_id", "epoch", "transaction_id"))
+    number, ranges = ordered.dealt(placed, "place.customer_id", "place", 20)
+    sizes = {r["_cut"]: r["count"] for r in placed.withColumn("_cut", number).groupBy("_cut").count().collect()}
+    hot = {n: c for n, c in sizes.items() if n >= ranges}
+    assert sum(hot.values()) == 1000 and len(hot) > 3 and max(sizes.values()) < 3 * 3000 / 20
+    number, ranges = ordered.dealt(placed.where("customer_id != 'hot'"), "place.customer_id", "place", 20)
+    assert ranges is None and "aggregate" not in str(number)
