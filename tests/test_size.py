@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Row, functions as F
 from pyspark.sql.types import StructType
 
-from riskloom import fixtures
+from riskloom import fixtures, session
 from riskloom.catalog import base, scoring, sources, streams
 from riskloom.operators import detection, history, rules
 from riskloom.streaming import sinks, state
@@ -191,3 +191,12 @@ def test_geo_rows_are_dealt_in_tasks_by_size(spark, own, monkeypatch):
         assert plan.count("Exchange hashpartitioning") == 1 and f", {base.partitions(spark, own)}), REPARTITION_BY_NUM" in plan
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_registered_queries_keep_methods_small_enough_to_be_compiled(spark):
+    """A session that sets nothing of its own, as a driver's, gets the limit; another's own limit stays."""
+    name, limit = session.CODEGEN_LIMIT
+    for own, kept in ((None, limit), ("5000", "5000")):
+        other = spark.newSession()
+        other.conf.set(name, own or "65535")
+        assert base.query(lambda s, d: s.range(1))(other, "").count() == 1 and other.conf.get(name) == kept
