@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from riskloom import fixtures, session
 from riskloom.catalog import base, scoring, sources, streams
 from riskloom.operators import detection, history, rules
-from riskloom.streaming import sinks, state
+from riskloom.streaming import jobs, sinks, state
 
 
 @pytest.fixture
@@ -200,3 +200,23 @@ def test_registered_queries_keep_methods_small_enough_to_be_compiled(spark):
         other = spark.newSession()
         other.conf.set(name, own or "65535")
         assert base.query(lambda s, d: s.range(1))(other, "").count() == 1 and other.conf.get(name) == kept
+
+
+def test_messages_are_kept_once_and_on_disk_while_they_are_written(spark, folder, monkeypatch):
+    """Of a message only what its table takes is kept while both tables are written, and nothing of it in memory."""
+    seen, kept = [], jobs.ingest.kept
+
+    def looked_at(rows):
+        odd = rows.where("(reason IS NULL AND (raw IS NOT NULL OR key IS NOT NULL)) OR (reason IS NOT NULL AND data IS NOT NULL)").count()
+        seen.append((rows.count(), odd, "value" in rows.columns, rows.storageLevel.useMemory))
+        return kept(rows)
+
+    monkeypatch.setattr(jobs.ingest, "kept", looked_at)
+    texts = [("a", '{"transaction_id": "t1", "amount": 2.5}'), ("b", '{"transaction_id": "t2", "amount": "much"}'), ("c", "{"), ("d", None)]
+    spark.createDataFrame(texts, "key string, value string").coalesce(1).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("key string, value string").parquet(f"{folder}/in")
+    jobs.messages_to_bronze_or_rejects(stream, f"{folder}/out", f"{folder}/check", None, keep=("key",)).awaitTermination()
+    assert seen == [(4, 0, False, False)]
+    read = lambda name, *c: sorted(map(tuple, jobs.manifest.read(spark, f"{folder}/out", name).select(*c).collect()))
+    assert read("bronze", "transaction_id", "amount") == [("t1", 2.5)]
+    assert read("rejected", "key", "reason") == [("b", "WRONG_TYPE"), ("c", "MALFORMED"), ("d", "EMPTY")]
