@@ -39,12 +39,14 @@ def with_customers(df: DataFrame, customers: DataFrame, as_of: Column) -> DataFr
 
 
 def enriched_detection(df: DataFrame, devices: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
-    """Both joins, the enriched rule pack, the review flag and the two flags on device and age. Rules that need neither
-    dimension are added up first, so that what only they read is not shuffled by the joins."""
-    plain = df.withColumn(rules.PLAIN.score_name, rules.PLAIN.score())
-    joined = with_customers(with_devices(plain, devices), customers, as_of)
-    scored = rules.ENRICHED.apply(joined, known=rules.PLAIN.score_name, of=rules.PLAIN.rules)
-    return scored.drop(rules.PLAIN.score_name).withColumns({
+    """Both joins, the enriched rule pack, the review flag and the two flags on device and age. Points are added up as soon as
+    what they need is there, and what rules on age ask of the transaction is found before the joins, so that no join shuffles
+    what only rules read."""
+    points = rules.PLAIN.score_name
+    plain = df.withColumns({points: rules.PLAIN.score(), **{name: F.expr(asked) for name, asked in rules.OF_ROW.items()}})
+    met = with_devices(plain, devices).withColumn(points, rules.DEVICE.score(known=points))
+    scored = rules.AGE.apply(with_customers(met, customers, as_of), known=points)
+    return scored.drop(points, *rules.OF_ROW).withColumns({
         "requires_review": rules.needs_review(),
         "is_account_takeover": flags.account_takeover(),
         "is_age_mismatch": flags.age_mismatch(),

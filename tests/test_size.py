@@ -220,3 +220,18 @@ def test_messages_are_kept_once_and_on_disk_while_they_are_written(spark, folder
     read = lambda name, *c: sorted(map(tuple, jobs.manifest.read(spark, f"{folder}/out", name).select(*c).collect()))
     assert read("bronze", "transaction_id", "amount") == [("t1", 2.5)]
     assert read("rejected", "key", "reason") == [("b", "WRONG_TYPE"), ("c", "MALFORMED"), ("d", "EMPTY")]
+
+
+def test_joins_with_dimensions_carry_points_and_not_what_rules_read(spark, own):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = scoring._enriched(spark, own)
+        plan = scored.select("transaction_id", "risk_points")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_customer, by_device = plan.split("Exchange hashpartitioning(customer_id")[0], plan.split("Exchange hashpartitioning(device_id")[0]
+    assert "device_is_rooted" not in by_customer and "device_risk_score" not in by_customer
+    assert "merchant_category" not in by_device and not set(rules.OF_ROW) & set(scored.columns)
+    names = [r.name for r in rules.ENRICHED.rules]
+    assert names == [r.name for r in (*rules.PLAIN.rules, *rules.DEVICE.rules, *rules.AGE.rules)] and len(names) == 16
